@@ -171,7 +171,8 @@ def _as_text(columns):
 def dq_lineitem(L):
     """The same rule engine on another table, without a key."""
     rows = L.input("lineitem").select(
-        (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("row_id"), *_as_text(LINEITEM_RULES.columns))
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("row_id"),
+        *_as_text(LINEITEM_RULES.columns))
     return quality.violations(rows, LINEITEM_RULES, as_of=AS_OF).drop("rejected_at")
 
 
@@ -355,7 +356,9 @@ def stacked_sections(L):
         .when(F.col("l_partkey") % 11 == 0, F.concat(F.col("l_partkey"), F.lit(",")))
         .otherwise(F.concat(F.col("l_partkey"), F.lit(", "), F.col("l_returnflag"), F.lit(" ")))
     )
-    lines = L.input("lineitem").select(k.cast("string").alias("file"), n.alias("line_no"), line.alias("line"))
+    # an order may hold a line number twice; part and supplier make it unique
+    number = (n.cast("bigint") * 100_000_000 + F.col("l_partkey")) * 100_000 + F.col("l_suppkey")
+    lines = L.input("lineitem").select(k.cast("string").alias("file"), number.alias("line_no"), line.alias("line"))
     return reference_data.parse_stacked(lines)
 
 
