@@ -942,29 +942,28 @@ def request_checks(L):
     return quality.row_violations(rows, rules)
 
 
-def _fitted(L, name, **sizes):
-    rows = ml.model_rows(L.encounters())
-    split = ml.stratified_split(rows, "encounter_id", "readmitted_30_days").select("encounter_id", "is_test")
-    both = rows.join(split, "encounter_id")
-    train = both.filter("is_test = 0").drop("is_test")
-    return ml.fit(train, name, **sizes), both.filter("is_test = 1").drop("is_test"), rows
+def _train_and_test(L):
+    both = L.model_split()
+    return both.filter("is_test = 0").drop("is_test"), both.filter("is_test = 1").drop("is_test")
 
 
 @query
 def model_comparison(L):
     """The three candidates on the held-out rows. Tree counts are reduced here; the library defaults are 300."""
-    out = {}
-    for name in ("logistic_regression", "random_forest", "boosted_trees"):
-        model, test, _ = _fitted(L, name, forest_trees=10, boosting_rounds=5)
-        out[name] = ml.evaluation(ml.score(model, test).withColumnRenamed("readmitted_30_days", "y_true"))
-    return ml.compare(out)
+    train, test = _train_and_test(L)
+    models = ml.fit_candidates(train, forest_trees=10, boosting_rounds=5)
+    return ml.compare({
+        name: ml.evaluation(ml.score(model, test).withColumnRenamed("readmitted_30_days", "y_true"))
+        for name, model in models.items()})
 
 
 @query
 def fact_prediction(L):
     """All eligible encounters scored by the logistic model, with quantile risk bands."""
-    model, _, rows = _fitted(L, "logistic_regression")
-    return ml.fact_prediction(ml.score(model, rows), "logistic_regression", "1", AS_OF)
+    train, _ = _train_and_test(L)
+    model = ml.fit_candidates(train, ["logistic_regression"])["logistic_regression"]
+    scored = ml.score(model, ml.model_rows(L.encounters(), target=False))
+    return ml.fact_prediction(scored, "logistic_regression", "1", AS_OF)
 
 
 # --- legacy extract, reports, whole chain ------------------------------------------------------------------------

@@ -22,7 +22,7 @@ from ..operators import quality
 from ..schema import HOSPITAL_RULES
 from ..session import shared_folder, spread, tune
 from ..sources import inputs, reference_data
-from . import clean, features, warehouse
+from . import clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
@@ -120,3 +120,12 @@ class Layers:
     def fact_medication_usage(self) -> DataFrame:
         return self._layer("fact_medication_usage", lambda: warehouse.fact_medication_usage(
             self.curated(), self.dim_medication()), bucket="encounter_key")
+
+    def model_split(self) -> DataFrame:
+        """Model rows with their side of the split: every fit reads the table several times."""
+        def build():
+            rows = ml.model_rows(self.encounters())
+            side = ml.stratified_split(rows, "encounter_id", ml.MODEL_TARGET).select("encounter_id", "is_test")
+            return rows.join(side, "encounter_id")
+
+        return self._layer("model_split", build)

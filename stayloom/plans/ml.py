@@ -18,6 +18,7 @@ from ..functions.text import as_category
 from ..operators.order import quantiles, running_total
 from ..schema import (EXCLUDED_DISCHARGES, HIGH_RISK_QUANTILE, MEDIUM_RISK_QUANTILE, MODEL_CATEGORICAL, MODEL_NUMERIC,
                       MODEL_TARGET, RuleSet)
+from ..session import spread
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -129,10 +130,15 @@ def weighted(rows: DataFrame, label: str = MODEL_TARGET) -> DataFrame:
     return rows.join(F.broadcast(weights), F.col(label) == F.col("_label")).drop("_label")  # a row per class
 
 
-def fit(train: DataFrame, name: str, **sizes: int) -> PipelineModel:
+def fit_candidates(train: DataFrame, names: Sequence[str] | None = None, **sizes: int) -> dict[str, PipelineModel]:
+    """Fit the preprocessing once and every wanted candidate on its output; each result is a complete pipeline."""
+    rows = weighted(spread(train))
+    shared = Pipeline(stages=preprocessing(train)).fit(rows)
     # balanced weights add up to the number of rows
-    estimator = candidate_models(float(train.count()), **sizes)[name]
-    return Pipeline(stages=[*preprocessing(train), estimator]).fit(weighted(train))
+    candidates = candidate_models(float(train.count()), **sizes)
+    vectors = shared.transform(rows).select("features", MODEL_TARGET, "class_weight")
+    return {name: PipelineModel(stages=[*shared.stages, candidates[name].fit(vectors)])
+            for name in names or candidates}
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
