@@ -67,7 +67,7 @@ VISITS = ("number_outpatient", "number_emergency", "number_inpatient")
 
 
 def _numbers(L):
-    return L.raw().select("row_id", *(F.col(c).try_cast("bigint").alias(c) for c in (
+    return L.raw().select("row_id", *(F.expr(f"try_cast({c} AS BIGINT) AS {c}") for c in (
         "time_in_hospital", "num_medications", "number_diagnoses", "num_lab_procedures", "num_procedures", *VISITS)))
 
 

@@ -1,4 +1,9 @@
-"""Text and number predicates over raw text columns."""
+"""Text and number predicates over raw text columns.
+
+The arguments named ``x`` are column names or SQL expressions. The ``*_sql`` builders return SQL text, so that a rule
+set over fifty columns reaches the JVM as one expression instead of thousands of small calls; the other functions
+wrap them as columns.
+"""
 
 from __future__ import annotations
 
@@ -10,82 +15,124 @@ from pyspark.sql import functions as F
 from ..schema import MISSING_TOKENS
 
 WHITESPACE = " \t\n\r\f\v"
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
+INTEGER_TEXT = "^[+-]?[0-9]+$"
 
 
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def strip(c: str | Column) -> Column:
+def ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
+def listed(values: Iterable[object]) -> str:
+    return ", ".join(map(literal, values))
+
+
+# --- SQL text ----------------------------------------------------------------------------------------------------
+
+
+def strip_sql(x: str) -> str:
+    return f"btrim({x}, '{WHITESPACE}')"
+
+
+def missing_sql(x: str) -> str:
+    return f"({x} IS NULL OR {strip_sql(x)} IN ({listed(MISSING_TOKENS)}))"
+
+
+def integer_sql(x: str, allow_padding: bool = False) -> str:
+    text = strip_sql(x) if allow_padding else x
+    return f"(CASE WHEN {text} RLIKE '{INTEGER_TEXT}' THEN try_cast({text} AS BIGINT) END)"
+
+
+def inside_sql(x: str, low: int, high: int | None, allow_padding: bool = False) -> str:
+    number = integer_sql(x, allow_padding)
+    return f"coalesce({number} >= {low}, false)" if high is None else (
+        f"coalesce({number} BETWEEN {low} AND {high}, false)")
+
+
+def out_of_bounds_sql(x: str, low: int, high: int | None, allow_padding: bool = False) -> str:
+    return f"(NOT {missing_sql(x)} AND NOT {inside_sql(x, low, high, allow_padding)})"
+
+
+def not_allowed_sql(x: str, allowed: Iterable[str]) -> str:
+    return f"(NOT {missing_sql(x)} AND {strip_sql(x)} NOT IN ({listed(allowed)}))"
+
+
+def lookup_sql(x: str, values: Mapping[object, object], otherwise: object = None) -> str:
+    cases = " ".join(f"WHEN {literal(k)} THEN {literal(v)}" for k, v in values.items())
+    return f"(CASE {x} {cases} ELSE {literal(otherwise)} END)"
+
+
+# --- columns -----------------------------------------------------------------------------------------------------
+
+
+def strip(x: str) -> Column:
     """Strip all surrounding whitespace (``trim`` would strip blanks only)."""
-    return F.btrim(col(c), F.lit(WHITESPACE))
+    return F.expr(strip_sql(x))
 
 
-def is_missing(c: str | Column) -> Column:
+def is_missing(x: str) -> Column:
     """NULL, empty or ``?`` after stripping. Never NULL itself."""
-    return col(c).isNull() | strip(c).isin(*MISSING_TOKENS)
+    return F.expr(missing_sql(x))
 
 
-def null_if_missing(c: str | Column) -> Column:
+def null_if_missing(x: str) -> Column:
     """Stripped text, with missing tokens turned into NULL."""
-    text = strip(c)
-    return F.when(~text.isin(*MISSING_TOKENS), text)
+    return F.expr(f"CASE WHEN {strip_sql(x)} NOT IN ({listed(MISSING_TOKENS)}) THEN {strip_sql(x)} END")
 
 
-def null_if_token(c: str | Column, tokens: Iterable[str]) -> Column:
+def null_if_token(x: str, tokens: Iterable[str]) -> Column:
     """Unstripped text, NULL where it equals one of the given null tokens."""
-    return F.when(~col(c).isin(*tokens), col(c))
+    return F.expr(f"CASE WHEN {x} NOT IN ({listed(tokens)}) THEN {x} END")
 
 
-def strict_integer(c: str | Column, allow_padding: bool = False) -> Column:
+def strict_integer(x: str, allow_padding: bool = False) -> Column:
     """Integer value of a text; NULL unless it is nothing but a signed integer that fits 64 bits."""
-    text = strip(c) if allow_padding else col(c)
-    return F.when(text.rlike(INTEGER_TEXT), text.try_cast("bigint"))
+    return F.expr(integer_sql(x, allow_padding))
 
 
-def out_of_bounds(c: str | Column, low: int, high: int | None, allow_padding: bool = False) -> Column:
+def out_of_bounds(x: str, low: int, high: int | None, allow_padding: bool = False) -> Column:
     """Present, but not an integer within the closed bounds. Never NULL."""
-    number = strict_integer(c, allow_padding)
-    inside = number >= low if high is None else number.between(low, high)
-    return ~is_missing(c) & ~F.coalesce(inside, F.lit(False))
+    return F.expr(out_of_bounds_sql(x, low, high, allow_padding))
 
 
-def not_allowed(c: str | Column, allowed: Iterable[str]) -> Column:
+def not_allowed(x: str, allowed: Iterable[str]) -> Column:
     """Present, but (stripped) not one of the allowed values. Never NULL."""
-    return ~is_missing(c) & ~F.coalesce(strip(c).isin(*allowed), F.lit(False))
+    return F.expr(not_allowed_sql(x, allowed))
 
 
-def lookup(c: str | Column, values: Mapping[str, object], otherwise: object = None) -> Column:
+def lookup(x: str, values: Mapping[object, object], otherwise: object = None) -> Column:
     """Value map with a default for everything else (NULL included)."""
-    value, out = col(c), None
-    for key, mapped in values.items():
-        out = (F if out is None else out).when(value == key, mapped)
-    return out.otherwise(otherwise)
+    return F.expr(lookup_sql(x, values, otherwise))
 
 
-def leading_number(c: str | Column) -> Column:
-    """Leading digits as a double, NULL when there are none."""
-    return F.regexp_substr(col(c), F.lit("^[0-9]+")).cast("double")
+def capped(c: str | Column, cap: int) -> Column:
+    """Number as text, everything from the cap on as ``cap+``."""
+    return F.when(col(c) >= cap, f"{cap}+").otherwise(col(c).cast("string"))
 
 
-def flag(condition: Column) -> Column:
+def flag(condition: str) -> Column:
     """0/1 of a comparison; an unknown comparison stays NULL."""
-    return condition.cast("int")
-
+    return F.expr(f"CAST({condition} AS INT)")
 
-def one_of(c: str | Column, values: Iterable[str]) -> Column:
-    return flag(col(c).isin(*values))
 
-
-def capped(c: str | Column, cap: int) -> Column:
-    """Number as text, everything from the cap on as ``cap+``."""
-    return F.when(col(c) >= cap, f"{cap}+").otherwise(col(c).cast("string"))
+def one_of(x: str, values: Iterable[str]) -> Column:
+    return flag(f"({x} IN ({listed(values)}))")
 
 
-def as_category(c: str | Column) -> Column:
+def as_category(x: str) -> Column:
     """Text of any value; NULL becomes the category ``None``."""
-    return F.coalesce(col(c).cast("string"), F.lit("None"))
+    return F.expr(f"coalesce(CAST({x} AS STRING), 'None')")
 
 
 def error_text(c: str | Column) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import half_up, percent, ratio
+from ..functions.text import ident, literal
 from ..schema import SEVERITY_BANDS
 from .order import quantiles
 from .quality import column_types, long_counts
@@ -35,9 +36,8 @@ def shape(df: DataFrame) -> DataFrame:
 def long_form(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, value)`` with every value as text."""
     columns = list(columns or df.columns)
-    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-                      for c in columns))
-    return df.select(F.inline(cells))
+    cells = ", ".join(f"{literal(c)}, CAST({ident(c)} AS STRING)" for c in columns)
+    return df.select(F.expr(f"stack({len(columns)}, {cells}) AS (column_name, value)"))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -53,7 +53,7 @@ def constant_columns(df: DataFrame) -> DataFrame:
 def null_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """NULLs per column with share and severity."""
     columns = list(columns or df.columns)
-    counts = long_counts(df, {c: F.col(c).isNull() for c in columns}, "null_count")
+    counts = long_counts(df, {c: f"{ident(c)} IS NULL" for c in columns}, "null_count")
     rated = counts.select("column_name", "null_count",
                           percent(F.col("null_count"), F.col("total_rows"), 2).alias("null_percentage"))
     return rated.withColumn("severity", severity("null_percentage")).orderBy(
@@ -73,7 +73,7 @@ def mostly_missing(summary: DataFrame, at_least: float = 40.0) -> DataFrame:
 
 def token_summary(df: DataFrame, token: str = "?") -> DataFrame:
     """Cells of the text columns that equal a token; columns without any are left out."""
-    counts = long_counts(df, {c: F.col(c) == token for c in text_columns(df)}, "question_mark_count")
+    counts = long_counts(df, {c: f"{ident(c)} = {literal(token)}" for c in text_columns(df)}, "question_mark_count")
     return counts.filter("question_mark_count > 0").select(
         "column_name", "question_mark_count",
         percent(F.col("question_mark_count"), F.col("total_rows"), 2).alias("percentage"),
@@ -145,8 +145,8 @@ def unexpected_value_rows(df: DataFrame, allowed: Mapping[str, Sequence[str]]) -
 
 def anomaly_counts(df: DataFrame, not_positive: Sequence[str], negative: Sequence[str]) -> DataFrame:
     """Rows with an impossible value per column: missing or ≤ 0, and below 0."""
-    tests = {f"{c}_not_positive": F.col(c).isNull() | (F.col(c) <= 0) for c in not_positive}
-    tests |= {f"{c}_negative": F.col(c) < 0 for c in negative}
+    tests = {f"{c}_not_positive": f"{ident(c)} IS NULL OR {ident(c)} <= 0" for c in not_positive}
+    tests |= {f"{c}_negative": f"{ident(c)} < 0" for c in negative}
     return long_counts(df, tests, "invalid_count").select("column_name", "invalid_count")
 
 
@@ -157,8 +157,8 @@ def anomalies(df: DataFrame, not_positive: Sequence[str], negative: Sequence[str
 
 
 def numeric_long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).cast(kind).alias("value")) for c in columns))
-    return df.select(F.inline(cells))
+    cells = ", ".join(f"{literal(c)}, CAST({ident(c)} AS {kind})" for c in columns)
+    return df.select(F.expr(f"stack({len(columns)}, {cells}) AS (column_name, value)"))
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "decimal(18,4)") -> DataFrame:

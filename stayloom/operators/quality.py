@@ -7,15 +7,13 @@ of suspicious rows and not with rows times rules. The test may suspect too much,
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import percent
-from ..functions.text import INTEGER_TEXT, is_missing, not_allowed, out_of_bounds, strict_integer, strip
+from ..functions.text import (ident, inside_sql, integer_sql, is_missing, listed, literal, missing_sql, not_allowed_sql,
+                              out_of_bounds_sql, strip_sql)
 from ..schema import MISSING_TOKENS, RuleSet
 from .order import repeated_keys
 
@@ -58,15 +56,16 @@ def rule_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
 
 def suspicious(rules: RuleSet) -> Column:
     """True for every row that breaks a row-local rule (and for some that break none). Never NULL."""
-    tests = []
-    for c, (low, high, _) in rules.bounds.items():
-        number = F.when(F.col(c).rlike(INTEGER_TEXT), F.col(c).try_cast("bigint"))
-        tests.append(~F.coalesce(number >= low if high is None else number.between(low, high), F.lit(False)))
+    return F.expr(_suspicious_sql(rules))
+
+
+def _suspicious_sql(rules: RuleSet) -> str:
+    tests = [f"NOT {inside_sql(ident(c), low, high)}" for c, (low, high, _) in rules.bounds.items()]
     for c, allowed in rules.allowed.items():
         optional = c in rules.optional
         values = (*allowed, *MISSING_TOKENS) if optional else allowed
-        tests.append(~F.coalesce(F.col(c).isin(*values), F.lit(optional)))
-    return reduce(or_, tests) if tests else F.lit(False)
+        tests.append(f"NOT coalesce({ident(c)} IN ({listed(values)}), {str(optional).lower()})")
+    return " OR ".join(tests) or "false"
 
 
 def breaks_row_rule(rules: RuleSet) -> Column:
@@ -74,23 +73,16 @@ def breaks_row_rule(rules: RuleSet) -> Column:
 
     Columns under the same rule are tested together as one array, which keeps the generated code small.
     """
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[str, list[str]] = {}
     for c in rules.required:
-        groups.setdefault(("required",), []).append(c)
+        groups.setdefault(missing_sql("x"), []).append(c)
     for c, (low, high, _) in rules.bounds.items():
-        groups.setdefault(("bounds", low, high), []).append(c)
+        groups.setdefault(out_of_bounds_sql("x", low, high, rules.allow_padding), []).append(c)
     for c, allowed in rules.allowed.items():
-        groups.setdefault(("allowed", *allowed), []).append(c)
-
-    def broken(kind, *arguments):
-        if kind == "required":
-            return is_missing
-        if kind == "bounds":
-            return lambda x: out_of_bounds(x, *arguments, rules.allow_padding)
-        return lambda x: not_allowed(x, arguments)
-
-    exact = [F.exists(F.array(*columns), broken(*rule)) for rule, columns in groups.items()]
-    return suspicious(rules) & reduce(or_, exact, F.lit(False))
+        groups.setdefault(not_allowed_sql("x", allowed), []).append(c)
+    exact = " OR ".join(f"exists(array({', '.join(map(ident, columns))}), x -> {broken})"
+                        for broken, columns in groups.items())
+    return F.expr(f"({_suspicious_sql(rules)}) AND ({exact or 'false'})")
 
 
 def row_violations(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -101,17 +93,14 @@ def row_violations(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ())
     """
     checked = list(dict.fromkeys((*rules.required, *rules.bounds, *rules.allowed)))
     triples = rows.filter(suspicious(rules)).unpivot(["row_id", *carry], checked, "column_name", "value")
-    value = F.col("value")
-    number = strict_integer(value, rules.allow_padding)
-    inside = (number >= F.col("low")) & (F.col("high").isNull() | (number <= F.col("high")))
-    present = ~is_missing(value)
-    broken = (
-        F.when(F.col("rule_name") == "required_value", ~present)
-        .when(F.col("rule_name") == "invalid_numeric_value", present & ~F.coalesce(inside, F.lit(False)))
-        .otherwise(present & ~F.array_contains("allowed", strip(value)))
-    )
+    broken = F.expr(f"""CASE rule_name
+        WHEN 'required_value' THEN {missing_sql('value')}
+        WHEN 'invalid_numeric_value' THEN NOT {missing_sql('value')} AND NOT coalesce(
+            {integer_sql('value', rules.allow_padding)} >= low
+            AND (high IS NULL OR {integer_sql('value', rules.allow_padding)} <= high), false)
+        ELSE NOT {missing_sql('value')} AND NOT array_contains(allowed, {strip_sql('value')}) END""")
     return triples.join(F.broadcast(rule_table(rows.sparkSession, rules)), "column_name").filter(broken).select(
-        "row_id", "rule_name", "column_name", F.coalesce(value, F.lit("<NULL>")).alias("invalid_value"),
+        "row_id", "rule_name", "column_name", F.coalesce("value", F.lit("<NULL>")).alias("invalid_value"),
         "rejection_reason", *carry)
 
 
@@ -122,7 +111,7 @@ def _violation(rule: str, column: str, value: Column, reason: str) -> Column:
 
 def key_duplicates(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every copy of a repeated, non-missing key (compared as raw text) is a violation."""
-    repeated = repeated_keys(rows, rules.key, is_missing(rules.key)).select(rules.key)
+    repeated = repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key)
     return rows.join(repeated, rules.key, "left_semi").select(
         "row_id",
         _violation(f"duplicate_{rules.key}", rules.key, F.col(rules.key), rules.key_reason).alias("v"), *carry,
@@ -173,7 +162,7 @@ def valid_rows(rows: DataFrame, rules: RuleSet) -> DataFrame:
     """
     kept = rows.filter(~breaks_row_rule(rules))
     if rules.key:
-        kept = kept.join(repeated_keys(rows, rules.key, is_missing(rules.key)).select(rules.key),
+        kept = kept.join(repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key),
                          rules.key, "left_anti").select(*rows.columns)
     if rules.key is None or rules.key not in rules.required:
         kept = kept.join(row_duplicates(rows, rules).select("row_id"), "row_id", "left_anti").select(*rows.columns)
@@ -204,18 +193,20 @@ def violation_summary(found: DataFrame) -> DataFrame:
     ).orderBy(F.desc("violation_count"), "rule_name", "column_name")
 
 
-def long_counts(df: DataFrame, counters: dict[str, Column], count: str) -> DataFrame:
-    """One pass over the table, one output row per counter: ``(column_name, <count>, total_rows)``."""
+def long_counts(df: DataFrame, counters: dict[str, str], count: str) -> DataFrame:
+    """One pass over the table, one output row per counter: ``(column_name, <count>, total_rows)``.
+
+    The counters are SQL conditions by name.
+    """
     one_row = df.agg(F.count("*").alias("total_rows"), *(
-        F.count_if(condition).alias(f"c{i}") for i, condition in enumerate(counters.values())))
-    cells = F.array(*(
-        F.struct(F.lit(name).alias("column_name"), F.col(f"c{i}").alias(count)) for i, name in enumerate(counters)))
-    return one_row.select(F.inline(cells), "total_rows")
+        F.expr(f"count_if({condition}) AS c{i}") for i, condition in enumerate(counters.values())))
+    cells = ", ".join(f"{literal(name)}, c{i}" for i, name in enumerate(counters))
+    return one_row.select(F.expr(f"stack({len(counters)}, {cells}) AS (column_name, {count})"), "total_rows")
 
 
 def missing_summary(df: DataFrame, columns) -> DataFrame:
     """Missing values per column, with their share in percent."""
-    counts = long_counts(df, {c: is_missing(c) for c in columns}, "missing_count")
+    counts = long_counts(df, {c: missing_sql(ident(c)) for c in columns}, "missing_count")
     return counts.select(
         "column_name", "missing_count",
         percent(F.col("missing_count"), F.col("total_rows"), 4).alias("missing_rate_percent"),
@@ -255,9 +246,8 @@ def key_checks(df: DataFrame, key: str) -> list[Column]:
 
 def check_rows(one_row: DataFrame) -> DataFrame:
     """Turn a one-row table of failure counts into check rows."""
-    return one_row.select(F.inline(F.array(*(
-        F.struct(F.lit(c).alias("check_name"), F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias("failed_rows"))
-        for c in one_row.columns))))
+    cells = ", ".join(f"{literal(c)}, coalesce(CAST({ident(c)} AS BIGINT), 0L)" for c in one_row.columns)
+    return one_row.select(F.expr(f"stack({len(one_row.columns)}, {cells}) AS (check_name, failed_rows)"))
 
 
 def unique_key(df: DataFrame, key: str) -> DataFrame:
@@ -287,7 +277,7 @@ def curated_checks(df: DataFrame, key: str, integers) -> DataFrame:
     one_pass = df.agg(
         (F.count("*") == 0).cast("int").alias("not_empty"),
         *(F.lit(int(df.schema[c].dataType != T.LongType())).alias(f"bigint_{c}") for c in integers),
-        *(F.count_if(strip(c) == "?").alias(f"no_question_mark_{c}") for c in texts),
+        *(F.expr(f"count_if({strip_sql(c)} = '?') AS no_question_mark_{c}") for c in texts),
     )
     return check_rows(one_pass).unionByName(unique_key(df, key))
 

@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import null_if_missing, strip
+from ..functions.text import null_if_missing, strip, strip_sql
 from ..operators.order import keep_first
 from ..operators.quality import require_columns
 from ..schema import (DIAGNOSES, ENCOUNTER_COLUMNS, ETL_VERSION, FILL_UNKNOWN, MEDICATIONS, NUMERIC_BOUNDS,
@@ -30,7 +27,7 @@ def blank_missing(df: DataFrame) -> DataFrame:
 
 def cast_integers(df: DataFrame) -> DataFrame:
     """Strict: a value that is not an integer stops the job (ANSI cast)."""
-    return df.withColumns({c: F.col(c).cast("bigint") for c in INTEGER_COLUMNS})
+    return df.withColumns({c: F.expr(f"CAST({c} AS BIGINT)") for c in INTEGER_COLUMNS})
 
 
 def fill_unknown(df: DataFrame) -> DataFrame:
@@ -39,7 +36,7 @@ def fill_unknown(df: DataFrame) -> DataFrame:
 
 
 def upper_codes(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.upper(strip(c)) for c in DIAGNOSES})
+    return df.withColumns({c: F.expr(f"upper({strip_sql(c)})") for c in DIAGNOSES})
 
 
 def strip_medications(df: DataFrame) -> DataFrame:
@@ -66,7 +63,8 @@ def sorted_by_key(df: DataFrame, key: str = "encounter_id") -> DataFrame:
 
 
 def null_cells(columns) -> Column:
-    return F.coalesce(F.sum(reduce(add, (F.col(c).isNull().cast("bigint") for c in columns))), F.lit(0))
+    known = ", ".join(f"CAST({c} IS NULL AS BIGINT)" for c in columns)
+    return F.expr(f"coalesce(sum(aggregate(array({known}), 0L, (n, x) -> n + x)), 0L)")
 
 
 def clean_statistics(valid: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -16,7 +16,6 @@ def with_features(curated: DataFrame) -> DataFrame:
     Features are a function of their own curated row, so building facts from this frame equals joining the two
     tables on the encounter key, without the join.
     """
-    visits = F.col("total_previous_visits")
     return curated.withColumns({
         "readmitted_30_days": c.readmitted_30_days(),
         "readmitted_flag": c.readmitted_ever(),
@@ -29,8 +28,8 @@ def with_features(curated: DataFrame) -> DataFrame:
         **{f"{d}_group": c.diagnosis_family(d) for d in DIAGNOSES},
         "patient_complexity_score": c.complexity_score(),
     }).withColumns({
-        "healthcare_utilization_score": visits + F.col("time_in_hospital"),
-        "is_frequent_patient": c.frequent_patient(visits),
+        "healthcare_utilization_score": F.expr("total_previous_visits + time_in_hospital"),
+        "is_frequent_patient": c.frequent_patient(),
     })
 
 

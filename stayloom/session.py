@@ -32,7 +32,9 @@ def build_session(app_name: str = "stayloom", master: str | None = None, **conf:
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for name, value in {**SETTINGS, **conf}.items():
+    # call-site capture doubles the cost of building a plan over many columns; it cannot be changed later
+    static = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+    for name, value in {**static, **SETTINGS, **conf}.items():
         builder = builder.config(name, value)
     return tune(builder.getOrCreate())
 

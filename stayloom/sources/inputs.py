@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import lookup_sql
 from ..schema import ENCOUNTER_COLUMNS, MEDICATIONS
 
 
@@ -21,15 +22,6 @@ def _text(c: Column) -> Column:
     return c.cast("string")
 
 
-def _pick(value: Column, choices: dict[int, str], otherwise: str) -> Column:
-    """Value table lookup: CASE value WHEN … END."""
-    first, *rest = choices.items()
-    out = F.when(value == first[0], first[1])
-    for number, text in rest:
-        out = out.when(value == number, text)
-    return out.otherwise(otherwise)
-
-
 def raw_encounters(orders: DataFrame) -> DataFrame:
     """Raw encounter extract with ``row_id`` (input order): one scan of orders, copies added by an explode."""
     key, cust = F.col("o_orderkey").cast("bigint"), F.col("o_custkey").cast("bigint")
@@ -42,50 +34,48 @@ def raw_encounters(orders: DataFrame) -> DataFrame:
         orders.select(key.alias("k"), cust.alias("c"), F.explode(copies).alias("copy_no"))
         .select("k", "copy_no", (F.col("c") + (F.col("copy_no") == 2).cast("bigint")).alias("p"))
     )
-    k, p = F.col("k"), F.col("p")
-    decade = (p % 10) * 10
+    def pick(value, texts, otherwise):
+        return lookup_sql(value, dict(enumerate(texts)), otherwise)
+
     values = {
-        "encounter_id": _text(k),
-        "patient_nbr": _text(p),
-        "race": _pick((p + k % 3) % 9, {0: "?", 1: "AfricanAmerican", 2: "Asian", 3: "Hispanic", 4: "Other"},
-                      "Caucasian"),
-        "gender": F.when(k % 997 == 5, "Unknown/Invalid").when(p % 2 == 0, "Female").otherwise("Male"),
-        "age": F.when(k % 1009 == 7, "invalid_age").otherwise(
-            F.concat(F.lit("["), _text(decade), F.lit("-"), _text(decade + 10), F.lit(")"))),
-        "weight": F.when(k % 30 == 0, "[75-100)").otherwise("?"),
-        "admission_type_id": _text(k % 8 + 1),
-        "discharge_disposition_id": _text((k * 7 + p) % 28 + 1),
-        "admission_source_id": F.when(k % 1013 == 11, "abc").otherwise(_text((k * 5 + p) % 25 + 1)),
-        "time_in_hospital": F.when(k % 1019 == 13, "0").when(k % 1021 == 17, "15")
-            .when(k % 701 == 3, F.concat(F.lit(" "), _text(k % 14 + 1), F.lit(" "))).otherwise(_text(k % 14 + 1)),
-        "payer_code": _pick(k % 5, {0: "MC", 1: "HM", 2: ""}, "?"),
-        "medical_specialty": _pick(k % 4, {0: "Cardiology", 1: "InternalMedicine"}, "?"),
-        "num_lab_procedures": F.when(k % 1031 == 19, "-1").otherwise(_text((k * 13 + p) % 90)),
-        "num_procedures": _text((k + p) % 7),
-        "num_medications": F.when(k % 1033 != 23, _text((k * 3 + p) % 40 + 1)),
-        "number_outpatient": F.when((k + p) % 5 == 0, _text(k % 4)).otherwise("0"),
-        "number_emergency": F.when((k + p) % 7 == 0, _text(k % 3)).otherwise("0"),
-        "number_inpatient": F.when((k + p) % 3 == 0, _text(k % 5)).otherwise("0"),
-        "diag_1": _pick((k * 31 + p) % 16, {
-            0: "250.83", 1: "428", 2: "486", 3: "574", 4: "820", 5: "715.9", 6: "599", 7: "162", 8: "v57", 9: "E909",
-            10: "785.4", 11: "786", 12: "787", 13: "788", 14: "38"}, "?"),
-        "diag_2": _pick((k * 17 + p) % 8, {
-            0: "250", 1: "401", 2: "V45", 3: "427.31", 4: " 496 ", 5: "276", 6: "707"}, "?"),
-        "diag_3": _pick((k * 19 + p) % 8, {
-            0: "250.02", 1: "414", 2: "v58", 3: "585", 4: "996", 5: "272", 6: ""}, "?"),
-        "number_diagnoses": F.when(k % 1039 == 29, "17").otherwise(_text((k * 11 + p) % 16 + 1)),
-        "max_glu_serum": _pick(k % 10, {0: "Norm", 1: ">200", 2: ">300"}, "None"),
-        "a1c_result": _pick(p % 10, {0: "Norm", 1: ">7", 2: ">8"}, "None"),
-        "change": F.when((k + p) % 2 == 0, "Ch").otherwise("No"),
-        "diabetesmed": F.when(k % 4 == 0, "No").otherwise("Yes"),
-        "readmitted": F.when(k % 1049 == 31, "UNKNOWN").when((k * 7 + p * 3) % 9 == 0, "<30")
-            .when((k * 7 + p * 3) % 9 < 4, ">30").otherwise("NO"),
+        "encounter_id": "CAST(k AS STRING)",
+        "patient_nbr": "CAST(p AS STRING)",
+        "race": pick("(p + k % 3) % 9", ("?", "AfricanAmerican", "Asian", "Hispanic", "Other"), "Caucasian"),
+        "gender": "CASE WHEN k % 997 = 5 THEN 'Unknown/Invalid' WHEN p % 2 = 0 THEN 'Female' ELSE 'Male' END",
+        "age": "CASE WHEN k % 1009 = 7 THEN 'invalid_age' "
+               "ELSE format_string('[%d-%d)', p % 10 * 10, p % 10 * 10 + 10) END",
+        "weight": "if(k % 30 = 0, '[75-100)', '?')",
+        "admission_type_id": "CAST(k % 8 + 1 AS STRING)",
+        "discharge_disposition_id": "CAST((k * 7 + p) % 28 + 1 AS STRING)",
+        "admission_source_id": "CASE WHEN k % 1013 = 11 THEN 'abc' ELSE CAST((k * 5 + p) % 25 + 1 AS STRING) END",
+        "time_in_hospital": "CASE WHEN k % 1019 = 13 THEN '0' WHEN k % 1021 = 17 THEN '15' "
+                            "WHEN k % 701 = 3 THEN concat(' ', k % 14 + 1, ' ') ELSE CAST(k % 14 + 1 AS STRING) END",
+        "payer_code": pick("k % 5", ("MC", "HM", ""), "?"),
+        "medical_specialty": pick("k % 4", ("Cardiology", "InternalMedicine"), "?"),
+        "num_lab_procedures": "CASE WHEN k % 1031 = 19 THEN '-1' ELSE CAST((k * 13 + p) % 90 AS STRING) END",
+        "num_procedures": "CAST((k + p) % 7 AS STRING)",
+        "num_medications": "CASE WHEN k % 1033 <> 23 THEN CAST((k * 3 + p) % 40 + 1 AS STRING) END",
+        "number_outpatient": "if((k + p) % 5 = 0, CAST(k % 4 AS STRING), '0')",
+        "number_emergency": "if((k + p) % 7 = 0, CAST(k % 3 AS STRING), '0')",
+        "number_inpatient": "if((k + p) % 3 = 0, CAST(k % 5 AS STRING), '0')",
+        "diag_1": pick("(k * 31 + p) % 16", (
+            "250.83", "428", "486", "574", "820", "715.9", "599", "162", "v57", "E909", "785.4", "786", "787", "788",
+            "38"), "?"),
+        "diag_2": pick("(k * 17 + p) % 8", ("250", "401", "V45", "427.31", " 496 ", "276", "707"), "?"),
+        "diag_3": pick("(k * 19 + p) % 8", ("250.02", "414", "v58", "585", "996", "272", ""), "?"),
+        "number_diagnoses": "CASE WHEN k % 1039 = 29 THEN '17' ELSE CAST((k * 11 + p) % 16 + 1 AS STRING) END",
+        "max_glu_serum": pick("k % 10", ("Norm", ">200", ">300"), "None"),
+        "a1c_result": pick("p % 10", ("Norm", ">7", ">8"), "None"),
+        "change": "if((k + p) % 2 = 0, 'Ch', 'No')",
+        "diabetesmed": "if(k % 4 = 0, 'No', 'Yes')",
+        "readmitted": "CASE WHEN k % 1049 = 31 THEN 'UNKNOWN' WHEN (k * 7 + p * 3) % 9 = 0 THEN '<30' "
+                      "WHEN (k * 7 + p * 3) % 9 < 4 THEN '>30' ELSE 'NO' END",
     }
     for number, name in enumerate(MEDICATIONS, start=1):
         # two drugs nobody is given
-        values[name] = F.lit("No") if number in (16, 17) else _pick(
-            (k * number + p) % 11, {0: "Steady", 1: "Up", 2: "Down"}, "No")
-    return src.select((k * 4 + F.col("copy_no")).alias("row_id"), *(values[c].alias(c) for c in ENCOUNTER_COLUMNS))
+        values[name] = "'No'" if number in (16, 17) else pick(
+            f"(k * {number} + p) % 11", ("Steady", "Up", "Down"), "No")
+    return src.selectExpr("k * 4 + copy_no AS row_id", *(f"{values[c]} AS {c}" for c in ENCOUNTER_COLUMNS))
 
 
 def etl_runs(events: DataFrame) -> DataFrame:
