@@ -128,6 +128,18 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
         "recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime")
 
 
+def given_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Size of the files somebody names; an absent path raises. Spark's listing leaves out empty files, so a named
+    file it does not return is empty: size 0."""
+    def bare(c):
+        return F.regexp_replace(c, "^[A-Za-z0-9+.-]+:(//[^/]*)?", "")
+
+    listed = spark.read.format("binaryFile").load(paths).select(bare("path").alias("_bare"), "length")
+    named = spark.createDataFrame([(p,) for p in paths], "path string")
+    return named.join(listed, bare("path") == F.col("_bare"), "left").select(
+        "path", F.coalesce("length", F.lit(0)).alias("length"))
+
+
 def newest_file(spark: SparkSession, folder: str, glob: str, explicit: str | None = None) -> str:
     """An explicit path wins; otherwise the newest matching file; an error if there is none."""
     if explicit is not None:
