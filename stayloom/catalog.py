@@ -556,13 +556,12 @@ def patients_page(L):
 
 @query
 def hospitalizations_page(L):
-    return measures.page(marts.mart_hospitalizations(L), "encounter_key", limit=50, offset=100)
+    return measures.hospitalizations_page(L, limit=50, offset=100)
 
 
 @query
 def readmissions_page(L):
-    rows = measures.where_equal(marts.mart_readmission(L), readmitted_30_days=1)
-    return measures.page(rows, "encounter_key", limit=25)
+    return measures.readmissions_page(L, limit=25, readmitted_30_days=1)
 
 
 @query

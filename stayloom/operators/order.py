@@ -65,6 +65,28 @@ def running_total(df: DataFrame, by: Sequence[str], sums: dict[str, str], group:
         *df.columns, *((F.col(f"_before_{n}") + F.col(f"_local_{n}")).alias(n) for n in sums))
 
 
+def carry_forward(df: DataFrame, by: Sequence[str], value: str, group: Sequence[str] = ()) -> DataFrame:
+    """Replace NULLs of ``value`` by the last earlier non-NULL value in the order of ``by`` within ``group``.
+
+    A range partition fills from its own rows; what it needs from before comes from the last values of the earlier
+    partitions, one row per partition and group, so even a single huge group is spread over many tasks.
+    """
+    group = list(group)
+    ranged = _ranged(df, [*group, *by], "carry")
+    last = ranged.filter(F.col(value).isNotNull()).groupBy(*group, _PART).agg(F.max_by(value, _ROW).alias("_last"))
+    parts = ranged.groupBy(*group, _PART).agg(F.count("*").alias("_n")).join(
+        last.select(*(F.col(g).alias(f"_last_{g}") for g in group), F.col(_PART).alias("_last_part"), "_last"),
+        [F.col(_PART) == F.col("_last_part"), *(F.col(g).eqNullSafe(F.col(f"_last_{g}")) for g in group)], "left")
+    earlier = W.partitionBy(*group).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    carried = parts.select(
+        *(F.col(g).alias(f"_group_{g}") for g in group), F.col(_PART).alias("_p"),
+        F.last("_last", ignorenulls=True).over(earlier).alias("_carried")).filter(F.col("_carried").isNotNull())
+    inside = W.partitionBy(*group, _PART).orderBy(_ROW).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = ranged.withColumn(value, F.last(value, ignorenulls=True).over(inside))
+    match = [F.col(_PART) == F.col("_p"), *(F.col(g).eqNullSafe(F.col(f"_group_{g}")) for g in group)]
+    return local.join(carried, match, "left").withColumn(value, F.coalesce(value, "_carried")).select(*df.columns)
+
+
 def value_ranks(values: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     """Distinct values with their count and the rank of their last copy: ``(group…, value, n, last_rank)``.
 
@@ -80,7 +102,7 @@ def quantiles(values: DataFrame, value: str, wanted: dict[str, float], group: Se
     group = list(group)
     ranks = value_ranks(values.select(*group, value), group, value).withColumn(
         "_first", F.col("last_rank") - F.col("n"))  # zero-based position of the first copy
-    sizes = ranks.groupBy(*group).agg(F.max("last_rank").alias("_size"))
+    sizes = values.groupBy(*group).agg(F.count(value).alias("_size"))
     if group:
         renamed = sizes.select(*(F.col(g).alias(f"_g_{g}") for g in group), "_size")
         ranks = ranks.join(renamed, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])

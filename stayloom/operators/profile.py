@@ -81,13 +81,16 @@ def token_summary(df: DataFrame, token: str = "?") -> DataFrame:
 
 
 def quality_summary(df: DataFrame) -> DataFrame:
-    """Type, NULLs, distinct values and NULL share of every column."""
-    kinds = column_types(df).select("column_name", "data_type")
-    return (
-        kinds.join(null_summary(df).drop("severity"), "column_name").join(distinct_counts(df), "column_name")
-        .select("column_name", "data_type", "null_count", "unique_count", "null_percentage")
-        .orderBy(F.desc("null_percentage"), "column_name")
-    )
+    """Type, NULLs, distinct values and NULL share of every column, all from one count per (column, value)."""
+    per_value = long_form(df).groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    per_column = per_value.groupBy("column_name").agg(
+        F.coalesce(F.sum(F.expr("CASE WHEN value IS NULL THEN n END")), F.lit(0)).alias("null_count"),
+        F.count("*").alias("unique_count"), F.sum("n").alias("total_rows"))
+    return column_types(df).join(per_column, "column_name", "left").select(
+        "column_name", "data_type", F.coalesce("null_count", F.lit(0)).alias("null_count"),
+        F.coalesce("unique_count", F.lit(0)).alias("unique_count"),
+        percent(F.coalesce("null_count", F.lit(0)), F.coalesce("total_rows", F.lit(0)), 2).alias("null_percentage"),
+    ).orderBy(F.desc("null_percentage"), "column_name")
 
 
 def category_summary(df: DataFrame, column: str, limit: int | None = 20) -> DataFrame:

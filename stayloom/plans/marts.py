@@ -41,10 +41,11 @@ def _with_descriptions(df: DataFrame, star, names) -> DataFrame:
     return df
 
 
-def mart_hospitalizations(star) -> DataFrame:
-    """Encounter grain with labels."""
+def mart_hospitalizations(star, encounters: DataFrame | None = None) -> DataFrame:
+    """Encounter grain with labels, of all encounters or of given rows of the fact."""
+    facts = star.fact_hospitalization() if encounters is None else encounters
     patients = star.dim_patient().select("patient_key", "gender", "race", "first_age_bracket")
-    named = _with_descriptions(star.fact_hospitalization().join(patients, "patient_key"), star,
+    named = _with_descriptions(facts.join(patients, "patient_key"), star,
                                ("admission_type", "discharge_disposition", "admission_source"))
     return named.select(
         "encounter_key", "patient_key", "gender", "race", "first_age_bracket", "admission_type_description",
@@ -62,10 +63,12 @@ def by_diagnosis_role(df: DataFrame, star, role: str = "diag_1") -> DataFrame:
     return df.join(codes, f"{role}_key", "left")
 
 
-def mart_readmission(star) -> DataFrame:
-    """Encounter grain: outcome and factors."""
+def mart_readmission(star, outcomes: DataFrame | None = None) -> DataFrame:
+    """Encounter grain: outcome and factors, of all encounters or of given rows of the outcome fact."""
+    facts = encounter_outcomes(star) if outcomes is None else star.fact_hospitalization().join(
+        outcomes, "encounter_key")
     patients = star.dim_patient().select("patient_key", "gender", "race", "first_age_bracket")
-    df = by_diagnosis_role(encounter_outcomes(star).join(patients, "patient_key"), star)
+    df = by_diagnosis_role(facts.join(patients, "patient_key"), star)
     return _with_descriptions(df, star, ("admission_type",)).select(
         "encounter_key", "gender", "race", "first_age_bracket", "admission_type_description",
         F.col("diagnosis_group").alias("diag_1_group"), "time_in_hospital", "total_previous_visits", "readmitted",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
-from .marts import by_diagnosis_role, encounter_outcomes
+from .marts import by_diagnosis_role, encounter_outcomes, mart_hospitalizations, mart_readmission
 
 # --- measures as columns: usable in any groupBy --------------------------------------------------------------------
 
@@ -129,6 +129,23 @@ def page(df: DataFrame, key: str, limit: int = 50, offset: int = 0, most: int =
     return df.orderBy(key).offset(offset).limit(limit).withColumn("total", total)
 
 
+def _page_of(fact: DataFrame, limit: int, offset: int, decorate) -> DataFrame:
+    """A page of a fact in key order, labelled afterwards: every encounter has its patient, so the joins drop no
+    row and need to see only the page."""
+    rows = page(fact, "encounter_key", limit, offset)
+    total = fact.agg(F.count("*").alias("n")).scalar()
+    return decorate(rows.drop("total")).orderBy("encounter_key").withColumn("total", total)
+
+
+def hospitalizations_page(star, limit: int = 50, offset: int = 0) -> DataFrame:
+    return _page_of(star.fact_hospitalization(), limit, offset, lambda rows: mart_hospitalizations(star, rows))
+
+
+def readmissions_page(star, limit: int = 50, offset: int = 0, readmitted_30_days: int | None = None) -> DataFrame:
+    wanted = where_equal(star.fact_readmission(), readmitted_30_days=readmitted_30_days)
+    return _page_of(wanted, limit, offset, lambda rows: mart_readmission(star, rows))
+
+
 def newest(df: DataFrame, at: str = "started_at", limit: int = 20, tie: str | None = None) -> DataFrame:
     """Newest rows first."""
     if not 1 <= limit <= 200:

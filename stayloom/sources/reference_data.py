@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.order import carry_forward
 from ..schema import NO_DESCRIPTION, REFERENCE_SECTIONS
 
 # The published code lists (identifier, description), in file order.
@@ -99,9 +99,8 @@ def parse_stacked(lines: DataFrame, sections=tuple(REFERENCE_SECTIONS)) -> DataF
     blank = F.coalesce(F.col("head") == "", F.lit(True))
     # A marker on opening and closing lines only; '' closes.
     marker = F.when(blank, "").when(F.col("head").isin(*sections), F.col("head"))
-    so_far = W.partitionBy("file").orderBy("line_no").rowsBetween(W.unboundedPreceding, W.currentRow)
     return (
-        parsed.withColumn("section", F.last(marker, ignorenulls=True).over(so_far))
+        carry_forward(parsed.withColumn("section", marker), ["line_no"], "section", ["file"])
         .withColumn("id", F.col("head").try_cast("int"))
         .filter((F.col("section") != "") & F.col("id").isNotNull())
         .select("file", "line_no", "section", "id",

@@ -31,6 +31,17 @@ def test_running_total(numbers):
     assert got == want
 
 
+def test_carry_forward(spark, numbers):
+    rows, _ = numbers
+    marked = [(i, g, v if v == 7 else None) for i, g, v in rows]
+    df = spark.createDataFrame(marked, "id int, g string, m int").repartition(5)
+    got = {r.id: r.m for r in order.carry_forward(df, ["id"], "m", ["g"]).collect()}
+    last, want = {}, {}
+    for i, g, m in marked:
+        last[g] = want[i] = last.get(g) if m is None else m
+    assert got == want
+
+
 def test_quantiles(numbers):
     rows, df = numbers
     wanted = {"q80": 0.8, "q95": 0.95, "q0": 0.0, "q1": 1.0}
