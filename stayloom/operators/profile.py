@@ -19,6 +19,7 @@ from ..functions.text import ident, literal
 from ..schema import SEVERITY_BANDS
 from .order import quantiles
 from .quality import column_types, long_counts
+from .reshape import melt
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -35,9 +36,7 @@ def shape(df: DataFrame) -> DataFrame:
 
 def long_form(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """``(column_name, value)`` with every value as text."""
-    columns = list(columns or df.columns)
-    cells = ", ".join(f"{literal(c)}, CAST({ident(c)} AS STRING)" for c in columns)
-    return df.select(F.expr(f"stack({len(columns)}, {cells}) AS (column_name, value)"))
+    return melt(df, [], list(columns or df.columns), "column_name", "value")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -159,18 +158,13 @@ def anomalies(df: DataFrame, not_positive: Sequence[str], negative: Sequence[str
     return df.filter(reduce(or_, tests))
 
 
-def numeric_long(df: DataFrame, columns: Sequence[str], kind: str) -> DataFrame:
-    cells = ", ".join(f"{literal(c)}, CAST({ident(c)} AS {kind})" for c in columns)
-    return df.select(F.expr(f"stack({len(columns)}, {cells}) AS (column_name, value)"))
-
-
 def describe(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "decimal(18,4)") -> DataFrame:
     """Count, NULLs, mean, sample standard deviation, minimum, quartiles (nearest rank), maximum per column.
 
     Sums are decimal, so the result does not depend on how the rows are split over tasks.
     """
     columns = list(columns or numeric_columns(df))
-    long = numeric_long(df, columns, kind)
+    long = melt(df, [], columns, "column_name", "value", kind)
     v = F.col("value")
     sums = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.count_if(v.isNull()).alias("null_count"),

@@ -16,6 +16,7 @@ from ..functions.text import (ident, inside_sql, integer_sql, is_missing, listed
                               out_of_bounds_sql, strip_sql)
 from ..schema import MISSING_TOKENS, RuleSet
 from .order import repeated_keys
+from .reshape import melt
 
 VIOLATION_COLUMNS = ("row_id", "rule_name", "column_name", "invalid_value", "rejection_reason")
 
@@ -92,7 +93,7 @@ def row_violations(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ())
     declared rules.
     """
     checked = list(dict.fromkeys((*rules.required, *rules.bounds, *rules.allowed)))
-    triples = rows.filter(suspicious(rules)).unpivot(["row_id", *carry], checked, "column_name", "value")
+    triples = melt(rows.filter(suspicious(rules)), ["row_id", *carry], checked, "column_name", "value")
     broken = F.expr(f"""CASE rule_name
         WHEN 'required_value' THEN {missing_sql('value')}
         WHEN 'invalid_numeric_value' THEN NOT {missing_sql('value')} AND NOT coalesce(

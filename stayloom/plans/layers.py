@@ -26,7 +26,7 @@ from . import clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
-_stored: dict[tuple[str, str, str], Callable[[], DataFrame]] = {}
+_stored: dict[tuple[str, str, str], Callable[[SparkSession], DataFrame]] = {}
 
 
 def input_fingerprint(spark: SparkSession, path: str) -> str:
@@ -62,14 +62,14 @@ class Layers:
             if bucket is None:
                 df.write.option("compression", "zstd").parquet(path)
                 schema = df.schema
-                _stored[key] = lambda: self.spark.read.schema(schema).parquet(path)
+                _stored[key] = lambda spark: spark.read.schema(schema).parquet(path)
             else:
                 buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
                 table = f"stayloom_{name}_{tag}"
                 (df.repartition(buckets, bucket).write.option("compression", "zstd").option("path", path)
                  .bucketBy(buckets, bucket).sortBy(bucket).saveAsTable(table))
-                _stored[key] = lambda: self.spark.table(table)
-        return _stored[key]()
+                _stored[key] = lambda spark: spark.table(table)
+        return _stored[key](self.spark)
 
     def raw_lazy(self) -> DataFrame:
         return inputs.raw_encounters(spread(self.input("orders").select("o_orderkey", "o_custkey")))

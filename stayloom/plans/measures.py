@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio
+from ..operators.reshape import melt
 from .marts import by_diagnosis_role, encounter_outcomes, mart_hospitalizations, mart_readmission
 
 # --- measures as columns: usable in any groupBy --------------------------------------------------------------------
@@ -41,8 +42,7 @@ def by(df: DataFrame, dimensions: Sequence[str], names: Sequence[str]) -> DataFr
 
 def factor_rates(df: DataFrame, factors: Sequence[str], name: str = "readmitted_30_days_rate") -> DataFrame:
     """One measure by each of several factors, from one pass: ``(factor, value, encounters, <measure>)``."""
-    cells = F.array(*(F.struct(F.lit(f).alias("factor"), F.col(f).cast("string").alias("value")) for f in factors))
-    long = df.select("encounter_key", "readmitted_30_days", "readmitted_flag", F.inline(cells))
+    long = melt(df, ["encounter_key", "readmitted_30_days", "readmitted_flag"], factors, "factor", "value")
     return long.groupBy("factor", "value").agg(F.count("*").alias("encounters"), measure(name))
 
 

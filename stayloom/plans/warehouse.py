@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.clinical import diagnosis_family
 from ..functions.text import one_of
 from ..operators.order import dense_key, first_per_key
+from ..operators.reshape import melt
 from ..schema import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, DIAGNOSES, MEDICATIONS
 
 
@@ -93,9 +94,8 @@ def fact_readmission(encounters: DataFrame) -> DataFrame:
 
 def prescriptions(curated: DataFrame) -> DataFrame:
     """Encounter × prescribed drug: the 23 drug columns unpivoted in one scan, ``No`` and unknown left out."""
-    return curated.unpivot(
-        F.col("encounter_id").alias("encounter_key"), list(MEDICATIONS), "medication_name", "status",
-    ).filter(F.col("status") != "No")
+    named = curated.select(F.col("encounter_id").alias("encounter_key"), *MEDICATIONS)
+    return melt(named, ["encounter_key"], MEDICATIONS, "medication_name", "status").filter(F.col("status") != "No")
 
 
 def fact_medication_usage(curated: DataFrame, medications: DataFrame) -> DataFrame:
