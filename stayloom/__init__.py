@@ -1 +1 @@
-"""Hospital-encounter analytics as Spark jobs: quality rules, cleaning, features, star schema, marts, measures, models."""
+"""Hospital-encounter analytics as Spark jobs: rules, cleaning, features, star schema, marts, measures, models."""

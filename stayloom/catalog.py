@@ -763,12 +763,12 @@ MAIN_NUMBERS = ("time_in_hospital", "num_lab_procedures", "num_procedures", "num
 
 @query
 def profile_describe(L):
-    return profile.describe(_numbers(L), MAIN_NUMBERS)
+    return profile.describe(_numbers(L), MAIN_NUMBERS, "decimal(18,0)")
 
 
 @query
 def profile_describe_lineitem(L):
-    return profile.describe(L.input("lineitem"), ("l_quantity", "l_extendedprice", "l_discount"))
+    return profile.describe(L.input("lineitem"), ("l_quantity", "l_extendedprice", "l_discount"), "decimal(18,4)")
 
 
 @query

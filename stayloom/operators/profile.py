@@ -158,17 +158,19 @@ def anomalies(df: DataFrame, not_positive: Sequence[str], negative: Sequence[str
     return df.filter(reduce(or_, tests))
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "decimal(18,4)") -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "double") -> DataFrame:
     """Count, NULLs, mean, sample standard deviation, minimum, quartiles (nearest rank), maximum per column.
 
-    Sums are decimal, so the result does not depend on how the rows are split over tasks.
+    With a decimal ``kind`` the sums are exact, so the result does not depend on how the rows are split over tasks;
+    choose one that holds every digit of the columns.
     """
     columns = list(columns or numeric_columns(df))
     long = melt(df, [], columns, "column_name", "value", kind)
     v = F.col("value")
+    square = v * v if kind == "double" else (v * v).cast("decimal(38,8)")
     sums = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.count_if(v.isNull()).alias("null_count"),
-        F.sum(v).cast("double").alias("s"), F.sum((v * v).cast("decimal(38,8)")).cast("double").alias("ss"),
+        F.sum(v).cast("double").alias("s"), F.sum(square).cast("double").alias("ss"),
         F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max"))
     n = F.col("count").cast("double")
     quartiles = quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column_name"], "nearest")
