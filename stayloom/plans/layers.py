@@ -26,17 +26,19 @@ from . import clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
+BYTES_PER_BUCKET = 16 * 2**20  # of the compressed input
+
 _stored: dict[tuple[str, str, str], Callable[[SparkSession], DataFrame]] = {}
 
 
-def input_fingerprint(spark: SparkSession, path: str) -> str:
-    """Identity of the files below a path; only the listing is read, never the content."""
+def input_fingerprint(spark: SparkSession, path: str) -> tuple[str, int]:
+    """Identity and size of the files below a path; only the listing is read, never the content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = files.agg(
         F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
         F.coalesce(F.bit_xor(F.xxhash64("path", "modificationTime", "length")), F.lit(0)).alias("mix"),
     ).first()
-    return f"{row['files']}-{row['bytes']}-{row['mix'] & (2**64 - 1):016x}"
+    return f"{row['files']}-{row['bytes']}-{row['mix'] & (2**64 - 1):016x}", row["bytes"]
 
 
 class Layers:
@@ -47,9 +49,18 @@ class Layers:
         self.rules = HOSPITAL_RULES
 
     @cached_property
+    def _source(self) -> tuple[str, int]:
+        return input_fingerprint(self.spark, f"{self.folder}/orders.parquet")
+
+    @property
     def _key(self) -> tuple[str, str]:
-        return (self.spark.sparkContext.applicationId,
-                input_fingerprint(self.spark, f"{self.folder}/orders.parquet"))
+        return self.spark.sparkContext.applicationId, self._source[0]
+
+    @property
+    def _buckets(self) -> int:
+        """The session's shuffle width, fewer for an input too small to fill it. Equal for all facts of an input."""
+        wanted = max(self.spark.sparkContext.defaultParallelism, self._source[1] // BYTES_PER_BUCKET)
+        return min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), wanted)
 
     def input(self, name: str) -> DataFrame:
         return inputs.table(self.spark, self.folder, name)
@@ -64,7 +75,7 @@ class Layers:
                 schema = df.schema
                 _stored[key] = lambda spark: spark.read.schema(schema).parquet(path)
             else:
-                buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                buckets = self._buckets
                 table = f"stayloom_{name}_{tag}"
                 (df.repartition(buckets, bucket).write.option("compression", "zstd").option("path", path)
                  .bucketBy(buckets, bucket).sortBy(bucket).saveAsTable(table))
