@@ -5,15 +5,47 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact
+from . import chat, decontaminate, exact, warc
 from .common import table
 
 
+def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(  # conversation -1: a user row, then an assistant row
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = table(spark, folder, "conversations").select(*extra.columns).unionByName(extra)
+    return chat.conversation_digests(chat.chat_windows(rows))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    judged = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archive = warc.archive_folder(spark)
+    index = warc.write_archives(warc.with_record_types(table(spark, folder, "pages")), archive)
+    read = warc.read_records(index, archive)
+    held = F.col("payload").isNotNull()
+    return read.select(
+        F.col("record_id").alias("page_id"),
+        F.when(held, F.octet_length("payload").cast("long")).otherwise(F.col("header_bytes")).alias("payload_bytes"),
+        F.when(held, F.sha1("payload")).otherwise(F.col("header_digest")).alias("payload_digest"),
+        "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
+    "op6_decontaminate": op6_decontaminate,
+    "op8_warc": op8_warc,
 }
