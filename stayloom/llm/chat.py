@@ -72,7 +72,7 @@ def _spans(turns: DataFrame, budget: int, history_tokens: int) -> DataFrame:
         F.concat(a, F.array(F.struct(x["seq"].alias("first"), (x["prefix"] - x["tokens"]).alias("before"))))
     ).otherwise(a))
     cut = blocks.select("conv_id", cuts.alias("cuts"), F.element_at("t", -1)["seq"].alias("end"))
-    return cut.select("conv_id", F.inline(F.transform("cuts", lambda c, i: F.struct(
+    return cut.select("conv_id", F.inline_outer(F.transform("cuts", lambda c, i: F.struct(
         c["first"].alias("first"), F.coalesce(F.get("cuts", i + 1)["first"] - 1, F.col("end")).alias("last"),
         c["before"].alias("before")))))
 

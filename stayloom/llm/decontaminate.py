@@ -47,7 +47,8 @@ def fingerprints(texts: DataFrame, short_lengths: list[int]) -> DataFrame:
     """Add ``posts``: array of (fingerprint, first and last window position + 1, words a window has).
 
     ``texts`` has a column ``words``. Each step is a projection of its own: what a lambda reads must be a column, or
-    it would be computed again for each element.
+    it would be computed again for each element. Callers explode the posts with the outer variants, because for the
+    inner ones Spark would push a test of the whole expression below all these steps.
     """
     n = F.size("words")
     step = texts.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
@@ -86,9 +87,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     spans = items.select("item", "words", F.least("n", F.lit(WINDOW)).alias("length"), F.explode(
         F.sequence(F.lit(0), F.greatest(F.col("n") - WINDOW, F.lit(0)))).alias("at"))
     windows = staged(spans.select(_gram("at", "length").alias("gram"), "item").distinct(), "benchmark-windows")
-    prints = staged(fingerprints(items, lengths).select(F.explode("posts").alias("p")).filter(
+    prints = staged(fingerprints(items, lengths).select("n", F.explode_outer("posts").alias("p")).filter(
         F.col("p.length") == F.least("n", F.lit(WINDOW))).select(F.col("p.m").alias("m")).distinct()
-        if lengths else fingerprints(items, []).select(F.explode("posts.m").alias("m")).distinct(),
+        if lengths else fingerprints(items, []).select(F.explode_outer("posts.m").alias("m")).distinct(),
         "benchmark-fingerprints")
 
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_column).alias("text_key"),
@@ -100,13 +101,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id
     posted = fingerprints(texts, lengths).withColumn("posts", F.concat("posts", F.array(none)))
     known = prints.select(F.col("m").alias("known"))
     if prints.count() <= broadcast_rows:
-        scan = posted.select("doc_id", "text_key", "n_words", "words", F.inline("posts")).join(
+        scan = posted.select("doc_id", "text_key", "n_words", "words", F.inline_outer("posts")).join(
             F.broadcast(known), F.col("m") == F.col("known"), "left").filter("start < 0 or known is not null")
         scan = staged(scan.select("doc_id", "text_key", "n_words", "start", "length", F.when(
             F.col("start") >= 0, F.transform(F.sequence("start", F.col("stop") - 1), lambda i: _gram(i, "length"))
         ).alias("grams")), "document-windows")
     else:
-        narrow = posted.select("doc_id", "text_key", "n_words", F.inline("posts"))
+        narrow = posted.select("doc_id", "text_key", "n_words", F.inline_outer("posts"))
         found = staged(narrow.join(known, F.col("m") == F.col("known"), "left")
                        .filter("start < 0 or known is not null").drop("m", "known"), "matched-posts")
         runs = found.filter("start >= 0").groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(

@@ -63,10 +63,10 @@ grams AS (
   FROM (SELECT item_id, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS k FROM i
         WHERE len(w) > 0)),
 sizes AS (SELECT DISTINCT n FROM grams),
-at AS (
+places AS (
   SELECT doc_id, k, n, array_to_string(list_slice(w, k, k + n - 1), ' ') AS gram
   FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
-hits AS (SELECT doc_id, k, a.n, item_id FROM at a JOIN grams g ON a.gram = g.gram AND a.n = g.n),
+hits AS (SELECT doc_id, k, a.n, item_id FROM places a JOIN grams g ON a.gram = g.gram AND a.n = g.n),
 covered AS (
   SELECT doc_id, count(DISTINCT x) AS n_hit
   FROM (SELECT doc_id, unnest(range(k, k + n)) AS x FROM (SELECT DISTINCT doc_id, k, n FROM hits)) GROUP BY doc_id),
