@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, warc
-from .common import table
+from . import chat, decontaminate, exact, language, near, packing, pii, toxicity, warc
+from .common import crc32_of_id, table
 
 
 def op1_chat_format(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,6 +24,18 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held_out = crc32_of_id("doc_id") % 5 == 0
+    model = toxicity.fit(documents.filter(~held_out), labels.filter(~held_out))
+    return toxicity.score_documents(documents, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     judged = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return judged.select(
@@ -31,6 +43,12 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     archive = warc.archive_folder(spark)
     index = warc.write_archives(warc.with_record_types(table(spark, folder, "pages")), archive)
@@ -43,9 +61,26 @@ def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
         "record_type", "refers_to")
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pseudonymised(table(spark, folder, "documents"), pii.DEMO_KEY)
+
+
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    held_out = crc32_of_id("doc_id") % 3 == 1
+    net = language.fit(documents.filter(~held_out))
+    return language.identify(documents, net).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "shares")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_toxicity": op4_toxicity,
+    "op5_minhash": op5_minhash,
     "op6_decontaminate": op6_decontaminate,
+    "op7_packing": op7_packing,
     "op8_warc": op8_warc,
+    "op9_pii": op9_pii,
+    "op10_language_id": op10_language_id,
 }
