@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, language, near, packing, pii, toxicity, warc
+from . import chat, decontaminate, exact, language, near, packing, pii, secrets, toxicity, warc
 from .common import crc32_of_id, table
 
 
@@ -24,6 +24,12 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, folder, "documents"))
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    found = secrets.candidates(documents)
+    return secrets.secrets(found, secrets.fit(documents, secrets.weak_labels(found)))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held_out = crc32_of_id("doc_id") % 5 == 0
@@ -76,6 +82,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_secrets": op3_secrets,
     "op4_toxicity": op4_toxicity,
     "op5_minhash": op5_minhash,
     "op6_decontaminate": op6_decontaminate,

@@ -42,22 +42,35 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _word_hashes(data: np.ndarray, starts_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word and the number of words before each text."""
-    inside = ~_SPACE[data]
+def runs_of(inside: np.ndarray, starts_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and last + 1 of each run of ``inside`` bytes; a run never reaches into the next text."""
     first = inside.copy()
     first[1:] &= ~inside[:-1]
-    own = starts_of[:-1][starts_of[:-1] < len(data)]
+    own = starts_of[:-1][starts_of[:-1] < len(inside)]
     first[own] = inside[own]  # a text's first word starts there even if the one before ends without a blank
     last = inside.copy()
     last[:-1] &= ~inside[1:]
     own = starts_of[1:-1][starts_of[1:-1] > 0] - 1
     last[own] = inside[own]
-    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-    summed = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[_LOWER[data]] * _power(_BASE, len(data)), out=summed[1:])
-    hashes = _mixed((summed[end] - summed[begin]) * _power(_BACK, len(data))[begin] + (end - begin).astype(np.uint64))
-    return hashes, np.searchsorted(begin, starts_of)
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+class SpanHashes:
+    """Hash of any span of the bytes, lower-cased, in constant time."""
+
+    def __init__(self, data: np.ndarray):
+        self.summed = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(_VALUES[_LOWER[data]] * _power(_BASE, len(data)), out=self.summed[1:])
+        self.back = _power(_BACK, len(data))
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return _mixed((self.summed[end] - self.summed[begin]) * self.back[begin] + (end - begin).astype(np.uint64))
+
+
+def _word_hashes(data: np.ndarray, starts_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word and the number of words before each text."""
+    begin, end = runs_of(~_SPACE[data], starts_of)
+    return SpanHashes(data).of(begin, end), np.searchsorted(begin, starts_of)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:

@@ -1,6 +1,6 @@
 """Toxicity by non-negative positive-unlabelled learning, in numpy.
 
-Confirmed toxic documents are the positives; everything else is unlabelled text, which holds toxic documents too. The
+Confirmed toxic documents are the positives. The unlabelled text is drawn from all documents, so it holds toxic ones too. The
 classifier minimises the risk estimate
 
     prior * E_P[loss(+)] + max(0, E_U[loss(-)] - prior * E_P[loss(-)])
@@ -8,17 +8,17 @@ classifier minimises the risk estimate
 in which the unlabelled part is corrected by the class prior. Where a step makes the corrected part negative, that part
 is driven back up instead (the positives it was corrected by have been over-fitted).
 
-A text is lower-cased (A-Z) and read as overlapping windows of WINDOW bytes. A window's score is the sum of the weights
-of its runs of GRAM bytes, hashed to FEATURES values, and a document's score is that of its most toxic window, so that a
-few sentences decide in a text of any length. Training starts from the mean of the windows and then goes on with the
-highest one.
+A text is read as runs of letters, lower-cased (A-Z). A word's features are itself and its beginnings of 4, 5 and 6
+bytes, hashed to FEATURES values, so that inflected and derived forms count as well. A document's margin is a linear
+function of how often each feature comes up per word, so it does not depend on the length of the text. Features that
+fewer than LEAST_DOCUMENTS confirmed documents have are left out, and weights are drawn to zero.
 
-Training is on the driver, over a bounded sample: at most SAMPLE_POSITIVE confirmed and SAMPLE_UNLABELLED other documents,
+Training is on the driver, over a bounded sample: at most SAMPLE_POSITIVE confirmed and SAMPLE_UNLABELLED arbitrary documents,
 chosen by the hash of their id among documents of at most SAMPLE_CHARS code points. Scoring reads every whole text.
 
-Defined results: a null or empty text has the score of a window without runs, and so has every text if there are no
-confirmed documents (the score is then the prior). Rows that repeat an id are scored one by one; a document is confirmed
-if any label row says so. An empty table gives an empty result. Other columns of the inputs are ignored.
+Defined results: a text without a letter (null, empty) has a margin of its own, the bias. Without confirmed documents
+nothing can be learned and every score is the class prior. Rows that repeat an id are scored one by one; a document is
+confirmed if any label row says so. An empty table gives an empty result. Other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -32,99 +32,106 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import text_batches, utf8
+from .shingles import SpanHashes, runs_of
 
 SAMPLE_POSITIVE, SAMPLE_UNLABELLED, SAMPLE_CHARS = 1500, 5000, 8192
-GRAM, BITS, WINDOW = 5, 18, 512
+BITS, BEGINNINGS, LEAST_DOCUMENTS = 20, (4, 5, 6), 3
 FEATURES = 1 << BITS
-EPOCHS, BATCH, RATE, DECAY, BETA = 8, 128, 0.05, 1e-4, 0.0
+#: A feature's value is its count per PER_WORDS words; EXTRA_WORDS are added so that no word decides alone in a short text.
+PER_WORDS, EXTRA_WORDS = 50, 20
+STEPS, BATCH, RATE, DECAY = 1500, 256, 0.2, 2e-4
+#: The sign of the corrected part is judged on its running mean over batches, and steps back are shortened.
+SMOOTH, GAMMA = 0.95, 0.3
 
 SCORES = "doc_id long, score double"
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
+_BYTES_AT_ONCE = 4 << 20
 
 
 class Classifier(NamedTuple):
-    weights: np.ndarray
+    weights: np.ndarray  # FEATURES and a zero for beginnings that a short word does not have
     bias: float
 
 
-def features(data: np.ndarray) -> np.ndarray:
-    """Hashed value of the run of GRAM bytes at each position; what reaches over the end of the bytes is left out."""
-    n = len(data) - GRAM + 1
-    if n <= 0:
-        return np.empty(0, np.uint32)
-    padded = np.zeros(len(data) + 8, np.uint8)
-    padded[:len(data)] = _LOWER[data]
-    runs = np.ndarray((n,), "<u8", padded, strides=(1,)) & np.uint64((1 << 8 * GRAM) - 1)
-    return ((runs * _MIX) >> np.uint64(64 - BITS)).astype(np.uint32)
-
-
-def _windows(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last + 1 position of the windows over a text with so many runs. They overlap by a half."""
-    starts = np.arange(0, max(size - WINDOW // 2, 1), WINDOW // 2)
-    return starts, np.minimum(starts + WINDOW, size)
-
-
-def window_scores(model: Classifier, runs: np.ndarray) -> np.ndarray:
-    starts, ends = _windows(len(runs))
-    sums = np.concatenate([[0.0], np.cumsum(model.weights[runs], dtype=np.float64)])
-    return sums[ends] - sums[starts] + model.bias
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features of each word (words, 1 + beginnings) and the number of words before each text."""
+    begin, end = runs_of(_LETTER[data], offsets)
+    spans = SpanHashes(data)
+    shift = np.uint64(64 - BITS)
+    found = [(spans.of(begin, end) >> shift).astype(np.int64)]
+    for n in BEGINNINGS:
+        long = end - begin > n
+        found.append(np.full(len(begin), FEATURES, np.int64))
+        found[-1][long] = (spans.of(begin[long], begin[long] + n) * np.uint64(2 * n + 1) >> shift).astype(np.int64)
+    return np.stack(found, axis=1), np.searchsorted(begin, offsets)
 
 
 def score(model: Classifier, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Probability for each text, from its highest window."""
-    best = [window_scores(model, features(data[a:b])).max() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
-    return 1 / (1 + np.exp(-np.clip(np.array(best, np.float64), -30, 30)))
-
-
-def train(positive: list[bytes], unlabelled: list[bytes], prior: float, epochs: int = EPOCHS,
-          seed: int = 11) -> Classifier:
-    """Fit by Adagrad on batches of positives and unlabelled documents."""
-    rest = float(np.log(prior / (1 - prior)))
-    model = Classifier(np.zeros(FEATURES, np.float32), rest)
+    """Probability for each text."""
+    margins, at = np.full(len(offsets) - 1, float(model.bias)), 0
+    while at < len(margins):  # so many texts that their bytes fit, or a single long one
+        to = max(int(np.searchsorted(offsets, offsets[at] + _BYTES_AT_ONCE, "right")) - 1, at + 1)
+        found, words = features(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
+        summed = np.concatenate([[0.0], np.cumsum(model.weights[found].sum(axis=1), dtype=np.float64)])
+        margins[at:to] += PER_WORDS * (summed[words[1:]] - summed[words[:-1]]) / (np.diff(words) + EXTRA_WORDS)
+        at = to
+    return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
+
+
+def _rows(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Features and their values for each text."""
+    rows = []
+    for text in texts:
+        data = np.frombuffer(text, np.uint8)
+        found, _ = features(data, np.array([0, len(data)]))
+        names, counts = np.unique(found[found < FEATURES], return_counts=True)
+        rows.append((names, (PER_WORDS * counts / (len(found) + EXTRA_WORDS)).astype(np.float32)))
+    return rows
+
+
+def train(positive: list[bytes], unlabelled: list[bytes], prior: float, steps: int = STEPS, seed: int = 11,
+          least_documents: int = LEAST_DOCUMENTS) -> Classifier:
+    """Fit by Adagrad on batches, half of them confirmed; the pull to zero is proximal, so useless weights are zero."""
+    weights, bias = np.zeros(FEATURES + 1, np.float32), float(np.log(prior / (1 - prior)))
+    positive = list(dict.fromkeys(positive))  # copies would pass for evidence
     if not positive or not unlabelled:
-        return model
+        return Classifier(weights, bias)
     rng = np.random.default_rng(seed)
-    runs = [features(np.frombuffer(t, np.uint8)) for t in positive + unlabelled]
-    n_p, n = len(positive), len(runs)
-    weights, bias = model.weights, rest
-    squares, bias_square = np.full(FEATURES, 1e-6, np.float32), 1e-6
-    half = BATCH // 2
-    for epoch in range(epochs):
-        order = rng.permutation(np.arange(n_p, n))
+    rows = _rows(positive + unlabelled)
+    n_p, half = len(positive), BATCH // 2
+    seen = np.bincount(np.concatenate([r[0] for r in rows[:n_p]]), minlength=FEATURES)
+    used = seen >= min(least_documents, n_p)
+    rows = [(names[k], values[k]) for names, values in rows for k in [used[names]]]
+    squares, bias_square = np.full(FEATURES + 1, 1e-4, np.float32), 1e-4
+    done, corrected = 0, 0.0
+    while done < steps:
+        order = rng.permutation(np.arange(n_p, len(rows)))
         for at in range(0, len(order), half):
+            done += 1
             part = np.concatenate([rng.integers(n_p, size=half), order[at:at + half]])
-            margins, grams = np.empty(len(part)), []
-            for k, doc in enumerate(part):
-                mine = runs[doc]
-                if epoch and len(mine) > WINDOW:  # later on, the highest window stands for the text
-                    starts, ends = _windows(len(mine))
-                    best = int(window_scores(Classifier(weights, bias), mine).argmax())
-                    mine, share = mine[starts[best]:ends[best]], 1.0
-                else:
-                    share = min(1.0, WINDOW / max(len(mine), 1))
-                grams.append((mine, share))
-                margins[k] = weights[mine].sum(dtype=np.float64) * share + bias
-            up = 1 / (1 + np.exp(-np.clip(margins, -30, 30)))  # d loss(-) / d margin; loss(+) has up - 1
-            loss_negative = np.logaddexp(0, margins)
+            sizes = [len(rows[k][0]) for k in part]
+            names = np.concatenate([rows[k][0] for k in part])
+            values = np.concatenate([rows[k][1] for k in part])
+            row = np.repeat(np.arange(len(part)), sizes)
+            margins = np.bincount(row, weights[names] * values, len(part)) + bias
+            up = 1 / (1 + np.exp(-np.clip(margins, -30, 30)))  # slope of loss(-); that of loss(+) is up - 1
             n_u = len(part) - half
-            corrected = loss_negative[half:].mean() - prior * loss_negative[:half].mean()
-            slope = np.zeros(len(part))
-            if corrected >= -BETA:
-                slope[:half] = prior * (up[:half] - 1) / half - prior * up[:half] / half
-                slope[half:] = up[half:] / n_u
+            loss_negative = np.logaddexp(0, margins)
+            risk = loss_negative[half:].mean() - prior * loss_negative[:half].mean()
+            corrected = risk if done == 1 else SMOOTH * corrected + (1 - SMOOTH) * risk
+            if corrected >= 0:
+                slope = np.concatenate([prior * (up[:half] - 1) / half - prior * up[:half] / half, up[half:] / n_u])
             else:
-                slope[:half] = prior * up[:half] / half
-                slope[half:] = -up[half:] / n_u
-            touched = np.concatenate([g for g, _ in grams])
-            pull = np.concatenate([np.full(len(g), s * w) for (g, w), s in zip(grams, slope)])
-            gradient = np.bincount(touched, pull, FEATURES).astype(np.float32)
-            used = np.flatnonzero(gradient)
-            gradient = gradient[used] + DECAY * weights[used]
-            squares[used] += gradient * gradient
-            weights[used] -= RATE * gradient / np.sqrt(squares[used])
+                slope = GAMMA * np.concatenate([prior * up[:half] / half, -up[half:] / n_u])
+            gradient = np.bincount(names, slope[row] * values, FEATURES + 1)
+            at_work = np.unique(names)
+            g = gradient[at_work].astype(np.float32)
+            squares[at_work] += g * g
+            step = RATE / np.sqrt(squares[at_work])
+            moved = weights[at_work] - step * g
+            weights[at_work] = np.sign(moved) * np.maximum(np.abs(moved) - step * DECAY, 0)
             bias_square += slope.sum() ** 2
             bias -= RATE * slope.sum() / np.sqrt(bias_square)
     return Classifier(weights, bias)
@@ -143,15 +150,18 @@ def fit(docs: DataFrame, labels: DataFrame, prior: float | None = None, id_colum
         share = marks.agg(F.avg("_toxic").alias("p"), F.count("_toxic").alias("n")).first()
         prior = share.p if share.n else 0.1
     prior = min(max(float(prior), 0.01), 0.9)
-    known = marks.groupBy("_id").agg(F.max("_toxic").alias("_toxic")).filter("_toxic = 1").select(
-        "_id", F.lit(True).alias("positive"))
+    known = marks.groupBy("_id").agg(F.max("_toxic").alias("_toxic")).filter("_toxic = 1").select("_id")
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text_column).alias("text")).filter(
         F.char_length("text").between(1, sample_chars))
-    keys = texts.select("_id").distinct().join(known, "_id", "left").select(
-        "_id", F.coalesce("positive", F.lit(False)).alias("positive"), F.xxhash64(F.col("_id").cast("string")).alias("h"))
-    chosen = keys.filter("positive").orderBy("h", "_id").limit(sample_positive).unionByName(
-        keys.filter("not positive").orderBy("h", "_id").limit(sample_unlabelled)).select("_id", "positive")
-    rows = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id"]).orderBy("_id").collect()
+    # the unlabelled part is drawn from all documents, confirmed ones included: that is what the prior is a share of
+    order = [F.xxhash64(F.col("_id").cast("string")), F.col("_id")]
+    ids = texts.select("_id").distinct()
+    drawn = [ids.join(known, "_id", "left_semi").orderBy(*order).limit(sample_positive),
+             ids.orderBy(*order).limit(sample_unlabelled)]
+    chosen = drawn[0].select("_id", F.lit(True).alias("positive")).unionByName(
+        drawn[1].select("_id", F.lit(False).alias("positive")))  # at most the two sample sizes
+    rows = texts.join(F.broadcast(chosen), "_id").dropDuplicates(["_id", "positive"]).orderBy(
+        "_id", "positive").collect()
     return train([r.text.encode() for r in rows if r.positive], [r.text.encode() for r in rows if not r.positive],
                  prior)
 

@@ -1,9 +1,10 @@
 """WARC archives with an index first: write, select in the index, read only the byte ranges of what was selected.
 
 Each task writes archives of its own, named by attempt, and returns an index row for each record: file, offset, length,
-URL, digest. The index is a Parquet table, and its commit is the commit of the archives: files of lost or repeated
-attempts are in no index row. Reading range-partitions the selected index rows by file and offset, joins neighbouring
-ranges to reads of up to READ_BYTES where the gap is at most GAP_BYTES, and parses the records it asked for.
+URL, digest. Every record is a gzip member of its own, so that a byte range is enough to read it. The index is a Parquet
+table, and its commit is the commit of the archives: files of lost or repeated attempts are in no index row. Reading
+range-partitions the selected index rows by file and offset, joins neighbouring ranges to reads of up to READ_BYTES
+where the gap is at most GAP_BYTES, and parses the records it asked for.
 
 Of records with equal payloads of at least ``least_bytes`` bytes the one with the largest id is a ``response``; the
 others are ``revisit`` records, which name it and carry the digest and length of the payload but not the payload.
@@ -19,6 +20,7 @@ Other columns of the input are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -121,10 +123,10 @@ def _writer(folder: str, file_bytes: int, crawled: str) -> Callable:
                 rows = []
                 for row in batch.to_pylist():
                     if out is None:
-                        path = f"{root}/{uuid.uuid4().hex}.warc"
+                        path = f"{root}/{uuid.uuid4().hex}.warc.gz"
                         store.create_dir(root, recursive=True)
                         out, at = store.open_output_stream(path), 0
-                    data = record_bytes(row, crawled)
+                    data = gzip.compress(record_bytes(row, crawled), mtime=0)
                     out.write(data)
                     rows.append((path.removeprefix(root), at, len(data), row["record_type"], row["page_id"],
                                  row["url"], row["digest"], row["payload_bytes"], row["refers_to"]))
@@ -178,7 +180,7 @@ def _reader(folder: str, read_bytes: int, gap_bytes: int) -> Callable:
                 opened, source = name, store.open_input_file(root + name)
             start = held[0][0]
             data = source.read_at(held[-1][0] + held[-1][1] - start, start)
-            rows = [parse_record(data[o - start:o - start + n]) for o, n in held]
+            rows = [parse_record(gzip.decompress(data[o - start:o - start + n])) for o, n in held]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[c] for r in rows], t) for c, t in zip(_RECORD_NAMES, _RECORD_TYPES)],
                 names=_RECORD_NAMES)
