@@ -9,6 +9,8 @@
 3. Under a posting, collisions of whole signatures are counted in blocks of BLOCK rows, and pairs with MATCHES and
    ALL_MATCHES agreements are retained; a pair is looked at under the first posting it shares only.
 4. Retained pairs are confirmed on the full sets: 100 * intersection >= 75 * union. The shingles are 64-bit hashes.
+   Classes lie in shelves of SHELF, ordered by component, and a class asks for all it is to be compared with on a shelf
+   in one request, so that the texts of a group move once for many comparisons and not once for each.
 
 Only the components are asked for, so pairs within a component need no look. The steps 3 and 4 run three times: each
 class with one hub of its posting; then, between what is not yet connected, the PER_PAIR best pairs of two components;
@@ -32,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import dense_key
 from ..session import staged
 from .common import text_batches, utf8
 from .shingles import MinHash, set_digest, shingle_sets
@@ -42,12 +45,14 @@ POSTED, EXTRA = 64, 128
 #: 4.5 standard deviations below what a pair at the threshold agrees in on average.
 MATCHES, ALL_MATCHES = 32, 117
 PREFIX = POSTED - MATCHES + 1
-BLOCK, PER_PAIR, MEMBERS = 512, 4, 64
+#: Rows of a block, best pairs of two components, classes on a shelf, requests that one copy of a shelf answers.
+BLOCK, PER_PAIR, SHELF, REQUESTS = 512, 4, 64, 1024
 #: Candidate classes up to which their ids are broadcast to fetch their texts; beyond that the join is a shuffle.
 BROADCAST_ROWS = 1_000_000
 
 _SIGNED = "doc_id long, n long, digest binary, posted array<int>, extra binary"
 _PAIRS = "x long, y long"
+_ASKED = "x long, shelf long, ys array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +95,7 @@ def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def _retained(group: dict, left: np.ndarray, right: np.ndarray, coordinate: int, star: bool) -> tuple:
+def _retained(group: dict, left: np.ndarray, right: np.ndarray, coordinate: int) -> tuple:
     """Rows of ``left`` and ``right`` whose signatures agree often enough, with the number of agreements."""
     posted, extra, sizes, parts, masks = (group[k] for k in ("posted", "extra", "n", "comp", "mask"))
     rows, columns, counts = [], [], []
@@ -108,8 +113,8 @@ def _retained(group: dict, left: np.ndarray, right: np.ndarray, coordinate: int,
             first = same.sum(axis=1)
             total = first + (extra[p] == extra[q]).sum(axis=1)
             keep = (first >= MATCHES) & (total >= ALL_MATCHES)
-            if not star:  # look at a pair under the first posting that both prefixes have
-                keep &= (same & masks[p] & masks[q]).argmax(axis=1) == coordinate
+            # a pair is looked at under the first posting that both prefixes have
+            keep &= (same & masks[p] & masks[q]).argmax(axis=1) == coordinate
             rows.append(p[keep])
             columns.append(q[keep])
             counts.append(total[keep])
@@ -118,12 +123,12 @@ def _retained(group: dict, left: np.ndarray, right: np.ndarray, coordinate: int,
     return np.concatenate(rows), np.concatenate(columns), np.concatenate(counts)
 
 
-def _looker(star: bool, per_pair: int | None) -> Callable:
+def _looker(per_pair: int | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[np.ndarray] = []
+        found, held = [], 0
         for table in _grouped(batches, ["token", "a", "b", "kind"]):
             m = table.num_rows
-            group = {k: np.asarray(table.column(k).combine_chunks()) for k in ("cls", "n", "comp", "side")}
+            group = {k: np.asarray(table.column(k).combine_chunks()) for k in ("cls", "n", "comp", "shelf", "side")}
             group["posted"] = np.asarray(table.column("posted").combine_chunks().flatten()).reshape(m, POSTED)
             group["extra"] = np.frombuffer(b"".join(table.column("extra").to_pylist()), "<u2").reshape(m, EXTRA)
             mask = np.asarray(table.column("mask").combine_chunks()).view(np.uint64)
@@ -131,12 +136,12 @@ def _looker(star: bool, per_pair: int | None) -> Callable:
             coordinate = table.column("token")[0].as_py() >> 32
             if table.column("kind")[0].as_py() == 2:
                 everyone = np.arange(m)
-                p, q, n = _retained(group, everyone, everyone, coordinate, star)
+                p, q, n = _retained(group, everyone, everyone, coordinate)
                 once = p < q
                 p, q, n = p[once], q[once], n[once]
             else:
                 p, q, n = _retained(group, np.flatnonzero(group["side"] == 0), np.flatnonzero(group["side"] == 1),
-                                    coordinate, star)
+                                    coordinate)
             if per_pair is not None and len(p):  # the best of each pair of components
                 low = np.minimum(group["comp"][p], group["comp"][q])
                 high = np.maximum(group["comp"][p], group["comp"][q])
@@ -147,51 +152,70 @@ def _looker(star: bool, per_pair: int | None) -> Callable:
                 order = order[np.arange(len(order)) - begin < per_pair]
                 p, q = p[order], q[order]
             if len(p):
-                x, y = group["cls"][p], group["cls"][q]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)]))
-            if len(found) >= 1024:
-                yield _pair_batch(found)
-                found = []
+                found.append(np.stack([group["cls"][q], group["shelf"][p], group["cls"][p]]))
+                held += len(p)
+            if held >= 1 << 20:
+                yield _requests(found)
+                found, held = [], 0
         if found:
-            yield _pair_batch(found)
+            yield _requests(found)
     return run
 
 
-def _pair_batch(found: list[np.ndarray]) -> pa.RecordBatch:
-    x, y = np.concatenate(found, axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["x", "y"])
+def _requests(found: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each class and shelf, with what it is to be compared with there."""
+    x, shelf, y = np.concatenate(found, axis=1)
+    order = np.lexsort((y, shelf, x))
+    x, shelf, y = x[order], shelf[order], y[order]
+    new = np.ones(len(x), bool)
+    new[1:] = (x[1:] != x[:-1]) | (shelf[1:] != shelf[:-1])
+    at = np.flatnonzero(new)
+    ys = pa.ListArray.from_arrays(pa.array(np.append(at, len(x)), pa.int32()), pa.array(y))
+    return pa.RecordBatch.from_arrays([pa.array(x[at]), pa.array(shelf[at]), ys], names=["x", "shelf", "ys"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows by (hub, part, member): the hub's text first, then those of its members."""
-    hub_key, hub, digest = None, None, None
+    """Rows by (shelf, part): first the classes of the shelf (``ys`` null), then what is asked of them."""
+    at, sets = None, {}
     for batch in batches:
         links = []
-        keys = list(zip(*(batch.column(k).to_pylist() for k in ("hub", "part", "member"))))
-        digests = batch.column("digest").to_pylist()
-        for (key, part, member), wanted, shingles in zip(keys, digests, shingle_sets(*utf8(batch.column("text")))):
-            if set_digest(shingles) != wanted:  # another text under a repeated id
+        rows = zip(*(batch.column(k).to_pylist() for k in ("shelf", "part", "cls", "ys", "digest")))
+        for (shelf, part, cls, ys, digest), shingles in zip(rows, shingle_sets(*utf8(batch.column("text")))):
+            if (shelf, part) != at:
+                at, sets = (shelf, part), {}
+            if set_digest(shingles) != digest:  # another text under a repeated id
                 continue
-            if member is None:
-                hub_key, hub = (key, part), shingles
-            elif (key, part) == hub_key:
-                both = len(np.intersect1d(hub, shingles, assume_unique=True))
-                if 100 * both >= THRESHOLD * (len(hub) + len(shingles) - both):
-                    links.append((key, member))
+            if ys is None:
+                sets[cls] = shingles
+                continue
+            for y in ys:
+                other = sets[y]
+                both = len(np.intersect1d(other, shingles, assume_unique=True))
+                if 100 * both >= THRESHOLD * (len(other) + len(shingles) - both):
+                    links.append((cls, y))
         x, y = zip(*links) if links else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["x", "y"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough. A text moves once for each hub it is compared with."""
-    counts = pairs.groupBy(F.col("x").alias("_x")).agg(F.ceil(F.count("*") / MEMBERS).alias("parts"))
-    dealt = pairs.join(counts, F.col("x") == F.col("_x")).select(
-        F.col("x").alias("hub"), F.pmod(F.xxhash64("y"), F.col("parts")).alias("part"), F.col("y").alias("member"))
-    members = dealt.join(texts, F.col("member") == F.col("cls")).select("hub", "part", "member", "digest", "text")
-    hubs = dealt.select("hub", "part").distinct().join(texts, F.col("hub") == F.col("cls")).select(
-        "hub", "part", F.lit(None).cast("long").alias("member"), "digest", "text")
-    rows = members.unionByName(hubs).repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
-    return staged(rows.mapInArrow(_confirm, _PAIRS), "links")
+def _confirmed(asked: DataFrame, placed: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs asked for whose full sets are similar enough. A shelf that many ask for is copied for every REQUESTS
+    of them."""
+    parts = asked.groupBy(F.col("shelf").alias("_shelf")).agg(F.ceil(F.count("*") / REQUESTS).alias("parts"))
+    dealt = asked.join(parts, F.col("shelf") == F.col("_shelf")).select(
+        "shelf", F.pmod(F.xxhash64("x"), F.col("parts")).alias("part"), F.col("x").alias("cls"), "ys")
+    copies = placed.join(parts, F.col("shelf") == F.col("_shelf")).select(
+        "shelf", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), "cls",
+        F.lit(None).cast("array<bigint>").alias("ys"))
+    rows = dealt.unionByName(copies).join(texts, "cls").select("shelf", "part", "cls", "ys", "digest", "text")
+    ordered = rows.repartition("shelf", "part").sortWithinPartitions("shelf", "part", F.col("ys").isNotNull())
+    return staged(ordered.mapInArrow(_confirm, _PAIRS), "links")
+
+
+def _placed(comps: DataFrame) -> DataFrame:
+    """Components with the shelf of each class."""
+    ordered = dense_key(comps.select("cls", "comp"), ["comp", "cls"], "place")
+    return staged(ordered.select("cls", "comp", F.floor((F.col("place") - 1) / SHELF).cast("long").alias("shelf")),
+                  "components")
 
 
 def _connected(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -220,12 +244,12 @@ def _connected(comps: DataFrame, links: DataFrame) -> DataFrame:
         edges = staged(edges.join(ends[0], F.col("u") == F.col("_u")).join(ends[1], F.col("v") == F.col("_v")).filter(
             "pu <> pv").select(F.col("pu").alias("u"), F.col("pv").alias("v")).distinct(), "edges")
     if roots is None:
-        return comps
+        return comps.select("cls", "comp")
     return staged(comps.join(roots.select(F.col("u").alias("_u"), "parent"), F.col("comp") == F.col("_u"), "left")
                   .select("cls", F.coalesce("parent", "comp").alias("comp")), "components")
 
 
-def _hub_rows(posts: DataFrame, cands: DataFrame) -> DataFrame:
+def _hub_rows(posts: DataFrame, cands: DataFrame, placed: DataFrame) -> DataFrame:
     """Blocks of the first pass: under each posting, a copy of its hub (the class of the smallest id) per block."""
     groups = posts.groupBy(F.col("token").alias("_token")).agg(
         F.count("*").alias("m"), F.min(F.struct("min_doc", "cls"))["cls"].alias("hub")).filter("m > 1")
@@ -236,13 +260,13 @@ def _hub_rows(posts: DataFrame, cands: DataFrame) -> DataFrame:
     rows = joined.select("token", "cls", F.when(F.col("cls") == F.col("hub"), 0).otherwise(1).alias("side"),
                          F.explode(at).alias("a")).select(
         "token", "cls", "side", "a", F.lit(0).cast("long").alias("b"), F.lit(0).alias("kind"))
-    return rows.join(cands, "cls").withColumn("comp", F.col("cls"))
+    return rows.join(cands.join(placed, "cls"), "cls")
 
 
-def _cross_rows(posts: DataFrame, cands: DataFrame, comps: DataFrame) -> DataFrame:
+def _cross_rows(posts: DataFrame, cands: DataFrame, placed: DataFrame) -> DataFrame:
     """Blocks of the later passes. Under each posting, the largest component is set against the rest, and the rest
     against itself; within the largest component nothing is left to look for."""
-    labelled = posts.join(comps, "cls")
+    labelled = posts.join(placed.select("cls", "comp"), "cls")
     sizes = labelled.groupBy("token", "comp").agg(F.count("*").alias("n_comp"))
     groups = sizes.groupBy(F.col("token").alias("_token")).agg(
         F.max(F.struct("n_comp", "comp")).alias("top"), F.sum("n_comp").alias("m"), F.count("*").alias("n")).filter(
@@ -263,14 +287,16 @@ def _cross_rows(posts: DataFrame, cands: DataFrame, comps: DataFrame) -> DataFra
         F.transform(F.sequence(zero, n_rest - 1), lambda r: F.when(
             r == in_rest, cell(2, r, r, F.lit(0))).otherwise(cell(1, F.least(r, in_rest), F.greatest(r, in_rest),
                                                                 F.when(in_rest < r, 0).otherwise(1)))))
-    rows = joined.select("token", "cls", "comp", F.when(main, of_main).otherwise(of_rest).alias("cells"))
-    return rows.select("token", "cls", "comp", F.inline_outer("cells")).join(cands, "cls")
+    rows = joined.select("token", "cls", F.when(main, of_main).otherwise(of_rest).alias("cells"))
+    return rows.select("token", "cls", F.inline_outer("cells")).join(cands.join(placed, "cls"), "cls")
 
 
-def _look(rows: DataFrame, star: bool, per_pair: int | None) -> DataFrame:
-    ordered = rows.select("token", "a", "b", "kind", "side", "cls", "n", "comp", "mask", "posted", "extra").repartition(
+def _look(rows: DataFrame, per_pair: int | None) -> DataFrame:
+    ordered = rows.select(
+        "token", "a", "b", "kind", "side", "cls", "n", "comp", "shelf", "mask", "posted", "extra").repartition(
         "token", "a", "b", "kind").sortWithinPartitions("token", "a", "b", "kind")
-    return ordered.mapInArrow(_looker(star, per_pair), _PAIRS).distinct()
+    return staged(ordered.mapInArrow(_looker(per_pair), _ASKED).groupBy("x", "shelf").agg(
+        F.flatten(F.collect_list("ys")).alias("ys")), "requests")  # SHELF entries at most
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -303,14 +329,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = staged(rows.join(wanted, F.col("doc_id") == F.col("_doc")).select("cls", "digest", "text"), "texts")
     signs = cands.select("cls", "n", "mask", "posted", "extra")
 
-    comps = cands.select("cls", F.col("cls").alias("comp"))
-    tested = staged(_look(_hub_rows(posts, signs), True, None), "pairs")
-    comps = _connected(comps, _confirmed(tested, texts))
+    placed = _placed(cands.select("cls", F.col("cls").alias("comp")))
+    asked = _look(_hub_rows(posts, signs, placed), None)
+    comps = _connected(placed, _confirmed(asked, placed, texts))
     for per_pair in (PER_PAIR, None):
-        pairs = staged(_look(_cross_rows(posts, signs, comps), False, per_pair).join(
-            tested, ["x", "y"], "left_anti"), "pairs")
-        comps = _connected(comps, _confirmed(pairs, texts))
-        tested = tested.unionByName(pairs)
+        placed = _placed(comps)
+        asked = _look(_cross_rows(posts, signs, placed), per_pair)
+        comps = _connected(placed, _confirmed(asked, placed, texts))
 
     labels = cands.select("cls", "min_doc").join(comps, "cls")
     names = labels.groupBy("comp").agg(F.min("min_doc").alias("component")).withColumnRenamed("comp", "_comp")
