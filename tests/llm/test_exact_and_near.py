@@ -134,7 +134,8 @@ def test_near_empty(spark):
 
 def test_near_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(near, "BLOCK", 8)
-    monkeypatch.setattr(near, "MEMBERS", 3)
+    monkeypatch.setattr(near, "SHELF", 4)
+    monkeypatch.setattr(near, "REQUESTS", 3)
     rows = near_rows()
     got = near.near_duplicates(docs(spark, rows), broadcast_rows=0)
     expected = [(d, n, c, (d is None and c is None) or k) for d, n, c, k in plain_near(rows)]
