@@ -22,20 +22,21 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import text_batches, utf8
+from .common import ascii_lower, text_batches
 
 WIDTH, CLOSING_ID, MAX_QUEUES = 2048, 1, 256
 #: Rows of the table of (task, queue) sums up to which it is broadcast; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 2_000_000
 
 TOKENS = "doc_id long, queue int, part int, place long, n long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -43,38 +44,66 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class WordCache:
-    """Ids of texts from the ids of their words. For vocabularies whose tokens never cross white space."""
+    """Ids of texts from the ids of their words. For vocabularies whose tokens never cross white space.
+
+    Most words are seen before, so they cost a dictionary lookup for each batch they are in. New words of ASCII letters
+    are encoded as one text and told apart by the tokens that end a word; other new words are encoded one by one.
+    """
 
     def __init__(self, vocabulary: str, closing_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.closing_id = Tokenizer.from_file(vocabulary), closing_id
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends_word = None
+        if suffix:
+            names = self.tokenizer.get_vocab()
+            self.ends_word = np.zeros(max(names.values()) + 1, bool)
+            self.ends_word[[i for name, i in names.items() if name.endswith(suffix)]] = True
         self.clear()
 
     def clear(self):
-        self.number: dict[bytes | str, int] = {}
+        self.number: dict[str, int] = {}
         self.ids = np.array([self.closing_id], np.uint32)
         self.starts, self.lengths = np.zeros(1, np.int64), np.ones(1, np.int64)  # entry 0: the closing id
 
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.number.update(zip(words, range(len(self.starts), len(self.starts) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w.isascii() and w.isalpha()] if self.ends_word is not None else []
+        if plain:
+            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
+            lengths = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
+            if len(lengths) == len(plain) and lengths.sum() == len(ids):
+                self._add(plain, ids, lengths)
+                words = [w for w in words if not (w.isascii() and w.isalpha())]
+        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        self._add(words, np.fromiter((i for f in found for i in f), np.uint32),
+                  np.fromiter(map(len, found), np.int64, len(found)))
+
     def _numbers(self, words: list[str]) -> np.ndarray:
-        known = self.number
-        new = [w for w in words if w not in known]
-        if new:
-            if len(known) + len(new) > _CACHED_WORDS:
+        numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            if len(self.number) + len(new) > _CACHED_WORDS:
                 self.clear()
-                known, new = self.number, words
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            known.update(zip(new, range(len(self.starts), len(self.starts) + len(new))))
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.uint32)])
-        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                new = np.arange(len(words))
+            fresh = [words[k] for k in new.tolist()]
+            self._learn(fresh)
+            numbers[new] = np.fromiter(map(self.number.__getitem__, fresh), np.int64, len(fresh))
+        return numbers
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, each closed by the closing id, and the n + 1 offsets into them."""
-        words = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # a full stop or comma behind a letter or digit is a token of its own with or without a blank before it
+        texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,])([ \n])", r"\1 \2\3")
+        words = pc.ascii_split_whitespace(texts)
         ends = np.asarray(words.offsets).astype(np.int64)
         base = ends[0]
         flat = words.values[base:ends[-1]].dictionary_encode()
@@ -211,6 +240,11 @@ def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> C
     return run
 
 
+def _lowered(text: Column) -> Column:
+    """The vocabulary is of lower case, so fewer different words are left; marks of special tokens stay as they are."""
+    return F.when(text.contains("<|"), text).otherwise(ascii_lower(text))
+
+
 def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int = CLOSING_ID,
          weights: dict[str | None, float] | None = None, max_queues: int = MAX_QUEUES, id_column: str = "doc_id",
          text_column: str = "text", source_column: str = "source",
@@ -237,7 +271,7 @@ def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int =
         names = [None] * max_queues
         queue = F.pmod(F.crc32(F.coalesce(source, F.lit("")).cast("binary")), F.lit(max_queues)).cast("int")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), queue.cast("int").alias("queue"),
-                       F.col(text_column).alias("text"))
+                       _lowered(F.col(text_column)).alias("text"))
     tokens = staged(rows.mapInArrow(_tokenize(vocabulary, closing_id, kind), TOKENS), "token-ids")
     sums = staged(tokens.groupBy("part", "queue").agg(F.max(F.col("place") + F.col("n")).alias("n")), "queue-sums")
     totals = np.zeros(max(len(names), 1), np.int64)
