@@ -64,7 +64,7 @@ class Scanner(NamedTuple):
 
 def _codes(value: Column) -> Column:
     """Place of every character in _SIGNS."""
-    return F.transform(F.split(value, ""), lambda c: F.greatest(F.locate(c, F.lit(_SIGNS)) - 1, F.lit(0)))
+    return F.transform(F.split(value, ""), lambda c: F.greatest(F.position(c, F.lit(_SIGNS)) - 1, F.lit(0)))
 
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
@@ -176,14 +176,18 @@ def fit(docs: DataFrame, labelled: DataFrame, text_column: str = "text", sample:
         seen[r.label][r.pair] += r["count"]
     totals = {k: sum(v) for k, v in seen.items()}
     odds = [math.log(a / totals[1.0]) - math.log(b / totals[0.0]) for a, b in zip(seen[1.0], seen[0.0])]
-    kinds = {r.label for r in drawn.select("label").distinct().collect()}  # two at most
-    if len(kinds) < 2:
+    sizes = {r.label: r["count"] for r in drawn.groupBy("label").count().collect()}  # two rows at most
+    if len(sizes) < 2:
         return Scanner(odds, triples, None)
+    # both labels weigh the same: a secret may be one finding in hundreds
+    weight = F.when(F.col("label") == 1, sum(sizes.values()) / (2 * sizes[1.0])).otherwise(
+        sum(sizes.values()) / (2 * sizes[0.0]))
     described = staged(_described(drawn, odds, triples).join(
-        drawn.select("doc_id", "start", "value", "label").distinct(), ["doc_id", "start", "value"]), "described")
+        drawn.select("doc_id", "start", "value", "label", weight.alias("weight")).distinct(),
+        ["doc_id", "start", "value"]), "described")
     forest = Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
-        RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED)]).fit(described)
+        RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)]).fit(described)
     return Scanner(odds, triples, forest)
 
 
