@@ -31,11 +31,10 @@ NUMBER_ROWS = "SELECT row_id, " + ", ".join(f"TRY_CAST({c} AS BIGINT) AS {c}" fo
 # --- raw rows ---
 SQL["raw_encounters"] = "SELECT * FROM raw"
 SQL["missing_flags"] = "SELECT row_id, " + ", ".join(
-    f"CAST({missing(c)} AS INTEGER) AS {c}_missing" for c in (
-        "race", "weight", "payer_code", "medical_specialty", "num_medications", *DIAGNOSES)) + " FROM raw"
+    f"CAST({missing(c)} AS INTEGER) AS {c}_missing" for c in ENCOUNTER_COLUMNS) + " FROM raw"
 SQL["null_tokens"] = "SELECT row_id, " + ", ".join(
-    f"CASE WHEN {c} NOT IN ('?', 'Unknown/Invalid', 'NULL', 'None', '') THEN {c} END AS {c}" for c in (
-        "gender", "weight", "payer_code", "max_glu_serum", "a1c_result", "diag_3")) + " FROM raw"
+    f"CASE WHEN {c} NOT IN ('?', 'Unknown/Invalid', 'NULL', 'None', '') THEN {c} END AS {c}"
+    for c in ENCOUNTER_COLUMNS) + " FROM raw"
 SQL["preview_head"] = "SELECT * FROM raw ORDER BY row_id LIMIT 10"
 SQL["preview_tail"] = "SELECT * FROM raw ORDER BY row_id DESC LIMIT 5"
 SQL["anomaly_counts"] = f"WITH n AS ({NUMBER_ROWS}) " + union([
@@ -271,13 +270,13 @@ def ranking(role, level="diagnosis_group"):
 
 SQL["kpi_top_diagnoses"] = ranking("diag_1")
 SQL["kpi_top_codes"] = (f"SELECT * FROM ({ranking('diag_1', 'diagnosis_code')}) WHERE diagnosis_code IS NOT NULL "
-                        "ORDER BY encounters DESC, diagnosis_code LIMIT 10")
+                        "ORDER BY encounters DESC, diagnosis_code")
 SQL["kpi_by_role"] = union(f"SELECT {q(d)} AS role, * FROM ({ranking(d)})" for d in DIAGNOSES)
 SQL["kpi_switched_measure"] = union(
     f"SELECT {q(name)} AS measure, first_age_bracket, sum({c}) / count(*) AS value FROM mart_readmission "
     "GROUP BY first_age_bracket" for name, c in (
         ("readmission_rate", "readmitted_flag"), ("readmitted_30_days_rate", "readmitted_30_days")))
-SQL["kpi_top_drugs"] = "SELECT * FROM mart_medications ORDER BY prescription_count DESC, medication_name LIMIT 10"
+SQL["kpi_top_drugs"] = "SELECT * FROM mart_medications ORDER BY prescription_count DESC, medication_name"
 SQL["kpi_drug_changes"] = ("SELECT medication_name, dosage_change_count, "
                            f"{half_up('dosage_change_count', 'prescription_count', 2, 100)} AS change_percent "
                            "FROM mart_medications")
@@ -342,8 +341,8 @@ SELECT id, source_file_name, sha256, previous AS previous_import_id,
 FROM (SELECT f.*, coalesce((SELECT max(s.id) FROM file_ledger s WHERE s.status = 'SUCCESS' AND s.sha256 = f.sha256),
         CASE WHEN id > min(id) OVER (PARTITION BY sha256) THEN min(id) OVER (PARTITION BY sha256) END) AS previous
       FROM file_ledger f WHERE status = 'NEW')"""
-SQL["import_new_only"] = ("SELECT id, sha256 FROM file_ledger WHERE status = 'NEW' AND sha256 NOT IN "
-                          "(SELECT sha256 FROM file_ledger WHERE status = 'SUCCESS')")
+SQL["import_new_only"] = ("SELECT min(id) AS id, sha256 FROM file_ledger WHERE status = 'NEW' AND sha256 NOT IN "
+                          "(SELECT sha256 FROM file_ledger WHERE status = 'SUCCESS') GROUP BY sha256")
 SQL["import_admission"] = """
 SELECT page_id, url, size, CASE WHEN page_id % 2 = 1 THEN 'unexpected name' WHEN size = 0 THEN 'empty file' END
   AS reject_reason
@@ -385,7 +384,7 @@ def category(source, column):
             f"AS percentage FROM {source} GROUP BY {column}")
 
 
-SQL["profile_top_codes"] = category("blanked", "diag_1") + " ORDER BY count DESC, diag_1 NULLS FIRST LIMIT 5"
+SQL["profile_top_codes"] = category("blanked", "diag_1") + " ORDER BY count DESC, diag_1 NULLS FIRST LIMIT 20"
 SQL["profile_target"] = ("WITH t AS (SELECT CASE WHEN readmitted = '<30' THEN 1 ELSE 0 END AS readmitted_30_days "
                          "FROM raw) " + category("t", "readmitted_30_days"))
 SQL["profile_duplicates"] = ("SELECT (SELECT count(*) FROM raw) - (SELECT count(*) FROM (SELECT DISTINCT "
@@ -538,34 +537,73 @@ SQL["outcome_by_band"] = ("SELECT predicted_risk_category, count(*) AS encounter
                           "FROM banded GROUP BY 1")
 SQL["risk_kpis"] = ("SELECT count(*) FILTER (predicted_risk_category = 'High') AS high_risk, "
                     "avg(score) AS mean_probability FROM banded")
-SQL["request_checks"] = rule_selects("raw", {
-    c: (*b, f"{c} must be at least {b[0]}" if b[1] is None else f"{c} must be {b[0]} to {b[1]}") for c, b in {
-        "time_in_hospital": (1, 14), "num_lab_procedures": (0, None), "num_procedures": (0, None),
-        "num_medications": (0, None), "number_diagnoses": (1, 16)}.items()}, {}, row_local_only=True)
+# fixed values of the request: range of each number (None: open), codes without a range, texts
+_RANGES = {
+    "time_in_hospital": (1, 14), "num_lab_procedures": (0, None), "num_procedures": (0, None),
+    "num_medications": (0, None), "number_diagnoses": (1, 16), "age_midpoint": (0, 100),
+    "total_previous_visits": (0, None), "healthcare_utilization_score": (0, None),
+    "patient_complexity_score": (0, None), "active_medications_count": (0, None),
+    "medication_dosage_changes_count": (0, None), "insulin_prescribed": (0, 1)}
+_CODES = ("admission_type_id", "discharge_disposition_id", "admission_source_id")
+_TEXTS = ("gender", "race", "max_glu_serum", "a1c_result", "change", "diabetesmed", "diag_1_group")
+_SPOILT = {
+    "age_midpoint": (211, 3, "'101'"), "time_in_hospital": (223, 5, "'3.5'"), "admission_type_id": (227, 7, "'urgent'"),
+    "insulin_prescribed": (229, 9, "'2'"), "change": (233, 11, "NULL"), "patient_complexity_score": (239, 13, "'-1'")}
+
+
+def _request(c):
+    plain = f"CAST({c} AS VARCHAR)"
+    if c not in _SPOILT:
+        return f"{plain} AS {c}"
+    n, r, bad = _SPOILT[c]
+    return f"CASE WHEN encounter_id % {n} = {r} THEN {bad} ELSE {plain} END AS {c}"
+
+
+def _refused(c):
+    if c in _RANGES:
+        low, high = _RANGES[c]
+        inside = f"TRY_CAST({c} AS BIGINT) >= {low}" + (f" AND TRY_CAST({c} AS BIGINT) <= {high}" if high else "")
+        wrong = f"NOT coalesce(regexp_full_match({c}, '[+-]?[0-9]+') AND {inside}, false)"
+        reason = f"{c} must be at least {low}" if high is None else f"{c} must be {low} to {high}"
+    elif c in _CODES:
+        wrong, reason = f"NOT regexp_full_match({c}, '[+-]?[0-9]+')", f"{c} must be a whole number"
+    else:
+        wrong, reason = "false", ""
+    return (f"SELECT row_id, CASE WHEN {c} IS NULL THEN 'required_value' ELSE 'invalid_numeric_value' END AS rule_name, "
+            f"{q(c)} AS column_name, coalesce({c}, '<NULL>') AS invalid_value, "
+            f"CASE WHEN {c} IS NULL THEN {q(c + ' is required')} ELSE {q(reason)} END AS rejection_reason "
+            f"FROM requests WHERE {c} IS NULL OR {wrong}")
+
+
+_FIELDS = (*_RANGES, *_CODES, *_TEXTS)
+SQL["request_checks"] = ("WITH requests AS (SELECT encounter_id AS row_id, " + ", ".join(map(_request, _FIELDS))
+                         + " FROM encounters) " + union(map(_refused, _FIELDS)))
 
 # --- legacy extract, reports, whole chain ---
 SQL["legacy_clean"] = """
 WITH stays AS (
   SELECT o.o_orderkey AS stay_id,
-    CASE WHEN o.o_orderkey % 401 = 3 THEN 'n/a' ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS date_entree,
+    CASE WHEN o.o_orderkey % 401 = 3 THEN 'n/a'
+         WHEN o.o_orderkey % 419 = 7 THEN CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) || ' 08:30:00' ELSE CAST(CAST(o.o_orderdate AS DATE) AS VARCHAR) END AS date_entree,
     CAST(CAST(max(l.l_shipdate) AS DATE) AS VARCHAR) AS date_sortie,
-    CASE WHEN o.o_orderkey % 409 = 5 THEN 'inconnu' WHEN o.o_orderkey % 6 = 0 THEN ''
+    CASE WHEN o.o_orderkey % 409 = 5 THEN 'inconnu' WHEN o.o_orderkey % 431 = 11 THEN '12d' WHEN o.o_orderkey % 6 = 0 THEN ''
          ELSE CAST(o.o_custkey % 90 + 5 AS VARCHAR) END AS age,
-    CASE o.o_orderkey % 4 WHEN 0 THEN ' Oui ' WHEN 1 THEN 'non' WHEN 2 THEN 'NON' ELSE NULL END AS diabete,
+    CASE CASE WHEN o.o_orderkey % 8 = 0 THEN 9 ELSE o.o_orderkey % 4 END WHEN 9 THEN chr(9) || 'Oui' || chr(10)
+      WHEN 0 THEN ' Oui ' WHEN 1 THEN 'non' WHEN 2 THEN 'NON' ELSE NULL END AS diabete,
     CASE o.o_orderkey % 3 WHEN 0 THEN 'h' WHEN 1 THEN 'F ' ELSE '?' END AS sexe,
-    CASE o.o_custkey % 2 WHEN 0 THEN 'oui' ELSE 'non' END AS rehospitalise_30j,
+    CASE WHEN o.o_custkey % 14 = 2 THEN chr(9) || 'oui' WHEN o.o_custkey % 2 = 0 THEN 'oui' ELSE 'non' END AS rehospitalise_30j,
     CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE CAST(o.o_orderkey % 60 AS VARCHAR) END
       AS delai_depuis_derniere_hosp_jours
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey)
 SELECT * FROM (
-  SELECT stay_id, CAST(TRY_CAST(date_entree AS DATE) AS VARCHAR) AS date_entree, date_sortie,
+  SELECT stay_id, CAST(CAST(TRY_CAST(date_entree AS TIMESTAMP) AS DATE) AS VARCHAR) AS date_entree, date_sortie,
     TRY_CAST(age AS DOUBLE) AS age,
-    CASE lower(trim(diabete)) WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS diabete,
+    CASE lower(trim(diabete, ' ' || chr(9) || chr(10))) WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS diabete,
     CASE upper(trim(sexe)) WHEN 'H' THEN 1 WHEN 'F' THEN 0 END AS sexe,
-    CASE rehospitalise_30j WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS rehospitalise_30j,
+    CASE trim(rehospitalise_30j, chr(9)) WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS rehospitalise_30j,
     coalesce(TRY_CAST(delai_depuis_derniere_hosp_jours AS DOUBLE), 999.0) AS delai_depuis_derniere_hosp_jours,
-    CAST(CAST(date_sortie AS DATE) - TRY_CAST(date_entree AS DATE) AS DOUBLE) AS duree_sejour
+    CAST(CAST(date_sortie AS DATE) - CAST(TRY_CAST(date_entree AS TIMESTAMP) AS DATE) AS DOUBLE) AS duree_sejour
   FROM stays)
 WHERE age IS NOT NULL AND date_entree IS NOT NULL AND date_sortie IS NOT NULL AND rehospitalise_30j IS NOT NULL"""
 SQL["quality_report"] = f"""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..schema import MISSING_TOKENS
 
 WHITESPACE = " \t\n\r\f\v"
-INTEGER_TEXT = "^[+-]?[0-9]+$"
+INTEGER_TEXT = r"^[+-]?[0-9]+\z"  # $ would also match before a final line break
 
 
 def col(c: str | Column) -> Column:
@@ -51,7 +51,7 @@ def missing_sql(x: str) -> str:
 
 def integer_sql(x: str, allow_padding: bool = False) -> str:
     text = strip_sql(x) if allow_padding else x
-    return f"(CASE WHEN {text} RLIKE '{INTEGER_TEXT}' THEN try_cast({text} AS BIGINT) END)"
+    return f"(CASE WHEN {text} RLIKE {literal(INTEGER_TEXT)} THEN try_cast({text} AS BIGINT) END)"
 
 
 def inside_sql(x: str, low: int, high: int | None, allow_padding: bool = False) -> str:

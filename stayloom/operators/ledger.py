@@ -35,14 +35,21 @@ def _events(runs, run_id, status, at, details):
 
 
 def current_state(events: DataFrame) -> DataFrame:
-    """Last event per run, with the time of the first. A closing event beats an opening one of the same time."""
+    """Last event per run, with the time of the first. A closing event beats an opening one of the same time. Details
+    of all events of the run are kept, later ones winning."""
     order = F.struct("at", (F.col("status") != "RUNNING").alias("closing"))
     last = events.groupBy("run_id").agg(
-        F.min("at").alias("started_at"), F.max_by(F.struct("status", "at", "details"), order).alias("last"))
+        F.min("at").alias("started_at"), F.max_by(F.struct("status", "at"), order).alias("last"),
+        F.array_sort(F.collect_list(F.struct(order.alias("order"), "details")), lambda a, b: F.when(
+            a["order"] < b["order"], -1).when(a["order"] > b["order"], 1).otherwise(0)).alias("told"))  # two events
+    merged = F.aggregate(
+        "told", F.create_map().cast("map<string,string>"),
+        lambda known, event: F.map_concat(F.map_filter(known, lambda k, _: ~F.map_contains_key(
+            event["details"], k)), event["details"]))
     return last.select(
         "run_id", F.col("last.status").alias("status"), "started_at",
         F.when(F.col("last.status") != "RUNNING", F.col("last.at")).alias("finished_at"),
-        F.col("last.details").alias("details"))
+        merged.alias("details"))
 
 
 def import_decisions(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -61,6 +68,5 @@ def import_decisions(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def to_import(incoming: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Only the files whose content no successful import has seen."""
-    done = ledger.filter(F.col("status") == "SUCCESS").select("sha256").distinct()
-    return incoming.join(done, "sha256", "left_anti").select(*incoming.columns)
+    """Only the files whose content no successful import has seen, and of equal files of one batch only the first."""
+    return import_decisions(incoming, ledger).filter("decision = 'IMPORT'").select(*incoming.columns)

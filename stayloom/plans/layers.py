@@ -20,47 +20,43 @@ from pyspark.sql import functions as F
 
 from ..operators import quality
 from ..schema import HOSPITAL_RULES
-from ..session import shared_folder, spread, tune
+from ..session import shared_folder, tune
 from ..sources import inputs, reference_data
 from . import clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
-BYTES_PER_BUCKET = 16 * 2**20  # of the compressed input
+#: Buckets of the facts. A bucket is read by one task, so a deployment sets it by the size of its facts; it is the
+#: same for all facts, whatever the input.
+BUCKETS = 16
 
 _stored: dict[tuple[str, str, str], Callable[[SparkSession], DataFrame]] = {}
 
 
-def input_fingerprint(spark: SparkSession, path: str) -> tuple[str, int]:
-    """Identity and size of the files below a path; only the listing is read, never the content."""
+def input_fingerprint(spark: SparkSession, path: str) -> str:
+    """Identity of the files below a path; only the listing is read, never the content."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     row = files.agg(
         F.count("*").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
         F.coalesce(F.bit_xor(F.xxhash64("path", "modificationTime", "length")), F.lit(0)).alias("mix"),
     ).first()
-    return f"{row['files']}-{row['bytes']}-{row['mix'] & (2**64 - 1):016x}", row["bytes"]
+    return f"{row['files']}-{row['bytes']}-{row['mix'] & (2**64 - 1):016x}"
 
 
 class Layers:
     """Raw, valid, curated, features, dimensions and facts of one folder of input tables."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = tune(spark), folder
+    def __init__(self, spark: SparkSession, folder: str, buckets: int = BUCKETS):
+        self.spark, self.folder, self.buckets = tune(spark), folder, buckets
         self.rules = HOSPITAL_RULES
 
     @cached_property
-    def _source(self) -> tuple[str, int]:
+    def _source(self) -> str:
         return input_fingerprint(self.spark, f"{self.folder}/orders.parquet")
 
     @property
     def _key(self) -> tuple[str, str]:
-        return self.spark.sparkContext.applicationId, self._source[0]
-
-    @property
-    def _buckets(self) -> int:
-        """The session's shuffle width, fewer for an input too small to fill it. Equal for all facts of an input."""
-        wanted = max(self.spark.sparkContext.defaultParallelism, self._source[1] // BYTES_PER_BUCKET)
-        return min(int(self.spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+        return self.spark.sparkContext.applicationId, f"{self._source}-{self.buckets}"
 
     def input(self, name: str) -> DataFrame:
         return inputs.table(self.spark, self.folder, name)
@@ -75,15 +71,14 @@ class Layers:
                 schema = df.schema
                 _stored[key] = lambda spark: spark.read.schema(schema).parquet(path)
             else:
-                buckets = self._buckets
                 table = f"stayloom_{name}_{tag}"
-                (df.repartition(buckets, bucket).write.option("compression", "zstd").option("path", path)
-                 .bucketBy(buckets, bucket).sortBy(bucket).saveAsTable(table))
+                (df.repartition(self.buckets, bucket).write.option("compression", "zstd").option("path", path)
+                 .bucketBy(self.buckets, bucket).sortBy(bucket).saveAsTable(table))
                 _stored[key] = lambda spark: spark.table(table)
         return _stored[key](self.spark)
 
     def raw_lazy(self) -> DataFrame:
-        return inputs.raw_encounters(spread(self.input("orders").select("o_orderkey", "o_custkey")))
+        return inputs.raw_encounters(self.input("orders").select("o_orderkey", "o_custkey"))
 
     def raw(self) -> DataFrame:
         return self._layer("raw", self.raw_lazy)
@@ -105,8 +100,7 @@ class Layers:
         return features.with_features(self.curated())
 
     def reference(self) -> dict[str, DataFrame]:
-        return reference_data.reference_dimensions(
-            reference_data.parse_stacked(reference_data.mapping_frame(self.spark)))
+        return reference_data.code_dimensions(self.spark)
 
     def dim_patient(self) -> DataFrame:
         return self._layer("dim_patient", lambda: warehouse.dim_patient(self.encounters()))

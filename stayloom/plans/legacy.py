@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 # Fixed values of the legacy extract.
 DATES = ("date_entree", "date_sortie")
 YES_NO = ("diabete", "hypertension", "cardiopathie", "dialyse", "passage_labo", "passage_cardio", "complications",
@@ -15,6 +17,11 @@ NUMBERS = ("age", "duree_sejour", "creatinine_mg_l", "uree_g_l", "potassium_mmol
            "score_risque_clinique", "delai_rehospitalisation_jours")
 FILLS = {"duree_hospitalisation_precedente_moy": 0.0, "delai_depuis_derniere_hosp_jours": 999.0,
          "delai_rehospitalisation_jours": 0.0}
+DATE_FORMATS = (
+    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm",
+    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd",
+)
+NUMBER_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 NEEDED = ("age", "date_entree", "date_sortie", "rehospitalise_30j")
 
 
@@ -23,16 +30,24 @@ def lower_names(df: DataFrame) -> DataFrame:
 
 
 def lenient_date(c: str) -> Column:
-    return F.try_to_timestamp(F.col(c), F.lit("yyyy-MM-dd")).cast("date")
+    """Day of a date in any of DATE_FORMATS, with or without a time; anything else is unknown."""
+    text = strip(c)
+    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS)).cast("date")
+
+
+def lenient_number(c: str) -> Column:
+    """Plain decimal or scientific notation; Spark's cast alone would take ``1d`` and ``1f`` for numbers as well."""
+    text = strip(c)
+    return F.when(text.rlike(NUMBER_TEXT), text.try_cast("double"))
 
 
 def yes_no(c: str) -> Column:
-    text = F.lower(F.trim(F.col(c)))
+    text = F.lower(strip(c))
     return F.when(text == "oui", 1).when(text == "non", 0)
 
 
 def sex_code(c: str) -> Column:
-    text = F.upper(F.trim(F.col(c)))
+    text = F.upper(strip(c))
     return F.when(text == "H", 1).when(text == "F", 0)
 
 
@@ -45,6 +60,6 @@ def legacy_clean(df: DataFrame) -> DataFrame:
     changed = {c: yes_no(c) for c in YES_NO if c in df.columns}
     if "sexe" in df.columns:
         changed["sexe"] = sex_code("sexe")
-    changed |= {c: F.col(c).try_cast("double") for c in NUMBERS if c in df.columns}
+    changed |= {c: lenient_number(c) for c in NUMBERS if c in df.columns}
     df = df.withColumns(changed)
     return df.na.fill({c: v for c, v in FILLS.items() if c in df.columns}).na.drop(subset=list(NEEDED))

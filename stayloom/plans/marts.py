@@ -18,22 +18,27 @@ def encounter_outcomes(star) -> DataFrame:
     return star.fact_hospitalization().join(star.fact_readmission(), "encounter_key")
 
 
-def mart_patients(star) -> DataFrame:
-    """Patient grain: encounters, earlier visits, readmissions, ever a frequent patient."""
-    per_patient = encounter_outcomes(star).groupBy("patient_key").agg(
+def mart_patients(star, patients: DataFrame | None = None) -> DataFrame:
+    """Patient grain: encounters, earlier visits, readmissions, ever a frequent patient; of all patients or of given
+    rows of the dimension."""
+    outcomes = encounter_outcomes(star)
+    if patients is not None:
+        stays = star.fact_hospitalization().join(patients.select("patient_key"), "patient_key", "left_semi")
+        outcomes = stays.join(star.fact_readmission(), "encounter_key")
+    per_patient = outcomes.groupBy("patient_key").agg(
         F.count("encounter_key").alias("total_encounters"),
         F.sum("total_previous_visits").alias("total_previous_visits_sum"),
         F.max("is_frequent_patient").alias("is_frequent_patient_ever"),
         F.sum("readmitted_30_days").alias("readmitted_30_days_count"),
         F.sum("readmitted_flag").alias("readmitted_count"),
     )
-    return star.dim_patient().join(per_patient, "patient_key").select(
+    return (star.dim_patient() if patients is None else patients).join(per_patient, "patient_key").select(
         "patient_key", "patient_nbr", "gender", "race", "first_age_bracket", "first_age_midpoint",
         "total_encounters", "total_previous_visits_sum", "is_frequent_patient_ever",
         "readmitted_30_days_count", "readmitted_count")
 
 
-def _with_descriptions(df: DataFrame, star, names) -> DataFrame:
+def with_descriptions(df: DataFrame, star, names) -> DataFrame:
     reference = star.reference()
     for name in names:
         dimension = reference[f"dim_{name}"]
@@ -45,7 +50,7 @@ def mart_hospitalizations(star, encounters: DataFrame | None = None) -> DataFram
     """Encounter grain with labels, of all encounters or of given rows of the fact."""
     facts = star.fact_hospitalization() if encounters is None else encounters
     patients = star.dim_patient().select("patient_key", "gender", "race", "first_age_bracket")
-    named = _with_descriptions(facts.join(patients, "patient_key"), star,
+    named = with_descriptions(facts.join(patients, "patient_key"), star,
                                ("admission_type", "discharge_disposition", "admission_source"))
     return named.select(
         "encounter_key", "patient_key", "gender", "race", "first_age_bracket", "admission_type_description",
@@ -69,7 +74,7 @@ def mart_readmission(star, outcomes: DataFrame | None = None) -> DataFrame:
         outcomes, "encounter_key")
     patients = star.dim_patient().select("patient_key", "gender", "race", "first_age_bracket")
     df = by_diagnosis_role(facts.join(patients, "patient_key"), star)
-    return _with_descriptions(df, star, ("admission_type",)).select(
+    return with_descriptions(df, star, ("admission_type",)).select(
         "encounter_key", "gender", "race", "first_age_bracket", "admission_type_description",
         F.col("diagnosis_group").alias("diag_1_group"), "time_in_hospital", "total_previous_visits", "readmitted",
         "readmitted_30_days", "readmitted_flag", "is_frequent_patient", "insulin_prescribed",

@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import ratio
+from ..functions.numbers import percent, ratio
 from ..operators.reshape import melt
-from .marts import by_diagnosis_role, encounter_outcomes, mart_hospitalizations, mart_readmission
+from ..schema import DIAGNOSES
+from .marts import (by_diagnosis_role, encounter_outcomes, mart_hospitalizations, mart_patients, mart_readmission,
+                    with_descriptions)
 
 # --- measures as columns: usable in any groupBy --------------------------------------------------------------------
 
@@ -46,6 +48,75 @@ def factor_rates(df: DataFrame, factors: Sequence[str], name: str = "readmitted_
     return long.groupBy("factor", "value").agg(F.count("*").alias("encounters"), measure(name))
 
 
+def _patient_sums(star) -> DataFrame:
+    """Outcome counts per patient: facts are summed up on the key before any label is attached."""
+    return encounter_outcomes(star).groupBy("patient_key").agg(
+        F.count("encounter_key").alias("encounters"), F.sum("readmitted_30_days").alias("readmitted_30_days"),
+        F.sum("readmitted_flag").alias("readmitted_flag"))
+
+
+def _rates_of_sums(sums: DataFrame, factors: Sequence[str], name: str) -> DataFrame:
+    """As :func:`factor_rates`, from rows that already hold counts."""
+    part = {"readmitted_30_days_rate": "readmitted_30_days", "readmission_rate": "readmitted_flag"}[name]
+    return melt(sums, ["encounters", part], factors, "factor", "value").groupBy("factor", "value").agg(
+        F.sum("encounters").alias("encounters"), ratio(F.sum(part), F.sum("encounters")).alias(name))
+
+
+def patient_factor_rates(star, factors: Sequence[str], name: str = "readmitted_30_days_rate") -> DataFrame:
+    """One measure by each of several attributes of the patient."""
+    patients = star.dim_patient().select("patient_key", *factors)
+    return _rates_of_sums(_patient_sums(star).join(patients, "patient_key"), factors, name)
+
+
+def stay_factor_rates(star, name: str = "readmitted_30_days_rate") -> DataFrame:
+    """One measure by primary diagnosis family and by admission type."""
+    sums = encounter_outcomes(star).groupBy("diag_1_key", "admission_type_id").agg(
+        F.count("encounter_key").alias("encounters"), F.sum("readmitted_30_days").alias("readmitted_30_days"),
+        F.sum("readmitted_flag").alias("readmitted_flag"))
+    named = with_descriptions(by_diagnosis_role(sums, star), star, ("admission_type",)).withColumnRenamed(
+        "diagnosis_group", "diag_1_group")
+    return _rates_of_sums(named, ("diag_1_group", "admission_type_description"), name)
+
+
+def switched_measure(star, names: Sequence[str], dimension: str = "first_age_bracket") -> DataFrame:
+    """One visual whose measure is chosen by name, for each of the names: ``(measure, dimension, value)``."""
+    out = None
+    for name in names:
+        one = patient_factor_rates(star, [dimension], name).select(
+            F.lit(name).alias("measure"), F.col("value").alias(dimension), F.col(name).alias("value"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def patients_by_group(star, dimensions: Sequence[str]) -> DataFrame:
+    """Patients with an encounter per group of attributes: keys are reduced before they meet the dimension."""
+    seen = star.fact_hospitalization().select("patient_key").distinct()
+    return star.dim_patient().select("patient_key", *dimensions).join(seen, "patient_key").groupBy(*dimensions).agg(
+        F.count("*").alias("patients"))
+
+
+def encounters_by_admission(star) -> DataFrame:
+    """Encounters by admission type, source and discharge, with their share of all: counted by code, then named."""
+    codes = ("admission_type", "admission_source", "discharge_disposition")
+    counts = star.fact_hospitalization().groupBy(*(f"{c}_id" for c in codes)).agg(F.count("*").alias("count"))
+    named = with_descriptions(counts, star, codes)
+    total = star.fact_hospitalization().agg(F.count("*").alias("n")).scalar()
+    return melt(named, ["count"], [f"{c}_description" for c in codes], "column_name", "value").groupBy(
+        "column_name", "value").agg(F.sum("count").alias("count")).withColumn(
+        "percentage", percent(F.col("count"), total, 2))
+
+
+def rates_by_role(star) -> DataFrame:
+    """The same rate through each of the diagnosis roles, from one pass over the facts."""
+    outcomes = encounter_outcomes(star).select("readmitted_30_days", F.inline(F.array(*(
+        F.struct(F.lit(role).alias("role"), F.col(f"{role}_key").alias("diagnosis_key")) for role in DIAGNOSES))))
+    per_key = outcomes.groupBy("role", "diagnosis_key").agg(
+        F.count("*").alias("encounters"), F.sum("readmitted_30_days").alias("back30"))
+    return per_key.join(star.dim_diagnosis(), "diagnosis_key", "left").groupBy("role", "diagnosis_group").agg(
+        F.sum("encounters").alias("encounters"),
+        ratio(F.sum("back30"), F.sum("encounters")).alias("readmitted_30_days_rate"))
+
+
 def distinct_patients(df: DataFrame, dimensions: Sequence[str], key: str = "patient_key") -> DataFrame:
     """Distinct patients per group, counted in two levels."""
     return df.select(*dimensions, key).distinct().groupBy(*dimensions).agg(F.count(key).alias("patients"))
@@ -137,6 +208,20 @@ def _page_of(fact: DataFrame, limit: int, offset: int, decorate) -> DataFrame:
     return decorate(rows.drop("total")).orderBy("encounter_key").withColumn("total", total)
 
 
+def patients_page(star, limit: int = 50, offset: int = 0, **wanted) -> DataFrame:
+    """A page of patients: filtered, counted and cut in the dimension; only the encounters of the page are summed.
+
+    Every patient of the dimension has an encounter, so the dimension alone tells how many rows the listing has.
+    """
+    rows = page(where_equal(star.dim_patient(), **wanted), "patient_key", limit, offset)
+    total = where_equal(star.dim_patient(), **wanted).agg(F.count("*").alias("n")).scalar()
+    return mart_patients(star, rows.drop("total")).orderBy("patient_key").withColumn("total", total)
+
+
+def patient_detail(star, patient_nbr) -> DataFrame:
+    return mart_patients(star, star.dim_patient().filter(F.col("patient_nbr") == patient_nbr))
+
+
 def hospitalizations_page(star, limit: int = 50, offset: int = 0) -> DataFrame:
     return _page_of(star.fact_hospitalization(), limit, offset, lambda rows: mart_hospitalizations(star, rows))
 

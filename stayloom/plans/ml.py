@@ -14,11 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.clinical import risk_band
 from ..functions.numbers import ratio, ratio_or_zero
-from ..functions.text import as_category
+from ..functions.text import as_category, inside_sql, strict_integer
 from ..operators.order import quantiles, running_total
 from ..schema import (EXCLUDED_DISCHARGES, HIGH_RISK_QUANTILE, MEDIUM_RISK_QUANTILE, MODEL_CATEGORICAL, MODEL_NUMERIC,
-                      MODEL_TARGET, RuleSet)
-from ..session import spread
+                      MODEL_TARGET)
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -99,6 +98,11 @@ def standardise(rows: DataFrame, columns: Sequence[str] = MODEL_NUMERIC) -> Data
 # --- models ------------------------------------------------------------------------------------------------------
 
 
+#: Rows of a fit are dealt by key over a fixed number of partitions: forests draw their samples per partition, so the
+#: fitted model must not depend on files or cores.
+TRAIN_PARTITIONS = 32
+
+
 def preprocessing(train: DataFrame) -> list:
     """Stages: standard scores, one-hot categories with unseen values as all zeros, one vector."""
     moments = scaling(train).collect()  # one row per declared numeric column
@@ -108,8 +112,9 @@ def preprocessing(train: DataFrame) -> list:
     encoded = [f"{c}_v" for c in MODEL_CATEGORICAL]
     return [
         SQLTransformer(statement=f"SELECT *, {scores} FROM __THIS__"),
+        # an unseen value gets the index after the last, which dropLast turns into all zeros
         StringIndexer(inputCols=list(MODEL_CATEGORICAL), outputCols=indexed, handleInvalid="keep"),
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"),
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         VectorAssembler(inputCols=[*(f"{c}_z" for c in MODEL_NUMERIC), *encoded], outputCol="features"),
     ]
 
@@ -132,7 +137,7 @@ def weighted(rows: DataFrame, label: str = MODEL_TARGET) -> DataFrame:
 
 def fit_candidates(train: DataFrame, names: Sequence[str] | None = None, **sizes: int) -> dict[str, PipelineModel]:
     """Fit the preprocessing once and every wanted candidate on its output; each result is a complete pipeline."""
-    rows = weighted(spread(train))
+    rows = weighted(train.repartition(TRAIN_PARTITIONS, "encounter_id"))
     shared = Pipeline(stages=preprocessing(train)).fit(rows)
     # balanced weights add up to the number of rows
     candidates = candidate_models(float(train.count()), **sizes)
@@ -181,7 +186,7 @@ def ranking_metrics(scored: DataFrame, truth: str = "y_true", score_column: str
     curve = running_total(groups, ["_down"], {"tp": "pos", "fp": "neg"})
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
     # twice the ROC area, in whole numbers
-    area = F.sum((neg * (2 * (tp - pos) + pos)).cast("decimal(38,0)"))
+    area = F.sum((neg.cast("decimal(18,0)") * (2 * (tp - pos) + pos).cast("decimal(19,0)")).cast("decimal(38,0)"))
     p, n = F.sum("pos"), F.sum("neg")
     precision = F.sum(pos * (tp / (tp + fp)))
     return curve.agg(
@@ -257,11 +262,34 @@ REQUEST_BOUNDS = {
     **{c: (0, None) for c in MODEL_NUMERIC},
     "time_in_hospital": (1, 14), "number_diagnoses": (1, 16), "age_midpoint": (0, 100), "insulin_prescribed": (0, 1),
 }
-REQUEST_RULES = RuleSet(
-    columns=(*MODEL_NUMERIC, *MODEL_CATEGORICAL),
-    bounds={c: (low, high, f"{c} must be at least {low}" if high is None else f"{c} must be {low} to {high}")
-            for c, (low, high) in REQUEST_BOUNDS.items()},
-)
+#: Request fields that take any whole number; the remaining ones are texts.
+REQUEST_CODES = ("admission_type_id", "discharge_disposition_id", "admission_source_id")
+REQUEST_FIELDS = (*MODEL_NUMERIC, *MODEL_CATEGORICAL)
+
+
+def request_violations(requests: DataFrame) -> DataFrame:
+    """Why a scoring request would be refused: a row for each field that is absent, no whole number, or out of range.
+
+    Requests hold every field as text beside their ``row_id``.
+    """
+    def broken(c):
+        if c in REQUEST_BOUNDS:
+            low, high = REQUEST_BOUNDS[c]
+            wrong = F.expr(f"NOT {inside_sql(c, low, high)}")
+            reason = f"{c} must be at least {low}" if high is None else f"{c} must be {low} to {high}"
+        elif c in REQUEST_CODES:
+            wrong, reason = strict_integer(c).isNull(), f"{c} must be a whole number"
+        else:
+            wrong, reason = F.lit(False), ""
+
+        def finding(rule, value, text):
+            return F.struct(F.lit(rule).alias("rule_name"), F.lit(c).alias("column_name"),
+                            value.alias("invalid_value"), F.lit(text).alias("rejection_reason"))
+
+        return F.when(F.col(c).isNull(), finding("required_value", F.lit("<NULL>"), f"{c} is required")).when(
+            wrong, finding("invalid_numeric_value", F.col(c), reason))
+
+    return requests.select("row_id", F.inline(F.array_compact(F.array(*map(broken, REQUEST_FIELDS)))))
 
 
 def score_requests(model: PipelineModel, thresholds: DataFrame, requests: DataFrame, model_name: str) -> DataFrame:

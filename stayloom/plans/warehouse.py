@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clinical import diagnosis_family
-from ..functions.text import one_of
+from ..functions.text import literal, one_of
 from ..operators.order import dense_key, first_per_key
 from ..operators.reshape import melt
 from ..schema import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, DIAGNOSES, MEDICATIONS
@@ -33,10 +33,10 @@ def dim_diagnosis(curated: DataFrame) -> DataFrame:
 
 
 def dim_medication(spark: SparkSession) -> DataFrame:
-    """The fixed drug list; its keys follow the alphabet."""
-    return spark.createDataFrame(
-        [(i, name) for i, name in enumerate(sorted(MEDICATIONS), start=1)],
-        "medication_key int, medication_name string")
+    """The fixed drug list; its keys follow the alphabet. As a VALUES relation it has a known size, so it is the side
+    that Spark broadcasts."""
+    rows = ", ".join(f"({i}, {literal(name)})" for i, name in enumerate(sorted(MEDICATIONS), start=1))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS drugs(medication_key, medication_name)")
 
 
 def calendar(bounds: DataFrame) -> DataFrame:

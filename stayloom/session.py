@@ -65,11 +65,3 @@ def staged(df, label: str = "stage"):
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
-
-def spread(df):
-    """Repartition a frame that is planned in fewer tasks than there are cores (a few small, unsplittable files).
-
-    Large inputs already have a task per split and pass through untouched. Use it on narrow columns.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

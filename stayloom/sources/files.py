@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.text import null_if_token
 from ..plans.warehouse import absent_only
 from ..schema import SOURCE_FILE_NAME
+from ..session import staged
 
 # --- readers -----------------------------------------------------------------------------------------------------
 
@@ -70,15 +71,14 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 def replace_table(df: DataFrame, table: str, **options: str) -> int:
     """Replace a table and reconcile: an empty frame or a differing stored count is an error.
 
-    The written rows are counted while they are written, so the input is not computed a second time.
+    The rows are staged and counted first, so an empty frame leaves the old table as it is, and the input is not
+    computed a second time.
     """
-    from pyspark.sql import Observation
-
-    seen = Observation()
-    df.observe(seen, F.count("*").alias("n")).write.mode("overwrite").options(**options).saveAsTable(table)
-    written = seen.get["n"]
+    ready = staged(df, "replacement")
+    written = ready.count()
     if written == 0:
         raise ValueError(f"nothing to store in {table}")
+    ready.write.mode("overwrite").options(**options).saveAsTable(table)
     stored = df.sparkSession.table(table).count()
     if stored != written:
         raise ValueError(f"{table}: {written} rows written, {stored} stored")
@@ -101,7 +101,10 @@ def write_csv_report(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, byte_order_mark: bool = False) -> None:
+    """CSV files with a header; on request each begins with a byte-order mark, which stands before the first name."""
+    if byte_order_mark and df.columns:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
 
 

@@ -135,11 +135,12 @@ def legacy_stays(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     return orders.join(discharge, "o_orderkey").select(
         k.alias("stay_id"),
-        F.when(k % 401 == 3, "n/a").otherwise(_text(F.col("o_orderdate").cast("date"))).alias("date_entree"),
+        F.when(k % 401 == 3, "n/a").when(k % 419 == 7, F.concat(
+            _text(F.col("o_orderdate").cast("date")), F.lit(" 08:30:00"))).otherwise(_text(F.col("o_orderdate").cast("date"))).alias("date_entree"),
         _text(F.col("last_ship").cast("date")).alias("date_sortie"),
-        F.when(k % 409 == 5, "inconnu").when(k % 6 == 0, "").otherwise(_text(c % 90 + 5)).alias("age"),
-        F.when(k % 4 == 0, " Oui ").when(k % 4 == 1, "non").when(k % 4 == 2, "NON").alias("diabete"),
+        F.when(k % 409 == 5, "inconnu").when(k % 431 == 11, "12d").when(k % 6 == 0, "").otherwise(_text(c % 90 + 5)).alias("age"),
+        F.when(k % 8 == 0, "\tOui\n").when(k % 4 == 0, " Oui ").when(k % 4 == 1, "non").when(k % 4 == 2, "NON").alias("diabete"),
         F.when(k % 3 == 0, "h").when(k % 3 == 1, "F ").otherwise("?").alias("sexe"),
-        F.when(c % 2 == 0, "oui").otherwise("non").alias("rehospitalise_30j"),
+        F.when(c % 14 == 2, "\toui").when(c % 2 == 0, "oui").otherwise("non").alias("rehospitalise_30j"),
         F.when(k % 5 != 0, _text(k % 60)).alias("delai_depuis_derniere_hosp_jours"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import strip
+from ..functions.text import literal, strip
 from ..operators.order import carry_forward
 from ..schema import NO_DESCRIPTION, REFERENCE_SECTIONS
 
@@ -108,6 +108,17 @@ def parse_stacked(lines: DataFrame, sections=tuple(REFERENCE_SECTIONS)) -> DataF
     )
 
 
+def code_dimensions(spark: SparkSession) -> dict[str, DataFrame]:
+    """The three published code dimensions as VALUES relations: Spark knows how small they are and broadcasts them
+    by itself, whatever they are joined to. The texts are those the parser gives for the published file."""
+    out = {}
+    for (name, id_column, description), codes in zip(
+            REFERENCE_SECTIONS.values(), (ADMISSION_TYPES, DISCHARGE_DISPOSITIONS, ADMISSION_SOURCES)):
+        rows = ", ".join(f"({number}, {literal(text.strip().strip(chr(34)))})" for number, text in codes)
+        out[name] = spark.sql(f"SELECT * FROM VALUES {rows} AS codes({id_column}, {description})")
+    return out
+
+
 def reference_dimensions(parsed: DataFrame) -> dict[str, DataFrame]:
     """The three code dimensions, split by section."""
     return {
