@@ -5,6 +5,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import TABLES, canonical
+from stayloom.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 SLOW = {"model_comparison", "fact_prediction"}
@@ -18,7 +19,7 @@ def db():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query(spark, db, name):
     df = queries()[name](spark, FOLDER)
     cursor = db.execute(oracle_sql()[name])
@@ -31,4 +32,4 @@ def test_entry(spark):
 
 
 def test_only_models_lack_a_twin():
-    assert set(queries()) - set(oracle_sql()) == SLOW
+    assert set(QUERIES) - set(oracle_sql()) == SLOW
