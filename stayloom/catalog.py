@@ -291,7 +291,7 @@ def fact_readmission(L):
 
 @query
 def fact_medication_usage(L):
-    return warehouse.fact_medication_usage(L.curated(), L.dim_medication())
+    return warehouse.fact_medication_usage(L.curated())
 
 
 @query

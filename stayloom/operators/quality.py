@@ -266,10 +266,11 @@ def values_in_domain(df: DataFrame, domains: dict[str, tuple]) -> DataFrame:
 
 
 def foreign_keys(child: DataFrame, column: str, parent: DataFrame, parent_key: str, name: str) -> DataFrame:
-    """Child rows whose non-NULL key has no parent."""
+    """Child rows whose non-NULL key has no parent. Rows are counted by key first, so only distinct keys are joined."""
     parents = parent.select(F.col(parent_key).alias("_parent"))
-    orphans = child.filter(F.col(column).isNotNull()).join(parents, F.col(column) == F.col("_parent"), "left_anti")
-    return check_rows(orphans.agg(F.count("*").alias(name)))
+    keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    orphans = keys.join(parents, F.col(column) == F.col("_parent"), "left_anti")
+    return check_rows(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name)))
 
 
 def curated_checks(df: DataFrame, key: str, integers) -> DataFrame:

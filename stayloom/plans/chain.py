@@ -116,7 +116,7 @@ def run_chain(spark: SparkSession, source: DataFrame, out: str, reference: dict[
     def build():
         curated = spark.read.parquet(f"{out}/curated")
         encounters = features.with_features(curated)
-        medications = write(warehouse.dim_medication(spark), "warehouse/dim_medication")
+        write(warehouse.dim_medication(spark), "warehouse/dim_medication")
         patients = write(warehouse.dim_patient(encounters), "warehouse/dim_patient")
         diagnoses = write(warehouse.dim_diagnosis(curated), "warehouse/dim_diagnosis")
         write(warehouse.dim_date(spark), "warehouse/dim_date")
@@ -124,7 +124,7 @@ def run_chain(spark: SparkSession, source: DataFrame, out: str, reference: dict[
             write(df, f"warehouse/{name}")
         write(warehouse.fact_hospitalization(encounters, patients, diagnoses), "warehouse/fact_hospitalization")
         write(warehouse.fact_readmission(encounters), "warehouse/fact_readmission")
-        write(warehouse.fact_medication_usage(curated, medications), "warehouse/fact_medication_usage")
+        write(warehouse.fact_medication_usage(curated), "warehouse/fact_medication_usage")
 
     def publish():
         star = StoredStar(spark, out, reference)

@@ -124,7 +124,7 @@ class Layers:
 
     def fact_medication_usage(self) -> DataFrame:
         return self._layer("fact_medication_usage", lambda: warehouse.fact_medication_usage(
-            self.curated(), self.dim_medication()), bucket="encounter_key")
+            self.curated()), bucket="encounter_key")
 
     def model_split(self) -> DataFrame:
         """Model rows with their side of the split: every fit reads the table several times."""

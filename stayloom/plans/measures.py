@@ -247,20 +247,17 @@ def detail(df: DataFrame, key: str, value) -> DataFrame:
     return df.filter(F.col(key) == value)
 
 
-def restricted_to(df: DataFrame, principal: str | None = None, grants: DataFrame | None = None,
+def restricted_to(df: DataFrame, principal: str, grants: DataFrame | None = None,
                   column: str = "medical_specialty") -> DataFrame:
     """Row-level security: the rows a principal may see.
 
     Without grants the principal must equal the row's specialty; with a (principal, specialty) grant table the rows
-    of all granted specialties are kept, and without a principal each row appears once per principal who may see it.
+    of all granted specialties are kept. Who may see what is the grant table itself, which no row has to be copied for.
     """
     if grants is None:
         return df.filter(F.col(column) == principal)
-    allowed = grants.select("principal", F.col("specialty").alias("_granted")).distinct()
-    if principal is not None:
-        mine = allowed.filter(F.col("principal") == principal).select("_granted")
-        return df.join(mine, F.col(column) == F.col("_granted"), "left_semi")
-    return df.join(allowed, F.col(column) == F.col("_granted")).drop("_granted")
+    mine = grants.filter(F.col("principal") == principal).select(F.col("specialty").alias("_granted"))
+    return df.join(mine, F.col(column) == F.col("_granted"), "left_semi")
 
 
 def calendar_drill(calendar_days: DataFrame, **totals: Column) -> DataFrame:

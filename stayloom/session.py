@@ -40,6 +40,19 @@ def build_session(app_name: str = "stayloom", master: str | None = None, **conf:
 
 
 _local_folders: dict[str, str] = {}
+_dropped_at_exit: set[str] = set()
+
+
+def _drop_at_exit(spark: SparkSession, folder: str) -> None:
+    """Have the folder of this application removed when its driver ends, whatever store it lies in."""
+    if folder in _dropped_at_exit:
+        return
+    _dropped_at_exit.add(folder)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    store.deleteOnExit(path)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -50,11 +63,14 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return f"{configured.rstrip('/')}/stayloom/{app}"
+        folder = f"{configured.rstrip('/')}/stayloom/{app}"
+        _drop_at_exit(spark, folder)
+        return folder
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
     if app not in _local_folders:
         _local_folders[app] = tempfile.mkdtemp(prefix="stayloom-")
+        _drop_at_exit(spark, _local_folders[app])
     return _local_folders[app]
 
 
