@@ -473,6 +473,17 @@ quotas AS (
 SELECT encounter_id, readmitted_30_days, CAST(row_number() OVER (PARTITION BY readmitted_30_days
   ORDER BY md5('42:' || CAST(encounter_id AS VARCHAR)), encounter_id) <= test_rows AS INTEGER) AS is_test
 FROM model_rows JOIN quotas ON label = readmitted_30_days"""
+_CATEGORICAL = ("gender", "race", "admission_type_id", "discharge_disposition_id", "admission_source_id",
+                "max_glu_serum", "a1c_result", "change", "diabetesmed", "insulin_prescribed", "diag_1_group")
+SQL["encoded_categories"] = SQL["split_assignment"].replace(
+    "\nSELECT encounter_id, readmitted_30_days, CAST(",
+    ",\nsplit AS (SELECT encounter_id, readmitted_30_days, CAST(") + """),
+cells AS (UNPIVOT (SELECT m.encounter_id, is_test, {columns} FROM model_rows m JOIN split s USING (encounter_id))
+  ON {columns} INTO NAME column_name VALUE value),
+ranked AS (SELECT c, v, row_number() OVER (PARTITION BY c ORDER BY n DESC, v) - 1 AS slot
+  FROM (SELECT column_name AS c, value AS v, count(*) AS n FROM cells WHERE is_test = 0 GROUP BY 1, 2))
+SELECT encounter_id, column_name, slot FROM cells LEFT JOIN ranked ON c = column_name AND v = value
+WHERE is_test = 1""".replace("{columns}", ", ".join(_CATEGORICAL))
 SQL["class_weights"] = """
 SELECT readmitted_30_days, class_rows, n / (k * class_rows) AS class_weight, (n - class_rows) / class_rows AS others_ratio
 FROM (SELECT readmitted_30_days, count(*) AS class_rows, sum(count(*)) OVER () AS n, count(*) OVER () AS k

@@ -16,6 +16,7 @@ from .plans import chain, clean, features, legacy, marts, measures, ml, warehous
 from .plans.layers import AS_OF, Layers
 from .schema import (ALLOWED_VALUES, DIAGNOSES, ENCOUNTER_COLUMNS, FLAG_COLUMNS, HOSPITAL_RULES, MEDICATIONS,
                      MODEL_NUMERIC, RuleSet)
+from .session import staged
 from .sources import files, inputs, reference_data
 
 QUERIES: dict[str, Callable[[Layers], DataFrame]] = {}
@@ -933,28 +934,25 @@ def request_checks(L):
             F.col("patient_complexity_score"))}))
 
 
-def _train_and_test(L):
-    both = L.model_split()
-    return both.filter("is_test = 0").drop("is_test"), both.filter("is_test = 1").drop("is_test")
+@query
+def encoded_categories(L):
+    """One-hot slots of the categories of held-out rows; a category the training rows do not have is all zeros."""
+    return ml.category_slots(*L.train_and_test())
 
 
 @query
 def model_comparison(L):
-    """The three candidates, at their declared sizes, on the held-out rows."""
-    train, test = _train_and_test(L)
-    models = ml.fit_candidates(train)
-    return ml.compare({
-        name: ml.evaluation(ml.score(model, test).withColumnRenamed("readmitted_30_days", "y_true"))
-        for name, model in models.items()})
+    """The evaluation report of the three candidates, at their declared sizes, on the held-out rows."""
+    folder, _ = L.trained()
+    return L.spark.read.parquet(f"{folder}/evaluation")
 
 
 @query
 def fact_prediction(L):
-    """All eligible encounters scored by the logistic model, with quantile risk bands."""
-    train, _ = _train_and_test(L)
-    model = ml.fit_candidates(train, ["logistic_regression"])["logistic_regression"]
-    scored = ml.score(model, ml.model_rows(L.encounters(), target=False))
-    return ml.fact_prediction(scored, "logistic_regression", "1", AS_OF)
+    """All eligible encounters scored by the best stored model, with quantile risk bands. Scores are computed once."""
+    folder, best = L.trained()
+    scored = staged(ml.score(ml.load_model(folder, best), ml.model_rows(L.encounters(), target=False)), "scores")
+    return ml.fact_prediction(scored, best, "1", AS_OF)
 
 
 # --- legacy extract, reports, whole chain ------------------------------------------------------------------------

@@ -30,6 +30,7 @@ AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so
 #: same for all facts, whatever the input.
 BUCKETS = 16
 
+_trained: dict[tuple[str, str, str], tuple[str, str]] = {}
 _stored: dict[tuple[str, str, str], Callable[[SparkSession], DataFrame]] = {}
 
 
@@ -134,3 +135,15 @@ class Layers:
             return rows.join(side, "encounter_id")
 
         return self._layer("model_split", build)
+
+    def train_and_test(self) -> tuple[DataFrame, DataFrame]:
+        both = self.model_split()
+        return both.filter("is_test = 0").drop("is_test"), both.filter("is_test = 1").drop("is_test")
+
+    def trained(self) -> tuple[str, str]:
+        """Folder of the stored models and the name of the best one; trained once per session and input."""
+        key = (*self._key, "models")
+        if key not in _trained:
+            folder = f"{shared_folder(self.spark)}/models/{uuid.uuid4().hex}"
+            _trained[key] = folder, ml.train_and_store(*self.train_and_test(), folder)[0]
+        return _trained[key]

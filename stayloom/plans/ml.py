@@ -18,6 +18,7 @@ from ..functions.text import as_category, inside_sql, strict_integer
 from ..operators.order import quantiles, running_total
 from ..schema import (EXCLUDED_DISCHARGES, HIGH_RISK_QUANTILE, MEDIUM_RISK_QUANTILE, MODEL_CATEGORICAL, MODEL_NUMERIC,
                       MODEL_TARGET)
+from ..session import staged
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -214,6 +215,35 @@ def compare(evaluations: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("is_best", F.col("model_name") == best).drop("_order")
 
 
+def train_and_store(train: DataFrame, test: DataFrame, folder: str, **sizes: int) -> tuple[str, DataFrame]:
+    """Fit all candidates, store the best one by ROC area below ``folder`` and write the evaluation report beside it.
+
+    Held-out rows are scored once for each model. Returns the name of the best model and the report.
+    """
+    evaluations = {}
+    for name, model in fit_candidates(train, **sizes).items():
+        model.write().overwrite().save(f"{folder}/{name}")
+        scored = staged(score(model, test).withColumnRenamed(MODEL_TARGET, "y_true"), "held-out-scores")
+        evaluations[name] = evaluation(scored)
+    compare(evaluations).write.mode("overwrite").parquet(f"{folder}/evaluation")
+    report = train.sparkSession.read.parquet(f"{folder}/evaluation")
+    return report.filter("is_best").first()["model_name"], report  # one row
+
+
+def load_model(folder: str, name: str) -> PipelineModel:
+    return PipelineModel.load(f"{folder}/{name}")
+
+
+def category_slots(train: DataFrame, rows: DataFrame) -> DataFrame:
+    """Slot that each category of ``rows`` takes in its one-hot vector, NULL where the vector is all zeros:
+    ``(encounter_id, column_name, slot)``. Vectors are fitted on ``train``."""
+    fitted = Pipeline(stages=preprocessing(train)).fit(train).transform(rows)
+    slots = [F.struct(F.lit(c).alias("column_name"), F.nullif(
+        F.array_position(vector_to_array(f"{c}_v"), F.lit(1.0)), F.lit(0)).alias("place")) for c in MODEL_CATEGORICAL]
+    return fitted.select("encounter_id", F.inline(F.array(*slots))).select(
+        "encounter_id", "column_name", (F.col("place") - 1).alias("slot"))
+
+
 # --- scoring -----------------------------------------------------------------------------------------------------
 
 
