@@ -27,11 +27,11 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
-from .common import ascii_lower, text_batches
+from .common import text_batches, utf8
 
 WIDTH, CLOSING_ID, MAX_QUEUES = 2048, 1, 256
 #: Rows of the table of (task, queue) sums up to which it is broadcast; beyond that it is joined by a shuffle.
@@ -43,6 +43,21 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "queue int")
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def _lowered(texts: pa.Array) -> pa.Array:
+    """The vocabulary is of lower case, so fewer different words are left. Texts with marks of special tokens keep
+    their case, as do those they share a batch with."""
+    if pc.any(pc.match_substring(texts, "<|")).as_py():
+        return texts
+    data, offsets = utf8(texts)
+    low = _LOWER[data[offsets[0]:offsets[-1]]] if len(texts) else data
+    ends = np.ascontiguousarray(offsets - offsets[0])
+    return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(low)])
+
+
 class WordCache:
     """Ids of texts from the ids of their words. For vocabularies whose tokens never cross white space.
 
@@ -100,7 +115,7 @@ class WordCache:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, each closed by the closing id, and the n + 1 offsets into them."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        texts = _lowered(pc.fill_null(texts, "").cast(pa.large_string()))
         # a full stop or comma behind a letter or digit is a token of its own with or without a blank before it
         texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,])([ \n])", r"\1 \2\3")
         words = pc.ascii_split_whitespace(texts)
@@ -179,15 +194,15 @@ class Schedule:
             have[rows[less], drop[less]] -= 1
 
     def window_of(self, queue: int, place: int) -> int:
-        """The window that holds the given token of a queue."""
-        low, high = 0, self.windows - 1
-        while low < high:
-            middle = (low + high) // 2
-            if self.cuts(np.array([middle + 1]))[0, queue] > place:
-                high = middle
-            else:
-                low = middle + 1
-        return low
+        """The window that holds the given token of a queue: a guess from the fluid schedule, then stepwise."""
+        level = (2 * place + 1) / self.weights[queue]
+        before = np.clip(np.floor((level * self.weights + 1) / 2), 0, self.totals).sum() - 1
+        window = min(max(int(before // self.width), 0), self.windows - 1)
+        while True:
+            low, high = self.cuts(np.array([window, window + 1]))[:, queue]
+            if low <= place < high:
+                return window
+            window += 1 if place >= high else -1
 
 
 def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> Callable:
@@ -240,11 +255,6 @@ def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> C
     return run
 
 
-def _lowered(text: Column) -> Column:
-    """The vocabulary is of lower case, so fewer different words are left; marks of special tokens stay as they are."""
-    return F.when(text.contains("<|"), text).otherwise(ascii_lower(text))
-
-
 def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int = CLOSING_ID,
          weights: dict[str | None, float] | None = None, max_queues: int = MAX_QUEUES, id_column: str = "doc_id",
          text_column: str = "text", source_column: str = "source",
@@ -271,7 +281,7 @@ def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int =
         names = [None] * max_queues
         queue = F.pmod(F.crc32(F.coalesce(source, F.lit("")).cast("binary")), F.lit(max_queues)).cast("int")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), queue.cast("int").alias("queue"),
-                       _lowered(F.col(text_column)).alias("text"))
+                       F.col(text_column).alias("text"))
     tokens = staged(rows.mapInArrow(_tokenize(vocabulary, closing_id, kind), TOKENS), "token-ids")
     sums = staged(tokens.groupBy("part", "queue").agg(F.max(F.col("place") + F.col("n")).alias("n")), "queue-sums")
     totals = np.zeros(max(len(names), 1), np.int64)
