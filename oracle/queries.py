@@ -590,6 +590,19 @@ _FIELDS = (*_RANGES, *_CODES, *_TEXTS)
 SQL["request_checks"] = ("WITH requests AS (SELECT encounter_id AS row_id, " + ", ".join(map(_request, _FIELDS))
                          + " FROM encounters) " + union(map(_refused, _FIELDS)))
 
+# --- files and tables ---
+SQL["csv_as_text"] = ("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey, "
+                      "CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer")
+SQL["csv_inferred"] = "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier"
+SQL["stored_layer_counts"] = "SELECT count(*) AS row_count, count(DISTINCT o_custkey) AS distinct_count FROM orders"
+SQL["bound_parameters"] = ("SELECT o_custkey, count(*) AS orders FROM orders WHERE o_orderkey % 7 <> 3 "
+                           "GROUP BY o_custkey")
+SQL["replaced_table"] = "SELECT * FROM supplier"
+SQL["refilled_table"] = "SELECT * FROM part"
+SQL["mart_views"] = ("SELECT gender, race, CAST(sum(total_encounters) AS BIGINT) AS encounters FROM mart_patients "
+                     "GROUP BY gender, race")
+SQL["numbered_rows"] = "SELECT count(*) AS row_count, count(*) AS id_count FROM lineitem"
+
 # --- legacy extract, reports, whole chain ---
 SQL["legacy_clean"] = """
 WITH stays AS (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from .plans import chain, clean, features, legacy, marts, measures, ml, warehous
 from .plans.layers import AS_OF, Layers
 from .schema import (ALLOWED_VALUES, DIAGNOSES, ENCOUNTER_COLUMNS, FLAG_COLUMNS, HOSPITAL_RULES, MEDICATIONS,
                      MODEL_NUMERIC, RuleSet)
-from .session import staged
+from .session import shared_folder, staged
 from .sources import files, inputs, reference_data
 
 QUERIES: dict[str, Callable[[Layers], DataFrame]] = {}
@@ -955,6 +956,74 @@ def fact_prediction(L):
     return ml.fact_prediction(scored, best, "1", AS_OF)
 
 
+# --- files and tables: a given table is written in full and read back ----------------------------------------------
+
+
+def _place(L, name):
+    return f"{shared_folder(L.spark)}/written/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_as_text(L):
+    path = _place(L, "customer-csv")
+    files.write_csv(L.input("customer"), path)
+    return files.read_csv_text(L.spark, path)
+
+
+@query
+def csv_inferred(L):
+    path = _place(L, "supplier-csv")
+    files.write_csv(L.input("supplier"), path)
+    return files.read_csv_inferred(L.spark, path)
+
+
+@query
+def stored_layer_counts(L):
+    """Rows and distinct keys of a stored layer, by SQL on its files."""
+    path = _place(L, "orders")
+    files.write_layer(L.input("orders"), path)
+    return files.count_in_file(L.spark, path, "o_custkey")
+
+
+@query
+def bound_parameters(L):
+    """SQL text with bound parameters over a registered table."""
+    L.input("orders").createOrReplaceTempView("stayloom_orders")
+    return files.query(L.spark, "SELECT o_custkey, count(*) AS orders FROM stayloom_orders WHERE o_orderkey % :n <> :r "
+                                "GROUP BY o_custkey", n=7, r=3)
+
+
+@query
+def replaced_table(L):
+    name = f"stayloom_replaced_{uuid.uuid4().hex}"
+    files.replace_table(L.input("supplier"), name, path=_place(L, "supplier"))
+    return L.spark.table(name)
+
+
+@query
+def refilled_table(L):
+    """A table filled, emptied and filled again with other rows, and then with those it lacks."""
+    part, name = L.input("part"), f"stayloom_refilled_{uuid.uuid4().hex}"
+    files.replace_table(part.filter("p_size > 40"), name, path=_place(L, "part"))
+    files.truncate_insert(part.filter("p_size <= 20"), name)
+    files.insert_absent(part, name, "p_partkey")
+    return L.spark.table(name)
+
+
+@query
+def mart_views(L):
+    """A mart through its registered view."""
+    marts.create_views(L)
+    return L.spark.sql("SELECT gender, race, sum(total_encounters) AS encounters FROM mart_patients GROUP BY gender, race")
+
+
+@query
+def numbered_rows(L):
+    """Row ids given at read time are unique."""
+    return files.with_row_id(L.input("lineitem")).groupBy("row_id").agg(F.count("*").alias("n")).agg(
+        F.sum("n").alias("row_count"), F.count("*").alias("id_count"))
+
+
 # --- legacy extract, reports, whole chain ------------------------------------------------------------------------
 
 
