@@ -125,7 +125,7 @@ def _writer(folder: str, file_bytes: int, crawled: str) -> Callable:
                     if out is None:
                         path = f"{root}/{uuid.uuid4().hex}.warc.gz"
                         store.create_dir(root, recursive=True)
-                        out, at = store.open_output_stream(path), 0
+                        out, at = store.open_output_stream(path, compression=None), 0  # records are members already
                     data = gzip.compress(record_bytes(row, crawled), mtime=0)
                     out.write(data)
                     rows.append((path.removeprefix(root), at, len(data), row["record_type"], row["page_id"],
