@@ -43,6 +43,12 @@ def _run_hash(length: int):
     return lambda h, i: F.xxhash64(F.lit(length), h, *(F.get("hashes", i + k) for k in range(1, length)))
 
 
+def _single(length: int, post):
+    """Post of the run of ``length`` words at position i, which is a window by itself."""
+    run = _run_hash(length)
+    return lambda h, i: post(run(h, i), i, i + 1, length)
+
+
 def fingerprints(texts: DataFrame, short_lengths: list[int]) -> DataFrame:
     """Add ``posts``: array of (fingerprint, first and last window position + 1, words a window has).
 
@@ -65,9 +71,7 @@ def fingerprints(texts: DataFrame, short_lengths: list[int]) -> DataFrame:
     posts = [F.transform("starts", lambda s, j: post(
         F.get("least", s), s, F.coalesce(F.get("starts", j + 1), F.size("least")), WINDOW))]
     for length in short_lengths:
-        run = _run_hash(length)
-        posts.append(F.transform(_head("hashes", n - length + 1),
-                                 lambda h, i, r=run, k=length: post(r(h, i), i, i + 1, k)))
+        posts.append(F.transform(_head("hashes", n - length + 1), _single(length, post)))
     return step.withColumn("posts", F.concat(*posts)).drop("hashes", "grams", "least", "starts")
 
 
