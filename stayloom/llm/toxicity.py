@@ -35,13 +35,13 @@ from .common import text_batches, utf8
 from .shingles import SpanHashes, runs_of
 
 SAMPLE_POSITIVE, SAMPLE_UNLABELLED, SAMPLE_CHARS = 1500, 5000, 8192
-BITS, BEGINNINGS, LEAST_DOCUMENTS = 20, (4, 5, 6), 3
+BITS, BEGINNINGS, LEAST_DOCUMENTS = 20, (4, 5, 6), 2
 FEATURES = 1 << BITS
 #: A feature's value is its count per PER_WORDS words; EXTRA_WORDS are added so that no word decides alone in a short text.
-PER_WORDS, EXTRA_WORDS = 50, 20
-STEPS, BATCH, RATE, DECAY = 1500, 256, 0.2, 2e-4
+PER_WORDS, EXTRA_WORDS = 50, 10
+STEPS, BATCH, RATE, DECAY = 1500, 256, 0.5, 3e-4
 #: The sign of the corrected part is judged on its running mean over batches, and steps back are shortened.
-SMOOTH, GAMMA = 0.95, 0.3
+SMOOTH, GAMMA = 0.95, 0.1
 
 SCORES = "doc_id long, score double"
 
