@@ -36,7 +36,7 @@ from .common import text_batches, utf8
 WIDTH, CLOSING_ID, MAX_QUEUES = 2048, 1, 256
 #: Rows of the table of (task, queue) sums up to which it is broadcast; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
-_CACHED_WORDS = 2_000_000
+_CACHED_WORDS, _BYTES_AT_ONCE = 2_000_000, 8 << 20
 
 TOKENS = "doc_id long, queue int, part int, place long, n long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -136,6 +136,19 @@ class WordCache:
 _caches: dict[tuple, WordCache] = {}
 
 
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches together, so that a word is looked up once for more text."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= _BYTES_AT_ONCE:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def _tokenize(vocabulary: str, closing_id: int, kind: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -144,7 +157,7 @@ def _tokenize(vocabulary: str, closing_id: int, kind: str) -> Callable:
         cache = _caches.setdefault((vocabulary, closing_id), None) or WordCache(vocabulary, closing_id)
         _caches[vocabulary, closing_id] = cache
         filled: dict[int, int] = {}
-        for batch in batches:
+        for batch in _merged(batches):
             ids, offsets = cache.encode(batch.column("text"))
             counts = np.diff(offsets)
             places = []
