@@ -12,6 +12,11 @@ document, different values have different ones, and the pseudonym is valid again
 * IPv4: the 32 bits are permuted;
 * date (1900-01-01 to 2099-12-31): the day number is permuted within the two centuries.
 
+The span is chosen after validation. A candidate for a card is a whole chain of digit groups, and its stretches on group
+borders are tested as well: 13 to 19 digits that pass Luhn and either begin like a card of their length or come in
+groups of three or more (the last may be shorter); where valid stretches overlap, the likelier form wins. A candidate
+for an IBAN ends where the length of its country says; one that is not valid is searched for shorter ones and for cards.
+
 Separators, brackets and signs stay where they are. E-mail addresses have no format to keep: the local part becomes a
 keyed digest at ``mail.invalid``.
 
@@ -33,19 +38,43 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 DEMO_KEY = "stayloom-demo-key"
 
+#: Countries by the length of their IBAN.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG YE", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}
+_GENERIC_IBAN = r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+_SIZED_IBAN = "|".join(
+    "(?:%s)[0-9]{2}(?: ?[A-Z0-9]{4}){%d}%s" % (
+        c.replace(" ", "|"), n // 4 - 1, " ?[A-Z0-9]{%d}" % (n % 4) if n % 4 else "") for n, c in IBAN_LENGTHS.items())
+_IBAN_COUNTRY = "^(?:%s)" % "|".join(" ".join(IBAN_LENGTHS.values()).split())
+
+#: Four groups of four that end a chain of digit groups; a phone number stops before them.
+_FOUR_FOURS = r"[0-9]{4}(?:[ -][0-9]{4}){3}(?![ -]?[0-9])"
+
 #: Patterns by kind, most specific first. The order is that of the alternatives.
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])(?:" + _SIZED_IBAN + "|" + _GENERIC_IBAN + r")(?![A-Za-z0-9])",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
     "date": (r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
              r"|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-              r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"),
+    "card": "",
+    "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}"
+              r"(?:(?:[ .-](?!" + _FOUR_FOURS + r"))?[0-9]{2,4}){1,4}"
+              r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?!-[0-9]))(?![0-9])"),
 }
+# A chain of digit groups ends before a group that begins something else. Possessive: no stack for long chains.
+_ELSE = "|".join(PATTERNS[k] for k in ("email", "ipv4", "date", "ssn", "phone"))
+PATTERNS["card"] = r"(?<![0-9])(?!%s)[0-9](?:(?:[ -](?!%s))?[0-9]){12,}+" % (PATTERNS["phone"], _ELSE)
 _ANY = "|".join(PATTERNS.values())
+#: Beginnings and lengths of payment cards.
+_ISSUED = (r"^(?:4(?:[0-9]{12}|[0-9]{15}|[0-9]{18})|(?:5[1-5]|2[2-7])[0-9]{14}|3[47][0-9]{13}|3[0689][0-9]{12}|35[0-9]{14}"
+           r"|(?:5[06-8]|6[0-9])[0-9]{11,17})$")
+_LIKELY_LENGTHS = (16, 15, 14, 19, 13, 18, 17)
+_PIECE = "array<struct<text:string,kind:string>>"
 _DAYS, _FIRST_DAY = (17, 4297), "1900-01-01"
 
 
@@ -150,8 +179,7 @@ def kind_of(value: Column) -> Column:
     whole = {k: value.rlike(f"^(?:{p})\\z") for k, p in PATTERNS.items()}
     return (
         F.when(whole["email"], "email")
-        .when(whole["iban"] & F.length(flat).between(15, 34)
-              & (_remainder_97(F.concat(F.substring(flat, F.lit(5), F.lit(40)), F.substring(flat, 1, 4))) == 1), "iban")
+        .when(whole["iban"], F.when(_valid_iban(value), "iban"))
         .when(whole["ipv4"], F.when(F.forall(octets, lambda x: x <= 255), "ipv4"))
         .when(whole["date"], F.when(_day(value).isNotNull(), "date"))
         .when(whole["ssn"], F.when(_allowed_ssn(digits), "ssn"))
@@ -159,6 +187,81 @@ def kind_of(value: Column) -> Column:
         .when(whole["phone"] & n.between(8, 15), "phone"))
 
 
+def _valid_iban(value: Column) -> Column:
+    flat = F.replace(value, F.lit(" "), F.lit(""))
+    return (F.length(flat).between(15, 34) & (value.rlike(f"^(?:{_SIZED_IBAN})\\z") | ~value.rlike(_IBAN_COUNTRY))
+            & (_remainder_97(F.concat(F.substring(flat, F.lit(5), F.lit(40)), F.substring(flat, 1, 4))) == 1))
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value found once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _stretch(value: Column, start: Column, end: Column, whole: Column) -> Column:
+    """``rank, start, end, kind`` of a stretch (places from 1, end excluded) that is a card or an IBAN, or null."""
+    def judged(text):
+        def card(digits):
+            n = F.length(digits)
+            grouped = text.rlike(r"^[0-9]{3,}(?:[ -][0-9]{3,})*(?:[ -][0-9]+)?$")
+            form = F.when(digits.rlike(_ISSUED), F.when(grouped, 1).otherwise(2)).when(grouped, 3).when(whole, 4)
+            place = F.array_position(F.array(*(F.lit(k) for k in _LIKELY_LENGTHS)), n)
+            return F.when(n.between(13, 19), F.when(form.isNotNull(), F.when(_luhn(digits) % 10 == 0, F.struct(
+                (form * 10 + place).cast("int").alias("rank"), start.alias("start"), end.alias("end"),
+                F.lit("card").alias("kind")))))
+
+        return F.when(text.rlike(r"^[0-9][0-9 -]+$"), _let(_digits(text), card)).when(
+            text.rlike(f"^(?:{_SIZED_IBAN}|{_GENERIC_IBAN})\\z"), F.when(_valid_iban(text), F.struct(
+                F.lit(0).alias("rank"), start.alias("start"), end.alias("end"), F.lit("iban").alias("kind"))))
+
+    # 34 characters and their blanks are the longest; longer stretches are not cut out
+    return F.when((end - start).between(13, 46), _let(F.substring(value, start, end - start), judged))
+
+
+def _stretches(value: Column) -> Column:
+    """All valid cards and IBANs on group borders of a chain, as :func:`_stretch` gives them."""
+    def of(groups):
+        starts = F.aggregate(groups, F.array(F.lit(1)), lambda a, g: F.concat(
+            a, F.array(F.element_at(a, -1) + F.length(g) + 1)))
+        size = F.size(groups)
+        return _let(starts, lambda at: F.flatten(F.transform(
+            F.sequence(F.lit(0), size - 1), lambda i: F.array_compact(F.transform(
+                F.sequence(i, F.least(i + 18, size - 1)), lambda j: _stretch(
+                    value, F.get(at, i), F.get(at, j + 1) - 1, (i == 0) & (j == size - 1)))))))
+    return _let(F.split(value, "[ -]"), of)
+
+
+def _cut(value: Column) -> Column:
+    """A chain as pieces ``text, kind``: the likeliest valid stretches that do not overlap, and what is between them."""
+    def pieces(chosen):
+        done = F.aggregate(
+            chosen, F.struct(F.lit(1).alias("at"), F.array().cast(_PIECE).alias("pieces")),
+            lambda a, s: F.struct(s["end"].alias("at"), F.concat(a["pieces"], F.array(
+                F.struct(F.substring(value, a["at"], s["start"] - a["at"]).alias("text"),
+                         F.lit(None).cast("string").alias("kind")),
+                F.struct(F.substring(value, s["start"], s["end"] - s["start"]).alias("text"),
+                         s["kind"].alias("kind")))).alias("pieces")),
+            lambda a: F.concat(a["pieces"], F.array(F.struct(
+                F.substring(value, a["at"], F.length(value)).alias("text"), F.lit(None).cast("string").alias("kind")))))
+        return done
+
+    def choose(valid):
+        return F.aggregate(F.array_sort(valid), F.slice(valid, 1, 0), lambda a, s: F.when(
+            F.exists(a, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])), a).otherwise(
+            F.concat(a, F.array(s))))
+
+    by_place = lambda s, t: F.when(s["start"] < t["start"], -1).otherwise(1)
+    return _let(_stretches(value), lambda valid: _let(F.array_sort(choose(valid), by_place), pieces))
+
+
+def pieces_of(value: Column) -> Column:
+    """A candidate as pieces ``text, kind``; kind is null where a piece stays as it is."""
+    def of(kind):
+        chain = F.coalesce(kind == "card", F.lit(True)) & value.rlike(r"^[A-Z0-9][A-Z0-9 -]{12,}$") & value.rlike("[ -]")
+        return F.when(chain, _cut(value)).otherwise(F.array(F.struct(value.alias("text"), kind.alias("kind"))))
+    return _let(kind_of(value), of)
+
+
 def _allowed_ssn(digits: Column) -> Column:
     return ~(digits.rlike(r"^(?:000|666|9)") | (F.substring(digits, 4, 2) == "00") | (F.substring(digits, 6, 4) == "0000"))
 
@@ -234,11 +337,12 @@ def pseudonymised(docs: DataFrame, key: str, id_column: str = "doc_id", text_col
     text = F.col(text_column)
     cut = docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"),
                       F.when(text.rlike(r"[0-9@]"), F.regexp_extract_all(text, F.lit(_ANY), 0)).alias("found"))
-    known = cut.withColumn("kinds", F.transform("found", kind_of))
+    known = cut.withColumn("pieces", F.transform("found", pieces_of)).withColumn(
+        "kinds", F.transform(F.flatten("pieces"), lambda p: p["kind"]))
     parts = known.withColumn("between", F.when(
         F.exists("kinds", lambda k: k.isNotNull()), F.split("text", _ANY, -1)))
-    fresh = parts.withColumn("fresh", F.when(F.col("between").isNotNull(), F.zip_with(
-        "found", "kinds", lambda v, k: pseudonym(v, k, key))))
+    fresh = parts.withColumn("fresh", F.when(F.col("between").isNotNull(), F.transform(
+        "pieces", lambda found: F.array_join(F.transform(found, lambda p: pseudonym(p["text"], p["kind"], key)), ""))))
     rewritten = F.array_join(F.zip_with("between", F.concat("fresh", F.array(F.lit(""))),
                                         lambda b, f: F.concat(b, F.coalesce(f, F.lit("")))), "")
     kinds = F.coalesce(F.array_compact("kinds"), F.array().cast("array<string>"))

@@ -187,6 +187,34 @@ def test_pseudonyms_empty(spark):
     assert pii.pseudonymised(d, "key").count() == 0
 
 
+CARD, GROUPED, IBAN = "4539148803436467", "4539 1488 0343 6467", "ES91 2100 0418 4502 0005 1332"
+#: A text, and what has to stay around the pseudonyms of values in it.
+BESIDE = [
+    (CARD, "{card}"), (f"{CARD} 12/27", "{card} 12/27"), (f"order 77 {CARD}", "order 77 {card}"),
+    (f"{GROUPED} 123", "{grouped} 123"), (f"77 {GROUPED} 12 345", "77 {grouped} 12 345"),
+    (f"{GROUPED} {GROUPED}", "{grouped} {grouped}"), (f"{CARD} 2024-01-15", "{card} {date}"),
+    ("2024-01-15", "{date}"), (f"415-555-2671 {CARD}", "{phone} {card}"), ("415-555-2671", "{phone}"),
+    (f"{CARD} 415-555-2671", "{card} {phone}"), (f"{CARD} 415.555.2671", "{card} {dotted}"),
+    ("415.555.2671", "{dotted}"), (IBAN, "{iban}"), (f"{IBAN} 2024", "{iban} 2024"), (f"{IBAN} {GROUPED}", "{iban} {grouped}"),
+    (GROUPED, "{grouped}"), (f"12 {IBAN} 7", "12 {iban} 7"), (f"FY24 {GROUPED}", "FY24 {grouped}"),
+    (f"{IBAN} AB12", "{iban} AB12"), ("+1 415 555 2671", "{world}"), (f"+1 415 555 2671 {GROUPED}", "{world} {grouped}"),
+    ("45 39 14 88 03 43 64 67 12/27", "{pairs} 12/27"), ("45 39 14 88 03 43 64 67", "{pairs}"),
+    (" ".join(map(str, range(70, 100))), " ".join(map(str, range(70, 100)))),
+    ("9 " * 4000 + CARD, "9 " * 4000 + "{card}"),
+]
+
+
+def test_values_beside_other_numbers(spark):
+    d = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(BESIDE)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pseudonymised(d.coalesce(2), "key").collect()}
+    new = {want[1:-1]: got[k].text for k, (_, want) in enumerate(BESIDE) if re.fullmatch("{[a-z]+}", want)}
+    assert all(new[name] != t for t, want in BESIDE for name in new if want == f"{{{name}}}")
+    assert new["grouped"].replace(" ", "") == new["pairs"].replace(" ", "") == new["card"] and luhn(new["card"])
+    for k, (text, want) in enumerate(BESIDE):
+        assert got[k].text == want.format(**new), text[:80]
+        assert got[k].n_replaced == want.count("{"), text[:80]
+
+
 def secret_rows():
     rng = np.random.default_rng(3)
     hexes = ["".join("0123456789abcdef"[k] for k in rng.integers(0, 16, 40)) for _ in range(60)]
