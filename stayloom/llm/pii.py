@@ -7,7 +7,8 @@ document, different values have different ones, and the pseudonym is valid again
 
 * card: all digits but the last are permuted, the last makes the Luhn sum right;
 * IBAN: the digits of the account part are permuted, country and letters stay, the check digits are made anew;
-* phone: the last ten digits are permuted (all but the first where there are fewer); a country code before them stays;
+* phone: the last ten digits are permuted, so the national and the international notation of a number share their
+  pseudonym; a country code before them stays. Of fewer digits, and of ten with a country code, all but the first;
 * social security number: the nine digits are permuted and permuted again until no block is forbidden;
 * IPv4: the 32 bits are permuted;
 * date (1900-01-01 to 2099-12-31): the day number is permuted within the two centuries.
@@ -275,7 +276,8 @@ def _card(value: Column, key: str) -> Column:
 
 def _phone(value: Column, key: str) -> Column:
     digits = _digits(value)
-    moved = F.least(F.length(digits) - 1, F.lit(10))
+    national = (F.length(digits) == 10) & ~value.startswith("+")
+    moved = F.when(national, 10).otherwise(F.least(F.length(digits) - 1, F.lit(10)))
     kept = F.substring(digits, F.lit(1), F.length(digits) - moved)
     return _refill(value, F.concat(kept, permuted_digits(
         F.substring(digits, F.length(digits) - moved + 1, moved), key, "phone")))

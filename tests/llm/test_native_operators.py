@@ -215,6 +215,15 @@ def test_values_beside_other_numbers(spark):
         assert got[k].n_replaced == want.count("{"), text[:80]
 
 
+def test_phone_in_both_notations(spark):
+    texts = ["415-555-2671", "+1 415 555 2671", "(415) 555-2671", "+1 (415) 555-2671", "415.555.2671", "+45 12 34 56 78"]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [r.text for r in sorted(pii.pseudonymised(d, "key").collect())]
+    digits = [re.sub(r"\D", "", t) for t in got]
+    assert len({x[-10:] for x in digits[:5]}) == 1 and digits[0] != "4155552671" and digits[1][0] == digits[3][0] == "1"
+    assert got[5].startswith("+4") and len(digits[5]) == 10
+
+
 def secret_rows():
     rng = np.random.default_rng(3)
     hexes = ["".join("0123456789abcdef"[k] for k in rng.integers(0, 16, 40)) for _ in range(60)]
