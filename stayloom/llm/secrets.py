@@ -76,18 +76,30 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         text.rlike(CANDIDATE))
     cut = cut.withColumn("found", F.regexp_extract_all("text", F.lit(CANDIDATE), 0)).withColumn(
         "between", F.split("text", CANDIDATE, -1))
-    at = F.aggregate(  # where each candidate starts
+    # where each candidate starts, and the text before it whatever candidates lie in it
+    ahead = F.aggregate(
         F.sequence(F.lit(0), F.size("found") - 1),
-        F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"),
+                 F.array().cast("array<struct<start:int,before:string>>").alias("seen")),
         lambda a, i: F.struct(
             (a["at"] + F.length(F.get("between", i)) + F.length(F.get("found", i))).alias("at"),
-            F.concat(a["starts"], F.array(a["at"] + F.length(F.get("between", i)))).alias("starts")),
-        lambda a: a["starts"])
-    cut = cut.withColumn("starts", at)
+            F.right(F.concat(a["tail"], F.get("between", i), F.get("found", i)), F.lit(CONTEXT)).alias("tail"),
+            F.concat(a["seen"], F.array(F.struct(
+                (a["at"] + F.length(F.get("between", i))).alias("start"),
+                F.right(F.concat(a["tail"], F.get("between", i)), F.lit(CONTEXT)).alias("before")))).alias("seen")),
+        lambda a: a["seen"])
+    # the text behind each candidate, collected from the last one to the first
+    behind = F.aggregate(
+        F.sequence(F.size("found"), F.lit(1), F.lit(-1)),
+        F.struct(F.lit("").alias("head"), F.array().cast("array<string>").alias("seen")),
+        lambda a, i: F.struct(
+            F.left(F.concat(F.get("found", i - 1), F.get("between", i), a["head"]), F.lit(CONTEXT)).alias("head"),
+            F.concat(a["seen"], F.array(F.left(F.concat(F.get("between", i), a["head"]), F.lit(CONTEXT)))).alias("seen")),
+        lambda a: F.reverse(a["seen"]))
+    cut = cut.withColumn("ahead", ahead).withColumn("behind", behind)
     rows = cut.withColumn("c", F.transform("found", lambda v, i: F.struct(
-        F.get("starts", i).cast("long").alias("start"), v.alias("value"),
-        F.right(F.get("between", i), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get("between", i + 1), F.lit(CONTEXT)).alias("after"))))
+        F.get("ahead", i)["start"].cast("long").alias("start"), v.alias("value"),
+        F.get("ahead", i)["before"].alias("before"), F.get("behind", i).alias("after"))))
     return rows.select("doc_id", "path", F.inline_outer("c"))
 
 

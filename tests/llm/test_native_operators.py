@@ -256,3 +256,21 @@ def test_secrets_without_labels(spark):
     found = secrets.candidates(d)
     scanner = secrets.fit(d, secrets.weak_labels(found).limit(0))
     assert [r.score for r in secrets.secrets(found, scanner).collect()] == [0.5]
+
+
+def test_context_reaches_over_other_candidates(spark):
+    value = "9f8e7d6c5b4a39281706f5e4d3c2b1a0"
+    texts = [f"export AWS_SECRET_ACCESS_KEY={value} # é", f'{{"client_secret_key": "{value}"}}',
+             f"{value} {value} internationalisation {value}-"]
+    d = spark.createDataFrame([(k, t, "a.py") for k, t in enumerate(texts)], "doc_id long, text string, source string")
+    found = secrets.candidates(d)
+    rows = found.collect()
+    for r in rows:
+        text, end = texts[r.doc_id], r.start + len(r.value)
+        assert text[r.start:end] == r.value and r.before == text[max(r.start - secrets.CONTEXT, 0):r.start]
+        assert r.after == text[end:end + secrets.CONTEXT]
+    described = secrets._described(found, [0.0] * secrets._WIDE ** 2, [False] * 26 ** 3)
+    got = [(r.secret_name, r.assigned) for r in described.filter("doc_id < 2").collect() if r.value == value]
+    assert got == [(1.0, 1.0)] * 2
+    positive = {r.doc_id for r in secrets.weak_labels(found).filter("label = 1").collect() if r.value == value}
+    assert {0, 1} <= positive
