@@ -1,7 +1,8 @@
 """Secret scan with a random forest that removes false positives, in DataFrame functions and Spark ML alone.
 
-Candidates are runs of LEAST_LENGTH or more characters of the alphabet keys are written in. They include long words,
-numbers and identifiers, so each one is described by
+Candidates are runs of LEAST_LENGTH or more characters of the alphabet keys are written in, and runs of LEAST_ASSIGNED
+or more visible characters that are assigned to the name of a secret or stand as the password of a URL. They include
+long words, numbers and identifiers, so each one is described by
 
 * length and shares of digits, capitals and signs,
 * character transitions: how often the class of neighbouring characters changes, and the mean log-odds of its pairs of
@@ -37,16 +38,26 @@ from pyspark.sql import functions as F
 
 from ..session import staged
 
-LEAST_LENGTH, CONTEXT, MIN_COUNT = 16, 48, 5
+LEAST_LENGTH, LEAST_ASSIGNED, CONTEXT, MIN_COUNT = 16, 6, 48, 5
 SAMPLE_LABELLED, TREES, DEPTH, SEED = 4000, 40, 7, 17
 
-CANDIDATE = r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % LEAST_LENGTH
 #: Fixed formats of well-known keys.
 FORMATS = (r"^(?:(?:AKIA|ASIA)[A-Z2-7]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_\-]{35}"
            r"|[sr]k_live_[A-Za-z0-9]{16,}|glpat-[A-Za-z0-9_\-]{20})$")
 #: Fixed word lists, matched in the text next to a candidate.
 SECRET_NAMES = r"(?i)(?:token|secret|passw(?:or)?d|passphrase|api[_-]?key|access[_-]?key|private[_-]?key|auth|credential|bearer)"
 OTHER_NAMES = r"(?i)(?:sha-?[0-9]*|md5|digest|checksum|commit|hash|etag|uuid|guid|revision)"
+#: What a secret is assigned with, up to the value. A cheap look at the sign comes before the one at the name.
+_SIGN = r"[\"']?\s{0,4}[=:]{1,2}>?\s{0,4}"
+_ASSIGNED = r"(?<=[=:>\s\"'`])(?<=[=:]>?\s{0,4}[\"'`]?)(?<=" + SECRET_NAMES + r"[A-Za-z0-9_\-]{0,16}" + _SIGN + "%s)"
+#: An unquoted value ends where the next name of a list of settings begins; a URL is looked into, not taken whole.
+_NO_URL = r"(?![A-Za-z][A-Za-z0-9+.\-]{0,20}://)"
+_BARE = (r"(?:(?![;&,][A-Za-z][A-Za-z0-9_ .\-]{0,40}[=:])[^\s\"'`]){%d,}[^\s\"'`.,;)\]}>]" % (LEAST_ASSIGNED - 1))
+CANDIDATE = "|".join([
+    r"(?<=:)(?<=://[^\s:@/]{0,64}:)[^\s\"'`/]{%d,}(?=@)" % LEAST_ASSIGNED,
+    *(_ASSIGNED % q + _NO_URL + r"[^\s%s]{%d,}(?=%s)" % (q, LEAST_ASSIGNED, q) for q in "\"'`"),
+    _ASSIGNED % "" + _NO_URL + _BARE,
+    r"[A-Za-z0-9+/_\-]{%d,}={0,2}" % LEAST_LENGTH])
 EXAMPLES = r"(?i)(?:test|example|sample|fixture|mock|demo|docs?/)"
 
 #: Characters of a candidate, one place each; the first place is for any other character.

@@ -274,3 +274,40 @@ def test_context_reaches_over_other_candidates(spark):
     assert got == [(1.0, 1.0)] * 2
     positive = {r.doc_id for r in secrets.weak_labels(found).filter("label = 1").collect() if r.value == value}
     assert {0, 1} <= positive
+
+
+ASSIGNED = [
+    ("password = hunter2!x", "hunter2!x"), ("api_key: abc123def456,", "abc123def456"),
+    ('{"db_password": "p@$$w0rd%, 1"}', None), ('{"db_password": "p@$$w0rd%,1"}', "p@$$w0rd%,1"),
+    ("postgres://user:p@ss#w0rd@db.example.com/x", "p@ss#w0rd"), ("redis://:hunter2@cache:6379", "hunter2"),
+    ("Server=x;Password=hun;ter2!x;Database=prod", "hun;ter2!x"), ("passphrase => 'tr0ub4dor&3'", "tr0ub4dor&3"),
+    ("DATABASE_MASTER_PASSWORD=ab!12#z", "ab!12#z"), ("AUTH_TOKEN: `x y`", None), ("the word hunter2!x alone", None),
+    ("https://example.com:8080/a@b", None), ("auth: https://u:hunter2!@h/", "hunter2!"), ("passwd=é!x#12 now", "é!x#12"),
+    ("password = short", None),
+]
+
+
+def test_assigned_values_of_any_characters(spark):
+    d = spark.createDataFrame([(k, t, "a.py") for k, (t, _) in enumerate(ASSIGNED)], "doc_id long, text string, source string")
+    got = {}
+    for r in secrets.candidates(d).collect():
+        assert ASSIGNED[r.doc_id][0][r.start:r.start + len(r.value)] == r.value
+        got.setdefault(r.doc_id, []).append(r.value)
+    for k, (text, value) in enumerate(ASSIGNED):
+        if value:
+            assert value in got[k], (text, got.get(k))
+        else:
+            assert not any(len(v) < secrets.LEAST_LENGTH for v in got.get(k, [])), (text, got[k])
+
+
+def test_short_secrets_are_kept(spark):
+    rows, hexes, keys = secret_rows()
+    rng = np.random.default_rng(5)
+    short = ["".join("abcdefghkmnp23456789!@#$%"[k] for k in rng.integers(0, 25, 11)) + "a7!" for _ in range(60)]
+    rows = rows + [(400 + k, f"here the password = {v} and more") for k, v in enumerate(short)]
+    rows += [(500 + k, f"reset password: {w} and go on") for k, w in enumerate(["please", "changed", "required"] * 20)]
+    d = spark.createDataFrame([(i, t, "src/main.py") for i, t in rows], "doc_id long, text string, source string")
+    found = secrets.candidates(d)
+    kept = secrets.secrets(found, secrets.fit(d, secrets.weak_labels(found))).collect()
+    got = {r.doc_id for r in kept if r.doc_id is not None}
+    assert len(got & set(range(400, 460))) >= 55 and not got & set(range(500, 560))
