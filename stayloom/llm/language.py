@@ -6,7 +6,9 @@ share of bytes labelled with each language is returned as well.
 
 Training is backpropagation through time on the driver, over a bounded sample: at most SAMPLE_DOCS labelled documents
 per language, chosen by the hash of their id, of each SAMPLE_CHARS code points from a place that the same hash chooses.
-Every byte of a sample carries the language of its document. The result is the same for the same rows.
+Every byte of a sample carries the language of its document. The result is the same for the same rows. The languages
+take turns in the BATCH places of a step; steps and states grow with their number, by PER_STEP languages, and the texts
+read at once shrink with it. The sample, and with it the driver's memory, grows with the number of languages.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter, and everywhere if no document with a
 label can be learned from. Rows that repeat an id are labelled one by one. An empty table gives an empty result. Other
@@ -29,6 +31,8 @@ from .common import text_batches, utf8
 SAMPLE_DOCS, SAMPLE_CHARS = 150, 1500
 HIDDEN, SEGMENT, LANES = 8, 256, 2048
 STEPS, BATCH, LENGTH, RATE = 240, 96, 80, 0.02
+#: Languages for which STEPS and HIDDEN are meant; more of them get multiples.
+PER_STEP = 24
 
 LABELS = "doc_id long, lang_pred string, score double, shares array<float>"
 UNKNOWN = "und"
@@ -38,31 +42,42 @@ class Network(NamedTuple):
     """Weights of one direction hold the update gate, the reset gate and the candidate, in this order."""
 
     languages: list[str]
-    inputs: list[np.ndarray]  # for each direction: (3 HIDDEN, 256), what each byte adds, bias included
-    states: list[np.ndarray]  # (3 HIDDEN, HIDDEN)
-    out: list[np.ndarray]  # (languages, HIDDEN)
+    inputs: list[np.ndarray]  # for each direction: (3 hidden, 256), what each byte adds, bias included
+    states: list[np.ndarray]  # (3 hidden, hidden)
+    out: list[np.ndarray]  # (languages, hidden)
     bias: np.ndarray
 
 
+def _times(languages: int) -> int:
+    return -(-languages // PER_STEP)
+
+
+def _turns(step: int, languages: int) -> np.ndarray:
+    """The language of each of the BATCH places of a step, from step 1."""
+    return (np.arange(BATCH) + (step - 1) * BATCH) % languages
+
+
 def _start(languages: list[str], rng: np.random.Generator) -> Network:
     def some(scale, *shape):
         return (rng.standard_normal(shape) * scale).astype(np.float32)
 
     n = len(languages)
-    return Network(languages, [some(0.3, 3 * HIDDEN, 256) for _ in "fb"],
-                   [some(0.4, 3 * HIDDEN, HIDDEN) for _ in "fb"], [some(0.3, n, HIDDEN) for _ in "fb"],
+    hidden = HIDDEN * _times(n)
+    return Network(languages, [some(0.3, 3 * hidden, 256) for _ in "fb"],
+                   [some(0.4, 3 * hidden, hidden) for _ in "fb"], [some(0.3, n, hidden) for _ in "fb"],
                    np.zeros((n, 1), np.float32))
 
 
 def _forward(codes: np.ndarray, inputs: np.ndarray, states: np.ndarray) -> list[tuple]:
     """Gates and states of each step, for training. ``codes``: (steps, lanes) in reading order."""
-    h, steps = np.zeros((HIDDEN, codes.shape[1]), np.float32), []
+    hidden = states.shape[1]
+    h, steps = np.zeros((hidden, codes.shape[1]), np.float32), []
     for x in codes:
         added, kept = inputs[:, x], states @ h
-        gates = 1 / (1 + np.exp(-(added[:2 * HIDDEN] + kept[:2 * HIDDEN])))
-        update, reset = gates[:HIDDEN], gates[HIDDEN:]
-        candidate = np.tanh(added[2 * HIDDEN:] + reset * kept[2 * HIDDEN:])
-        steps.append((h, update, reset, candidate, kept[2 * HIDDEN:]))
+        gates = 1 / (1 + np.exp(-(added[:2 * hidden] + kept[:2 * hidden])))
+        update, reset = gates[:hidden], gates[hidden:]
+        candidate = np.tanh(added[2 * hidden:] + reset * kept[2 * hidden:])
+        steps.append((h, update, reset, candidate, kept[2 * hidden:]))
         h = h + update * (candidate - h)
     steps.append((h,))
     return steps
@@ -70,7 +85,7 @@ def _forward(codes: np.ndarray, inputs: np.ndarray, states: np.ndarray) -> list[
 
 def _backward(codes: np.ndarray, steps: list[tuple], states: np.ndarray, errors: np.ndarray) -> tuple:
     """Gradients of the input table and the state weights from the errors at the states after each step."""
-    d_inputs = np.zeros((256, 3 * HIDDEN), np.float32)
+    d_inputs = np.zeros((256, len(states)), np.float32)
     d_states = np.zeros_like(states)
     d_h = np.zeros_like(steps[0][0])
     for t in range(len(codes) - 1, -1, -1):
@@ -92,11 +107,15 @@ def _probabilities(logits: np.ndarray, axis: int) -> np.ndarray:
     return logits / logits.sum(axis=axis, keepdims=True)
 
 
-def train(texts: list[bytes], labels: list[str], steps: int = STEPS, seed: int = 7) -> Network | None:
-    """Fit by Adam. Each step reads LENGTH bytes from BATCH places, with the languages in equal parts."""
+def train(texts: list[bytes], labels: list[str], steps: int | None = None, seed: int = 7) -> Network | None:
+    """Fit by Adam. Each step reads LENGTH bytes from BATCH places, with the languages in equal parts.
+
+    ``steps`` is STEPS by default, a multiple of it beyond PER_STEP languages.
+    """
     languages = sorted(set(labels))
     if not languages:
         return None
+    steps = STEPS * _times(len(languages)) if steps is None else steps
     rng = np.random.default_rng(seed)
     pools = [[np.frombuffer(t, np.uint8) for t, lang in zip(texts, labels) if lang == name and t]
              for name in languages]
@@ -105,7 +124,7 @@ def train(texts: list[bytes], labels: list[str], steps: int = STEPS, seed: int =
     weights = [*net.inputs, *net.states, *net.out, net.bias]
     mean, spread = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
-        truth = np.arange(BATCH) % len(languages)
+        truth = _turns(step, len(languages))
         codes = np.zeros((LENGTH, BATCH), np.int64)
         for lane, lang in enumerate(truth):
             text = pools[lang][rng.integers(len(pools[lang]))]
@@ -139,26 +158,27 @@ def _read(codes: np.ndarray, active: list[int], inputs: np.ndarray, states: np.n
 
     Lanes come with the longest first; step t has ``active[t]`` of them. sigmoid(x) is (tanh(x / 2) + 1) / 2.
     """
-    halves = np.ones((3 * HIDDEN, 1), np.float32)
-    halves[:2 * HIDDEN] = 0.5
+    hidden = states.shape[1]
+    halves = np.ones((3 * hidden, 1), np.float32)
+    halves[:2 * hidden] = 0.5
     inputs, states = np.ascontiguousarray(inputs * halves), np.ascontiguousarray(states * halves)
-    h = np.zeros((HIDDEN, codes.shape[1]), np.float32)
+    h = np.zeros((hidden, codes.shape[1]), np.float32)
     steps = range(len(active) - 1, -1, -1) if backwards else range(len(active))
     for t in steps:
         n = active[t]
         mine = h[:, :n] if n < codes.shape[1] else h
         added, kept = np.take(inputs, codes[t, :n], axis=1), states @ mine
-        gates = added[:2 * HIDDEN]
-        gates += kept[:2 * HIDDEN]
+        gates = added[:2 * hidden]
+        gates += kept[:2 * hidden]
         np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        candidate, rest = added[2 * HIDDEN:], kept[2 * HIDDEN:]
-        rest *= gates[HIDDEN:]
+        candidate, rest = added[2 * hidden:], kept[2 * hidden:]
+        rest *= gates[hidden:]
         candidate += rest
         np.tanh(candidate, out=candidate)
         candidate -= mine
-        candidate *= gates[:HIDDEN]
+        candidate *= gates[:hidden]
         mine += candidate
         logits[t, :, :n] += out @ mine
 
@@ -174,8 +194,9 @@ def label(net: Network, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     starts = offsets[:-1][doc] + number * SEGMENT
     lengths = np.minimum(SEGMENT, sizes[doc] - number * SEGMENT)
     order = np.argsort(-lengths, kind="stable")
-    for at in range(0, len(order), LANES):
-        lanes = order[at:at + LANES]
+    room = max(LANES * 4 // max(c, 4), 16)  # the logits of a segment hold every language
+    for at in range(0, len(order), room):
+        lanes = order[at:at + room]
         length, longest = lengths[lanes], int(lengths[lanes[0]])
         places = starts[lanes][None, :] + np.minimum(np.arange(longest)[:, None], length[None, :] - 1)
         codes = data[places].astype(np.intp)

@@ -202,6 +202,23 @@ def test_language_reading_equals_training_pass(net):
         assert np.allclose(row, language._probabilities(logits, 1).mean(axis=(0, 2)), atol=1e-4)
 
 
+@pytest.mark.parametrize("n", [4, 97, 130])
+def test_language_turns(n):
+    seen = np.bincount(np.concatenate([language._turns(k, n) for k in range(1, n + 1)]), minlength=n)
+    assert seen.tolist() == [language.BATCH] * n
+
+
+def test_every_language_of_many_is_trained(monkeypatch):
+    """Texts of one byte each, so that short pieces are enough."""
+    monkeypatch.setattr(language, "LENGTH", 4)
+    names = [f"l{k:03d}" for k in range(120)]
+    texts = [bytes([65 + k]) * 12 for k in range(120)]
+    net = language.train(texts, names)
+    pooled, shares = language.label(net, np.frombuffer(b"".join(texts), np.uint8), np.arange(121) * 12)
+    right = [net.languages[b] == name for b, name in zip(pooled.argmax(axis=1), names)]
+    assert np.mean(right) > 0.95 and np.mean(right[96:]) > 0.95 and np.allclose(pooled.sum(axis=1), 1)
+
+
 def test_language_edges(spark, net):
     rows = [(1, None), (2, ""), (3, "12 345 !?"), (4, "die und das "), (4, "die und das "), (None, "the"), (5, "wort " * 40000)]
     d = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, score double").coalesce(1)
