@@ -9,8 +9,10 @@ and every task finds the cuts of its own documents alone. A queue that has run d
 Steps: tokenize once and write the ids; add up tokens by task and queue, which gives every document its place in its
 queue; cut each document where the windows of its queue end. Nothing but sums of (task, queue) is exchanged.
 
-Queues are the values of the source column. Beyond MAX_QUEUES values they are grouped by crc32, and each group is a
-queue; no row is left out. The default weights are the token counts, so that all queues last to the end.
+Queues are the values of the source column. Beyond MAX_QUEUES values, sources with a given weight and the largest ones
+(by bytes of text) keep a queue of their own; only the tail is grouped, by crc32, into the quarter of the queues that is
+left for it, or fewer where given weights need them. A group has the weight of its sources together. No row is left out.
+The default weights are the token counts, so that all queues last to the end.
 
 Defined results: a null text is the closing id alone, a null source is a queue of its own, rows that repeat a
 ``doc_id`` are packed one by one, an empty table gives no pieces. Other columns of the input are ignored. Only the last
@@ -27,7 +29,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import staged
@@ -268,6 +270,25 @@ def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> C
     return run
 
 
+#: Stands for the name of a queue of several sources.
+_GROUP = object()
+
+
+def _own_queues(docs: DataFrame, source: Column, text: Column, weights: dict[str | None, float],
+                max_queues: int) -> tuple[list[str | None], int]:
+    """Sources that keep a queue of their own where there are too many, and the number of groups for the others."""
+    sized = docs.select(source.alias("source"), (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias(
+        "n")).groupBy("source").agg(F.sum("n").alias("n"))
+    wanted = F.col("source").isin([n for n in weights if n is not None])
+    given = F.coalesce(wanted, F.lit(None in weights))  # a null source
+    names = [r.source for r in sized.filter(given).select("source").collect()]  # one for each weight at most
+    if len(names) >= max_queues:
+        raise ValueError(f"{len(names)} sources have weights, {max_queues} queues leave none for the others")
+    groups = min(max(max_queues // 4, 1), max_queues - len(names))
+    largest = sized.filter(~given).orderBy(F.desc("n"), "source").limit(max_queues - groups - len(names))
+    return names + [r.source for r in largest.collect()], groups  # max_queues at most
+
+
 def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int = CLOSING_ID,
          weights: dict[str | None, float] | None = None, max_queues: int = MAX_QUEUES, id_column: str = "doc_id",
          text_column: str = "text", source_column: str = "source",
@@ -275,24 +296,31 @@ def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int =
     """Pieces: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, queue``.
 
     ``weights`` gives target proportions by source; what it leaves out gets its token count times the scale of the
-    given ones. A source of weight 0 or less is not allowed, as every token has to be placed.
+    given ones. A source of weight 0 or less is not allowed, as every token has to be placed; nor are more sources with
+    weights than queues, with one for the rest.
     """
     from tokenizers import Tokenizer
 
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights must be above 0")
     spark = docs.sparkSession
     text_batches(spark)
     kind = "<u2" if Tokenizer.from_file(vocabulary).get_vocab_size() <= 1 << 16 else "<u4"
     source = F.col(source_column).cast("string")
     names = [r[0] for r in docs.select(source).distinct().limit(max_queues + 1).collect()]  # max_queues + 1 at most
-    if len(names) <= max_queues:
-        names.sort(key=lambda n: (n is not None, n or ""))
-        listed = F.array(*(F.coalesce(F.lit(n).cast("string"), F.lit("")) for n in names if n is not None))
-        shift = int(None in names)
-        queue = F.when(source.isNull(), F.lit(0)).otherwise(
-            F.array_position(listed, source).cast("int") - 1 + shift) if names else F.lit(0)
+    groups = 0
+    if len(names) > max_queues:
+        names, groups = _own_queues(docs, source, F.col(text_column), weights or {}, max_queues)
+    names.sort(key=lambda n: (n is not None, n or ""))
+    listed = F.array(*(F.lit(n) for n in names if n is not None)).cast("array<string>")
+    shift = int(None in names)
+    place = F.array_position(listed, source).cast("int")  # 0: in the tail
+    if groups:
+        hashed = F.pmod(F.crc32(F.coalesce(source, F.lit("")).cast("binary")), F.lit(groups)).cast("int") + len(names)
+        queue = F.when(source.isNull(), F.lit(0) if shift else hashed).when(place > 0, place - 1 + shift).otherwise(hashed)
     else:
-        names = [None] * max_queues
-        queue = F.pmod(F.crc32(F.coalesce(source, F.lit("")).cast("binary")), F.lit(max_queues)).cast("int")
+        queue = F.when(source.isNull(), F.lit(0)).otherwise(place - 1 + shift) if names else F.lit(0)
+    names = names + [_GROUP] * groups
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), queue.cast("int").alias("queue"),
                        F.col(text_column).alias("text"))
     tokens = staged(rows.mapInArrow(_tokenize(vocabulary, closing_id, kind), TOKENS), "token-ids")
@@ -309,9 +337,7 @@ def pack(docs: DataFrame, vocabulary: str, width: int = WIDTH, closing_id: int =
     before = F.broadcast(before) if sums.count() <= broadcast_rows else before
     live = np.flatnonzero(totals)  # a group of sources may be empty
     shares = totals[live].astype(float) / totals.sum()
-    if weights and len(names) <= max_queues:
-        if min(weights.values()) <= 0:
-            raise ValueError("weights must be above 0")
+    if weights:
         given = [(k, names[q]) for k, q in enumerate(live) if names[q] in weights]
         scale = sum(weights[n] for _, n in given) / sum(shares[k] for k, _ in given) if given else 1.0
         shares = shares * scale

@@ -86,6 +86,39 @@ def test_packing_keeps_the_mixture(spark):
     assert all(abs(s[0] - 1024) <= 1 and abs(s[1] - 512) <= 1 and abs(s[2] - 512) <= 1 for s in full)
 
 
+@pytest.mark.parametrize("heavy", ["w", None])
+def test_packing_keeps_weights_beyond_max_queues(spark, heavy):
+    rows = [(k, "word " * 700, "big") for k in range(60)] + [(100 + k, "word " * 700, heavy) for k in range(30)]
+    rows += [(200 + k, "word " * 60, f"tail{k}") for k in range(300)]
+    of = {doc: source for doc, _, source in rows}
+    share, queues = defaultdict(lambda: defaultdict(int)), defaultdict(set)
+    for p in packed(spark, rows, max_queues=4, weights={heavy: 2.0, "big": 1.0}):
+        source = of[p.doc_id]
+        share[p.sequence_id][source if source in ("big", heavy) else "tail"] += p.length
+        queues[p.queue].add(source)
+    assert [q for q in queues.values() if q & {"big", heavy}] in ([{"big"}, {heavy}], [{heavy}, {"big"}])
+    assert len(queues) <= 4
+    tokens = {"big": 60 * 701, heavy: 30 * 701, "tail": 300 * 61}
+    weight = {"big": 1.0, heavy: 2.0, "tail": tokens["tail"] * 3.0 / (tokens["big"] + tokens[heavy])}
+    for number in range(5):  # before a queue runs dry
+        for name, w in weight.items():
+            assert abs(share[number][name] - 2048 * w / sum(weight.values())) <= 4, (number, name)
+
+
+def test_packing_gives_large_sources_a_queue_of_their_own(spark):
+    rows = [(k, "word " * 700, "abc"[k % 3]) for k in range(30)] + [(100 + k, "few", f"t{k}") for k in range(50)]
+    queues = defaultdict(set)
+    for p in packed(spark, rows, max_queues=4):
+        queues[p.queue].add(p.doc_id % 3 if p.doc_id < 100 else "tail")
+    assert sorted(map(str, queues.values())) == ["{'tail'}", "{0}", "{1}", "{2}"]
+
+
+def test_packing_refuses_weights_it_cannot_keep(spark):
+    d = spark.createDataFrame([(k, "x", f"s{k}") for k in range(5)], "doc_id long, text string, source string")
+    with pytest.raises(ValueError):
+        packing.pack(d, VOCABULARY, weights={"s0": 1.0, "s1": 1.0, "s2": 2.0}, max_queues=3)
+
+
 def test_schedule_is_the_sorted_order_of_keys():
     rng = np.random.default_rng(8)
     for _ in range(20):
