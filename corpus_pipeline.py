@@ -26,8 +26,11 @@ def _without(docs: DataFrame, judged: DataFrame, keep: Column) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that no language can be given to go: null, or without a letter. Labels are learned from two thirds."""
+    """Texts that no language can be given to go: null, or without a letter. Labels are learned from two thirds; where
+    none can be learned, texts with a letter stay all the same."""
     net = language.fit(docs.filter(crc32_of_id("doc_id") % 3 != 1))
+    if net is None:
+        return _without(docs, docs, language.has_letter(F.col("text")))
     return _without(docs, language.identify(docs, net), F.col("lang_pred") != language.UNKNOWN)
 
 

@@ -298,6 +298,13 @@ def test_risk_is_kept_non_negative():
     assert scores[0] > 0.5 > scores[1]
 
 
+def test_pipeline_keeps_text_where_no_language_can_be_learned(spark):
+    rows = [(1, "clean text"), (2, "12 !?"), (3, None), (None, "é"), (4, "more text")]
+    d = spark.createDataFrame([(*r, None) for r in rows], "doc_id long, text string, lang string")
+    kept = corpus_pipeline.identify_language(spark, d, "")
+    assert {r.doc_id for r in kept.collect()} == {1, None, 4}
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SMALL).collect()
     docs = [(r.doc_id, r.text) for r in table(spark, SMALL, "documents").collect() if any(map(str.isalpha, r.text or ""))]
