@@ -110,10 +110,48 @@ SELECT page_id, payload_bytes, sha1(html) AS payload_digest,
 FROM g
 """
 
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT DISTINCT conv_id, conv_id - conv_id % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+             lambda s, x: list_reduce([xor(s, x), 0, 0, 0, 0, 0, 0, 0, 0],
+                                   lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)),
+             4294967295) % 6 AS h
+  FROM t),
+r AS (
+  SELECT c.conv_id, 0 AS own, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.base AND t.k <= c.h
+  UNION ALL SELECT c.conv_id, 1, t.k, t.role, t.text FROM c JOIN t ON t.conv_id = c.conv_id AND t.k > c.h),
+s AS (
+  SELECT conv_id, row_number() OVER w AS depth, length(text) AS chars,
+         list(sha256(role || chr(10) || text)) OVER w AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY own, k)),
+m AS (SELECT conv_id, depth, chars, path FROM s UNION ALL SELECT conv_id, 0, 0, [] FROM c),
+e AS (SELECT conv_id, max(depth) AS d FROM m GROUP BY conv_id),
+n AS (
+  SELECT m.path, m.depth, min(m.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(chars) AS saved,
+         sha256(coalesce(string_agg(m.conv_id::VARCHAR, ',' ORDER BY m.conv_id) FILTER (e.d = m.depth), '')) AS ends_sha256
+  FROM m JOIN e USING (conv_id) GROUP BY m.path, m.depth),
+k AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM n LEFT JOIN n p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]),
+f AS (SELECT path[:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS (
+  SELECT a.path AS path, count(*) FILTER (g.path IS NULL) AS n_leaves, sum(b.saved)::BIGINT AS saved_tokens
+  FROM (SELECT path, depth, saved, unnest(range(0, depth + 1)) AS up FROM n) b
+  JOIN n a ON a.depth = b.up AND a.path = b.path[:b.up] LEFT JOIN f g ON g.path = b.path GROUP BY a.path)
+SELECT k.conv_id, k.depth, k.parent_conv_id, k.n_convs, coalesce(f.n_children, 0) AS n_children, v.n_leaves,
+       v.saved_tokens, k.ends_sha256
+FROM k JOIN v ON v.path = k.path LEFT JOIN f ON f.path = k.path
+"""
+
 ORACLES = {
     "op1_chat_format": OP1,
     "op5_minhash": OP5,
     "op6_decontaminate": OP6,
     "op8_warc": OP8,
+    "op12_prefix_trie": OP12,
     "op2_exact_dedup": OP2,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact, language, near, packing, pii, secrets, toxicity, warc
+from . import (chat, decontaminate, exact, golay, language, near, packing, pii, secrets, toxicity, trie, warc,
+               whitening)
 from .common import crc32_of_id, table
 
 
@@ -79,6 +80,18 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "shares")
 
 
+def op11_golay(spark: SparkSession, folder: str) -> DataFrame:
+    return golay.near_fingerprints(table(spark, folder, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_dedup": op2_exact_dedup,
@@ -90,4 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
+    "op11_golay": op11_golay,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_whitening": op13_whitening,
 }

@@ -16,6 +16,8 @@ COLUMNS = {
     "op7_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "queue"},
     "op9_pii": {"doc_id", "text", "n_replaced", "kinds"},
     "op10_language_id": {"doc_id", "held_out", "lang_pred", "score", "shares"},
+    "op11_golay": {"doc_id", "fingerprint", "component_id"},
+    "op13_whitening": {"vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"},
 }
 
 
@@ -28,7 +30,7 @@ def db():
 
 
 def test_one_query_for_each_operator():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
     assert set(ORACLES) | set(COLUMNS) == set(QUERIES) and not set(ORACLES) & set(COLUMNS)
 
 
