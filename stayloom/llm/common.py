@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Rows an Arrow batch may hold. Spark's default of 10,000 is meant for numbers; whole texts need less.
 BATCH_ROWS = 512
+#: Bytes after which a batch is closed, so that long texts come in smaller numbers.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,9 +21,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def text_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small enough for whole texts.
 
-    Spark reads this setting when the returned frame is executed, so it has to stay on the session.
+    Spark reads these settings when the returned frame is executed, so they have to stay on the session.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -21,10 +21,13 @@ window may hold fewer than WIDTH tokens.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
+from operator import attrgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +41,10 @@ from .common import text_batches, utf8
 WIDTH, CLOSING_ID, MAX_QUEUES = 2048, 1, 256
 #: Rows of the table of (task, queue) sums up to which it is broadcast; beyond that it is joined by a shuffle.
 BROADCAST_ROWS = 500_000
-_CACHED_WORDS, _BYTES_AT_ONCE = 2_000_000, 8 << 20
+_CACHED_WORDS, _BYTES_AT_ONCE = 750_000, 8 << 20
+_LEARNED = 50_000
+#: Numbers (windows times queues) of cuts that are worked out at once.
+_CUTS = 1 << 20
 
 TOKENS = "doc_id long, queue int, part int, place long, n long, ids binary"
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -47,11 +53,50 @@ PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Splitting patterns that take a run of letters as one piece, a full stop or comma apart from letters and digits, and
+#: no white space. (Fixed values: patterns of public vocabularies.)
+_LETTER_RUNS = {r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+#: Letters before this code point are lower-cased one by one and have no other normal form.
+_FURTHER = "\u0250"
+
+
+class Shortcuts(NamedTuple):
+    """What a tokenizer's own description proves. ``words``: its tokens never cross white space, so a text has the ids
+    of its words. ``lower``: upper and lower case have the same ids. ``letters``: a word of letters is one piece for the
+    model; a full stop or comma behind a letter or digit is a piece of its own."""
+
+    words: bool
+    lower: bool
+    letters: bool
+    bytewise: bool
+
+
+def shortcuts(description: dict) -> Shortcuts:
+    """Anything not known to be harmless proves nothing, and texts are then encoded whole."""
+    def steps(part: dict | None, name: str) -> list[dict]:
+        if part is None:
+            return []
+        return [x for inner in part[name] for x in steps(inner, name)] if part["type"] == "Sequence" else [part]
+
+    folds = steps(description.get("normalizer"), "normalizers")
+    harmless = all(x["type"] in ("NFC", "Lowercase") or x["type"] == "Replace" and x["content"] == " "
+                   and x["pattern"] == {"Regex": r"\s+"} for x in folds)
+    cuts = steps(description.get("pre_tokenizer"), "pretokenizers")
+    plain = all(not t["normalized"] and not t["lstrip"] and not t["rstrip"] and not t["single_word"]
+                for t in description.get("added_tokens") or [])
+    known = bool(cuts) and cuts[0]["type"] == "Split" and cuts[0]["pattern"].get("Regex") in _LETTER_RUNS and (
+        cuts[0]["behavior"] == "Removed" and cuts[0]["invert"])
+    bytewise = cuts[1:] and cuts[1]["type"] == "ByteLevel" and not (
+        cuts[1]["use_regex"] or cuts[1]["add_prefix_space"])
+    letters = harmless and plain and known and (len(cuts) == 1 or len(cuts) == 2 and bytewise)
+    words = letters or harmless and plain and len(cuts) == 1 and cuts[0]["type"] in ("WhitespaceSplit", "Whitespace")
+    return Shortcuts(bool(words), bool(words) and any(x["type"] == "Lowercase" for x in folds), bool(letters),
+                     bool(bytewise))
 
 
 def _lowered(texts: pa.Array) -> pa.Array:
-    """The vocabulary is of lower case, so fewer different words are left. Texts with marks of special tokens keep
-    their case, as do those they share a batch with."""
+    """Fewer different words are left. Texts with marks of special tokens keep their case, as do those they share a
+    batch with."""
     if pc.any(pc.match_substring(texts, "<|")).as_py():
         return texts
     data, offsets = utf8(texts)
@@ -60,11 +105,18 @@ def _lowered(texts: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(ends), pa.py_buffer(low)])
 
 
+def _letters_of_bytes() -> dict[int, str]:
+    """The visible character that byte-level vocabularies write for each byte: itself, or the next one from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    hidden = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(hidden)}}
+
+
 class WordCache:
-    """Ids of texts from the ids of their words. For vocabularies whose tokens never cross white space.
+    """Ids of texts from the ids of their words, where the tokenizer's description allows it; else of whole texts.
 
-    Most words are seen before, so they cost a dictionary lookup for each batch they are in. New words of ASCII letters
-    are encoded as one text and told apart by the tokens that end a word; other new words are encoded one by one.
+    Most words are seen before, so they cost a dictionary lookup for each batch they are in. New words of letters go to
+    the model at once, other new words through all steps of the tokenizer.
     """
 
     def __init__(self, vocabulary: str, closing_id: int):
@@ -72,12 +124,10 @@ class WordCache:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.closing_id = Tokenizer.from_file(vocabulary), closing_id
-        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
-        self.ends_word = None
-        if suffix:
-            names = self.tokenizer.get_vocab()
-            self.ends_word = np.zeros(max(names.values()) + 1, bool)
-            self.ends_word[[i for name, i in names.items() if name.endswith(suffix)]] = True
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.takes = shortcuts(json.loads(self.tokenizer.to_str()))
+        self.shown = _letters_of_bytes()
         self.clear()
 
     def clear(self):
@@ -91,17 +141,29 @@ class WordCache:
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, ids])
 
+    def _piece(self, word: str) -> str | None:
+        """What the model is given for a word of letters; None for other words."""
+        if not self.takes.letters or not word.isalpha():
+            return None
+        if self.takes.lower and not word.islower():
+            word = word.lower()
+        if word.isascii():
+            return word
+        if max(word) >= _FURTHER or not word.isalpha():
+            return None
+        return word.encode().decode("latin-1").translate(self.shown) if self.takes.bytewise else word
+
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isascii() and w.isalpha()] if self.ends_word is not None else []
-        if plain:
-            ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, np.uint32)
-            lengths = np.diff(np.flatnonzero(self.ends_word[ids]), prepend=-1)
-            if len(lengths) == len(plain) and lengths.sum() == len(ids):
-                self._add(plain, ids, lengths)
-                words = [w for w in words if not (w.isascii() and w.isalpha())]
-        found = [e.ids for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
-        self._add(words, np.fromiter((i for f in found for i in f), np.uint32),
-                  np.fromiter(map(len, found), np.int64, len(found)))
+        for at in range(0, len(words), _LEARNED):
+            mine = words[at:at + _LEARNED]
+            pieces = list(map(self._piece, mine))
+            short = [(w, p) for w, p in zip(mine, pieces) if p is not None]
+            rest = [w for w, p in zip(mine, pieces) if p is None]
+            tokens = list(map(self.tokenizer.model.tokenize, [p for _, p in short]))
+            others = [e.ids for e in self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)]
+            ids = chain(map(attrgetter("id"), chain.from_iterable(tokens)), chain.from_iterable(others))
+            self._add([w for w, _ in short] + rest, np.fromiter(ids, np.uint32),
+                      np.fromiter(map(len, chain(tokens, others)), np.int64, len(mine)))
 
     def _numbers(self, words: list[str]) -> np.ndarray:
         numbers = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
@@ -117,14 +179,18 @@ class WordCache:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts behind each other, each closed by the closing id, and the n + 1 offsets into them."""
-        texts = _lowered(pc.fill_null(texts, "").cast(pa.large_string()))
-        # a full stop or comma behind a letter or digit is a token of its own with or without a blank before it
-        texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,])([ \n])", r"\1 \2\3")
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        if not self.takes.words:
+            return self._encode_whole(texts)
+        if self.takes.lower:
+            texts = _lowered(texts)
+        if self.takes.letters:  # a full stop or comma is a piece of its own with or without a blank before it
+            texts = pc.replace_substring_regex(texts, r"([a-z0-9])([.,])([ \n])", r"\1 \2\3")
         words = pc.ascii_split_whitespace(texts)
         ends = np.asarray(words.offsets).astype(np.int64)
         base = ends[0]
         flat = words.values[base:ends[-1]].dictionary_encode()
-        numbers = self._numbers(flat.dictionary.to_pylist())
+        numbers = self._numbers(flat.dictionary.to_numpy(zero_copy_only=False).tolist())
         at = numbers[np.asarray(flat.indices)] if len(flat) else np.empty(0, np.int64)
         at = np.insert(at, ends[1:] - base, 0)
         lengths = self.lengths[at]
@@ -135,6 +201,14 @@ class WordCache:
         return ids, np.concatenate([[0], before[closing] + 1])
 
 
+    def _encode_whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        closing = np.array([self.closing_id], np.uint32)
+        found = [np.append(np.array(self.tokenizer.encode(t.as_py(), add_special_tokens=False).ids, np.uint32), closing)
+                 for t in texts]
+        offsets = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)]).astype(np.int64)
+        return np.concatenate(found) if found else closing[:0], offsets
+
+
 _caches: dict[tuple, WordCache] = {}
 
 
@@ -208,16 +282,50 @@ class Schedule:
             have[rows[more], add[more]] += 1
             have[rows[less], drop[less]] -= 1
 
-    def window_of(self, queue: int, place: int) -> int:
-        """The window that holds the given token of a queue: a guess from the fluid schedule, then stepwise."""
-        level = (2 * place + 1) / self.weights[queue]
-        before = np.clip(np.floor((level * self.weights + 1) / 2), 0, self.totals).sum() - 1
-        window = min(max(int(before // self.width), 0), self.windows - 1)
-        while True:
-            low, high = self.cuts(np.array([window, window + 1]))[:, queue]
-            if low <= place < high:
-                return window
-            window += 1 if place >= high else -1
+    def windows_of(self, queue: int, places: np.ndarray) -> np.ndarray:
+        """The windows that hold the given tokens of a queue: a guess from the fluid schedule, then stepwise."""
+        found = []
+        for at in range(0, len(places), self._rows):
+            mine = places[at:at + self._rows]
+            level = (2 * mine + 1) / self.weights[queue]
+            before = np.clip(np.floor((level[:, None] * self.weights + 1) / 2), 0, self.totals).sum(axis=1) - 1
+            window = np.clip(before // self.width, 0, self.windows - 1).astype(np.int64)
+            while True:
+                low, high = self.cuts(window)[:, queue], self.cuts(window + 1)[:, queue]
+                step = (mine >= high).astype(np.int64) - (mine < low)
+                if not step.any():
+                    break
+                window += step
+            found.append(window)
+        return np.concatenate(found)
+
+    def ends_of(self, queue: int, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of the queue before and up to the end of each window, and what earlier queues fill of it."""
+        parts = []
+        for at in range(0, len(windows), self._rows):
+            low, high = self.cuts(windows[at:at + self._rows]), self.cuts(windows[at:at + self._rows] + 1)
+            parts.append((low[:, queue], high[:, queue], (high[:, :queue] - low[:, :queue]).sum(axis=1)))
+        return tuple(np.concatenate(p) for p in zip(*parts))
+
+    @property
+    def _rows(self) -> int:
+        return max(_CUTS // len(self.totals), 1)
+
+    def touched(self, queue: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Windows with tokens of documents that lie at ``low`` to ``high`` of the queue: all between the first and the
+        last of a document, or, where these are more than its tokens, those of its tokens."""
+        first, final = self.windows_of(queue, low), self.windows_of(queue, high - 1)
+        dense = final - first < high - low + 16
+        found = [np.unique(np.concatenate([first, final]))]
+
+        def counted(starts, ends):
+            sizes = ends - starts
+            return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+        found.append(counted(first[dense], final[dense] + 1))
+        for a, b in zip(low[~dense].tolist(), high[~dense].tolist()):
+            found.append(self.windows_of(queue, np.arange(a, b)))
+        return np.unique(np.concatenate(found))
 
 
 def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> Callable:
@@ -238,21 +346,17 @@ def _pieces(totals: np.ndarray, weights: np.ndarray, width: int, kind: str) -> C
                 mine = np.flatnonzero(queues == queue)
                 mine = mine[np.argsort(begins[mine], kind="stable")]
                 low, high = begins[mine], begins[mine] + counts[mine]
-                first = schedule.window_of(queue, int(low[0]))
-                final = schedule.window_of(queue, int(high[-1]) - 1)
-                windows = np.arange(first, final + 2)
-                cuts = schedule.cuts(windows)
-                edges = cuts[:, queue]
-                lead = np.diff(cuts[:, :queue].sum(axis=1))  # what earlier queues fill of each window
+                windows = schedule.touched(int(queue), low, high)
+                begin, end, lead = schedule.ends_of(int(queue), windows)
                 # a piece starts where a document or a window of the queue does
-                starts = np.unique(np.concatenate([low, edges[(edges > low[0]) & (edges < high[-1])]]))
+                starts = np.unique(np.concatenate([low, begin[(begin > low[0]) & (begin < high[-1])]]))
                 doc = np.searchsorted(low, starts, "right") - 1
                 inside = starts < high[doc]
                 starts, doc = starts[inside], doc[inside]
-                at = np.searchsorted(edges, starts, "right") - 1
-                ends = np.minimum(high[doc], edges[at + 1])
+                at = np.searchsorted(begin, starts, "right") - 1
+                ends = np.minimum(high[doc], end[at])
                 found.append(np.stack([mine[doc], starts - low[doc], ends - starts, windows[at],
-                                       lead[at] + starts - edges[at], np.full(len(starts), queue)]))
+                                       lead[at] + starts - begin[at], np.full(len(starts), queue)]))
             row, start, length, window, offset, queue = np.concatenate(found, axis=1)
             size = np.dtype(kind).itemsize
             heads = bounds[row].astype(np.int64) + start * size

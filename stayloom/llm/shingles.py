@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 
 SIZE = 5
-_BYTES_AT_ONCE = 4 << 20
+_BYTES_AT_ONCE = 1 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32

@@ -2,6 +2,7 @@
 
 import gzip
 import hashlib
+import json
 import zlib
 from collections import defaultdict
 
@@ -37,6 +38,66 @@ def test_word_cache_equals_the_tokenizer(spark):
         assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == direct(texts)
 
 
+def cased_vocabulary(folder):
+    """Words of a list, told apart by case, cut at white space."""
+    from tokenizers import models, pre_tokenizers
+
+    tokenizer = Tokenizer(models.WordLevel({"[unk]": 0, "close": 1, "Word": 2, "word": 3, "word.": 4, ".": 5, "É": 6}, "[unk]"))
+    tokenizer.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    path = f"{folder}/cased.json"
+    tokenizer.save(path)
+    return path
+
+
+@pytest.mark.parametrize("name", ["cased", "byte_bpe_50k.json"])
+def test_other_vocabularies(tmp_path, name):
+    path = cased_vocabulary(tmp_path) if name == "cased" else public_tokenizers.path(name)
+    texts = ["Word word. x", None, "", "É é  word .\nWord. ", "a\u00a0b don't  DON'T 12.5, <|endoftext|>x", " lead", "t\t\tt "]
+    cache = packing.WordCache(path, 1)
+    assert not cache.takes.lower and cache.takes.words == (name == "cased")
+    want = [[*e.ids, 1] for e in Tokenizer.from_file(path).encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for _ in range(2):
+        ids, offsets = cache.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == want
+
+
+def test_known_shortcuts():
+    description = json.loads(Tokenizer.from_file(VOCABULARY).to_str())
+    assert packing.shortcuts(description) == (True, True, True, True)
+    lower = {"type": "Lowercase"}
+    for part, value in [("normalizer", {"type": "Prepend", "prepend": "_"}), ("pre_tokenizer", None),
+                        ("added_tokens", [{"normalized": True, "lstrip": False, "rstrip": False, "single_word": False}]),
+                        ("normalizer", {"type": "Replace", "pattern": {"String": "a"}, "content": " "}),
+                        ("pre_tokenizer", {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True})]:
+        assert not any(packing.shortcuts({**description, part: value})[:3])
+    assert packing.shortcuts({**description, "normalizer": lower})[:3] == (True, True, True)
+    assert packing.shortcuts({**description, "normalizer": None})[:3] == (True, False, True)
+
+
+def test_windows_far_apart_take_little_memory():
+    import tracemalloc
+
+    totals, at = np.full(64, 20_000_000), [0, 19_000_000]
+    batch = pa.RecordBatch.from_arrays([
+        pa.array([1, 2]), pa.array([7, 7], pa.int32()), pa.array(at), pa.array([0, 0]), pa.array([1000, 1000]),
+        pa.array([np.arange(1000, dtype="<u2").tobytes()] * 2, pa.binary())],
+        names=["doc_id", "queue", "place", "before", "n", "ids"])
+    for weights in (np.ones(64), np.where(np.arange(64) == 7, 1e-4, 1.0)):  # the second: fewer than a token a window
+        totals[7] = 20_000_000
+        tracemalloc.start()
+        (out,) = packing._pieces(totals, weights, 2048, "<u2")(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 200 << 20
+        rows = out.to_pylist()
+        for doc in (1, 2):
+            mine = sorted((r["start"], r["length"]) for r in rows if r["doc_id"] == doc)
+            assert [s for s, _ in mine] == [0, *np.cumsum([n for _, n in mine])[:-1].tolist()] and sum(
+                n for _, n in mine) == 1000
+        windows = sorted(r["sequence_id"] for r in rows)
+        assert windows[-1] - windows[0] > 500_000
+
+
 def pack_rows():
     rng = np.random.default_rng(6)
     rows = [(k, "word " * int(rng.integers(0, 900)) + str(k), "big" if k % 3 else f"s{k % 5}") for k in range(120)]
