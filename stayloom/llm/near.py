@@ -46,7 +46,7 @@ POSTED, EXTRA = 64, 128
 MATCHES, ALL_MATCHES = 32, 117
 PREFIX = POSTED - MATCHES + 1
 #: Rows of a block, best pairs of two components, classes on a shelf, requests that one copy of a shelf answers.
-BLOCK, PER_PAIR, SHELF, REQUESTS = 512, 4, 64, 1024
+BLOCK, PER_PAIR, SHELF, REQUESTS = 512, 4, 64, 256
 #: Candidate classes up to which their ids are broadcast to fetch their texts; beyond that the join is a shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -37,8 +37,8 @@ from .scan import prefix_scan
 FORKED, MOST = 100, 6
 #: Arcs of a partition in which runs are contracted.
 ARCS = 1_000_000
-#: Bytes of written-out ids in one piece.
-PIECE = 1 << 18
+#: Ids written out in one piece.
+PIECE = 10_000
 _EMPTY = hashlib.sha256(b"").hexdigest()
 _CONTRACTED = "arc long, head long, offset long, leaf long, saved long, next long, tail boolean"
 
@@ -164,46 +164,58 @@ def ranked(arcs: DataFrame, arcs_per_partition: int = ARCS) -> DataFrame:
 
 # --- digests of the ids that end at a node ---------------------------------------------------------------------------
 
+def _rows(rows: Iterator[tuple], columns: str, at_once: int = 512) -> Iterator[pa.RecordBatch]:
+    """Batches of tuples; the last column is text, the others are whole numbers."""
+    names = columns.split()
+    kinds = [pa.int64()] * (len(names) - 1) + [pa.string()]
+    held: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*held), kinds)], names=names)
+
+    for row in rows:
+        held.append(row)
+        if len(held) >= at_once:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
+
+
 def _write_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted rows of one partition as pieces of comma-joined ids, each of one node."""
-    node, ids, size = None, [], 0
-
-    def piece() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{
-            "depth": node[0], "a": node[1], "b": node[2], "least": ids[0], "piece": ",".join(map(str, ids))}],
-            pa.schema([("depth", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("least", pa.int64()),
-                       ("piece", pa.string())]))
-
-    for batch in batches:
-        for depth, a, b, conv in zip(*(batch.column(c).to_pylist() for c in ("depth", "a", "b", "conv_id"))):
-            if ids and (node != (depth, a, b) or size >= PIECE):
-                yield piece()
-                ids, size = [], 0
-            node = (depth, a, b)
-            ids.append(conv)
-            size += 20
-    if ids:
-        yield piece()
+    def pieces() -> Iterator[tuple]:
+        node, ids = None, []
+        for batch in batches:
+            for *key, conv in zip(*(batch.column(c).to_numpy().tolist() for c in ("depth", "a", "b", "conv_id"))):
+                if ids and (node != key or len(ids) >= PIECE):
+                    yield *node, ids[0], ",".join(map(str, ids))
+                    ids = []
+                node = key
+                ids.append(conv)
+        if ids:
+            yield *node, ids[0], ",".join(map(str, ids))
+
+    yield from _rows(pieces(), "depth a b least piece", 16)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pieces in order, hashed node by node."""
-    node, sha = None, None
-
-    def row() -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist([{"depth": node[0], "a": node[1], "b": node[2], "sha": sha.hexdigest()}], pa.schema([
-            ("depth", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("sha", pa.string())]))
-
-    for batch in batches:
-        for depth, a, b, text in zip(*(batch.column(c).to_pylist() for c in ("depth", "a", "b", "piece"))):
-            if node != (depth, a, b):
+    def digests() -> Iterator[tuple]:
+        node, sha = None, None
+        for batch in batches:
+            columns = [batch.column(c).to_numpy().tolist() for c in ("depth", "a", "b")]
+            for *key, text in zip(*columns, batch.column("piece").to_pylist()):
+                if node == key:
+                    sha.update(b"," + text.encode())
+                    continue
                 if node is not None:
-                    yield row()
-                node, sha = (depth, a, b), hashlib.sha256(text.encode())
-            else:
-                sha.update(b"," + text.encode())
-    if node is not None:
-        yield row()
+                    yield *node, sha.hexdigest()
+                node, sha = key, hashlib.sha256(text.encode())
+        if node is not None:
+            yield *node, sha.hexdigest()
+
+    yield from _rows(digests(), "depth a b sha")
 
 
 def end_digests(ends: DataFrame) -> DataFrame:

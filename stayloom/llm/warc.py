@@ -35,6 +35,8 @@ from .common import text_batches
 
 LEAST_BYTES = 1000
 FILE_BYTES, READ_BYTES, GAP_BYTES = 1 << 30, 8 << 20, 64 << 10
+#: Bytes of archives that one reading task gets.
+TASK_BYTES = 32 << 20
 #: Date written into records: crawl times are no column of the pages.
 CRAWLED = "1970-01-01T00:00:00Z"
 
@@ -189,8 +191,12 @@ def _reader(folder: str, read_bytes: int, gap_bytes: int) -> Callable:
 
 def read_records(index: DataFrame, folder: str, read_bytes: int = READ_BYTES,
                  gap_bytes: int = GAP_BYTES) -> DataFrame:
-    """The records of the given index rows, with the payload of responses."""
-    ordered = index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions(
+    """The records of the given index rows, with the payload of responses. Tasks are cut by the bytes of the archives
+    that they read; the index itself is small beside these."""
+    spark = index.sparkSession
+    wanted = index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]
+    tasks = max(-(-wanted // TASK_BYTES), spark.sparkContext.defaultParallelism)
+    ordered = index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions(
         "file", "offset")
     return ordered.mapInArrow(_reader(folder, read_bytes, gap_bytes), RECORD)
 

@@ -199,7 +199,7 @@ def test_no_conversations(spark):
 
 
 def test_pieces_of_a_digest(spark, monkeypatch):
-    monkeypatch.setattr(trie, "PIECE", 40)
+    monkeypatch.setattr(trie, "PIECE", 7)
     ends = spark.createDataFrame([(i, 1, 5, 6) for i in range(300)] + [(-4, 0, 0, 0)], "conv_id long, depth long, a long, b long")
     got = {r.depth: r.sha for r in trie.end_digests(ends.repartition(4)).collect()}
     assert got == {1: hashlib.sha256(",".join(map(str, range(300))).encode()).hexdigest(),
