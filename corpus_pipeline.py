@@ -3,6 +3,9 @@
 Each stage takes (spark, docs, sf_dir) and returns the documents it keeps, with all their columns; the last returns the
 pieces of packed sequences. :func:`run` writes every stage as Parquet to the shared folder and reads it back, so a lost
 executor costs tasks of one stage only.
+
+Defined results: null and empty texts go with the first stage; nulls in other columns are kept. Rows that repeat an id go
+or stay together. Other columns of the documents, whatever their names, are handed on. An empty table passes every stage.
 """
 
 from __future__ import annotations
@@ -20,9 +23,12 @@ def _without(docs: DataFrame, judged: DataFrame, keep: Column) -> DataFrame:
     """Leave out the documents that are not kept. Their ids are written first, so Spark knows how many there are and
     broadcasts them only where they are few. A null id is an id like any other; rows that repeat an id stay together
     if one of them is kept."""
+    name = "_dropped"
+    while name.lower() in (c.lower() for c in docs.columns):  # documents may have a column of that name
+        name = "_" + name
     dropped = staged(judged.groupBy("doc_id").agg(F.max(keep).alias("keep")).filter("not keep").select(
-        F.col("doc_id").alias("_dropped")), "dropped-ids")
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col("_dropped")), "left_anti")
+        F.col("doc_id").alias(name)), "dropped-ids")
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
