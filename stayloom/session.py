@@ -74,10 +74,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app]
 
 
+#: Bytes of a Parquet row group of staged tables. A writing task holds one, and whole texts fill large ones quickly.
+ROW_GROUP = 32 << 20
+
+
 def staged(df, label: str = "stage"):
     """Write a frame to the shared folder and read it back: cuts the lineage and fixes row placement for good."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/scratch/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **{"parquet.block.size": str(ROW_GROUP)}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
