@@ -105,8 +105,9 @@ def run_chain(spark: SparkSession, source: DataFrame, out: str, reference: dict[
         write(quality.valid_rows(raw, HOSPITAL_RULES), "clean")
 
     def transform():
-        curated = write(clean.sorted_by_key(clean.curated(
-            spark.read.parquet(f"{out}/clean"), source_file)), "curated")
+        valid = spark.read.parquet(f"{out}/clean")
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        curated = write(clean.sorted_by_key(clean.curated(valid, source_file), valid, parts), "curated")
         quality.raise_on_failure(quality.curated_checks(curated, "encounter_id", clean.INTEGER_COLUMNS))
 
     def engineer():

@@ -10,7 +10,6 @@ from ..operators.order import keep_first
 from ..operators.quality import require_columns
 from ..schema import (DIAGNOSES, ENCOUNTER_COLUMNS, ETL_VERSION, FILL_UNKNOWN, MEDICATIONS, NUMERIC_BOUNDS,
                       SOURCE_FILE_NAME, SOURCE_NAMES, UNKNOWN)
-from ..session import staged
 
 INTEGER_COLUMNS = tuple(NUMERIC_BOUNDS)
 AUDIT_COLUMNS = ("etl_processed_at", "etl_source_file", "etl_version")
@@ -58,12 +57,19 @@ def curated(valid: DataFrame, source_file: str = SOURCE_FILE_NAME, as_of: str |
     return add_audit(typed, source_file, as_of).select(*ENCOUNTER_COLUMNS, *AUDIT_COLUMNS)
 
 
-def sorted_by_key(df: DataFrame, key: str = "encounter_id") -> DataFrame:
-    """Total order for writing: range partitions, sorted inside; also clusters the files for key lookups.
+def sorted_by_key(df: DataFrame, source: DataFrame, parts: int, key: str = "encounter_id") -> DataFrame:
+    """Total order for writing: ``parts`` ranges of the key, sorted inside; also clusters the files for key lookups.
 
-    The rows are written before: Spark samples the bounds in a pass of its own, which would run the clean step twice.
+    The bounds come from the key column of ``source``, the table that ``df`` is made of. Spark's own range partitioning
+    would sample ``df`` in a pass of its own, and run the clean step twice or need it written twice.
     """
-    return staged(df, "unsorted").repartitionByRange(key).sortWithinPartitions(key)
+    if parts < 2:
+        return df.coalesce(1).sortWithinPartitions(key)
+    shares = [k / parts for k in range(1, parts)]
+    number = F.expr(f"try_cast({strip_sql(key)} AS BIGINT)")
+    bounds = source.agg(F.percentile_approx(number, shares, 20 * parts).alias("b")).first()["b"] or []  # parts - 1 numbers
+    before = F.size(F.filter(F.lit(sorted(set(bounds))).cast("array<bigint>"), lambda bound: bound < F.col(key)))
+    return df.repartitionById(parts, F.coalesce(before, F.lit(0)).cast("int")).sortWithinPartitions(key)
 
 
 def null_cells(columns) -> Column:

@@ -26,8 +26,8 @@ from . import clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
-#: Buckets of the facts. A bucket is read by one task, so a deployment sets it by the size of its facts; it is the
-#: same for all facts, whatever the input.
+#: Buckets of the facts and parts of the raw layer. A bucket is read by one task, so a deployment sets it by the size of
+#: its tables (some 128 MB a bucket); it is the same for all of them, whatever the input.
 BUCKETS = 16
 
 _trained: dict[tuple[str, str, str], tuple[str, str]] = {}
@@ -82,7 +82,8 @@ class Layers:
         return inputs.raw_encounters(self.input("orders").select("o_orderkey", "o_custkey"))
 
     def raw(self) -> DataFrame:
-        return self._layer("raw", self.raw_lazy)
+        """Dealt by key over a declared number of parts, so that scans of it do not depend on the files it came in."""
+        return self._layer("raw", lambda: self.raw_lazy().repartition(self.buckets, "row_id"))
 
     def violations(self) -> DataFrame:
         return self._layer("violations", lambda: quality.violations(self.raw(), self.rules, as_of=AS_OF))
@@ -91,7 +92,8 @@ class Layers:
         return self._layer("valid", lambda: quality.valid_rows(self.raw(), self.rules))
 
     def curated(self) -> DataFrame:
-        return self._layer("curated", lambda: clean.sorted_by_key(clean.curated(self.valid(), as_of=AS_OF)))
+        return self._layer("curated", lambda: clean.sorted_by_key(
+            clean.curated(self.valid(), as_of=AS_OF), self.valid(), self.buckets))
 
     def features(self) -> DataFrame:
         return self._layer("features", lambda: features.features(self.curated()))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -99,9 +100,12 @@ def standardise(rows: DataFrame, columns: Sequence[str] = MODEL_NUMERIC) -> Data
 # --- models ------------------------------------------------------------------------------------------------------
 
 
-#: Rows of a fit are dealt by key over a fixed number of partitions: forests draw their samples per partition, so the
-#: fitted model must not depend on files or cores.
-TRAIN_PARTITIONS = 32
+#: Rows of a fit are dealt by key over a declared number of partitions: forests draw their samples per partition, so the
+#: fitted model must not depend on files or cores. A round of boosting is a handful of jobs of that many tasks, so a
+#: deployment sets it by the size of its training rows (some 100 MB of vectors a partition).
+TRAIN_PARTITIONS = 4
+#: Memory for the histograms of the nodes that one job grows; more of it means fewer jobs for a tree.
+NODE_MEMORY_MB = 1024
 
 
 def preprocessing(train: DataFrame) -> list:
@@ -123,11 +127,12 @@ def preprocessing(train: DataFrame) -> list:
 def candidate_models(weight_sum: float, forest_trees: int = 300, boosting_rounds: int = 300) -> dict:
     """The three candidates. The L2 strength of C = 1 is one over the summed row weights."""
     shared = dict(featuresCol="features", labelCol=MODEL_TARGET, weightCol="class_weight")
+    grown = dict(seed=SEED, maxMemoryInMB=NODE_MEMORY_MB, cacheNodeIds=True, **shared)
     return {
         "logistic_regression": LogisticRegression(
             maxIter=1000, regParam=1.0 / weight_sum, elasticNetParam=0.0, standardization=False, **shared),
-        "random_forest": RandomForestClassifier(numTrees=forest_trees, maxDepth=12, seed=SEED, **shared),
-        "boosted_trees": GBTClassifier(maxIter=boosting_rounds, maxDepth=6, stepSize=0.05, seed=SEED, **shared),
+        "random_forest": RandomForestClassifier(numTrees=forest_trees, maxDepth=12, **grown),
+        "boosted_trees": GBTClassifier(maxIter=boosting_rounds, maxDepth=6, stepSize=0.05, **grown),
     }
 
 
@@ -136,15 +141,22 @@ def weighted(rows: DataFrame, label: str = MODEL_TARGET) -> DataFrame:
     return rows.join(F.broadcast(weights), F.col(label) == F.col("_label")).drop("_label")  # a row per class
 
 
-def fit_candidates(train: DataFrame, names: Sequence[str] | None = None, **sizes: int) -> dict[str, PipelineModel]:
-    """Fit the preprocessing once and every wanted candidate on its output; each result is a complete pipeline."""
-    rows = weighted(train.repartition(TRAIN_PARTITIONS, "encounter_id"))
+def training_vectors(train: DataFrame, partitions: int = TRAIN_PARTITIONS) -> tuple[list, DataFrame]:
+    """Fitted preprocessing stages and their output, written once for all candidates and dealt by key."""
+    rows = weighted(train)
     shared = Pipeline(stages=preprocessing(train)).fit(rows)
+    vectors = staged(shared.transform(rows).select("encounter_id", "features", MODEL_TARGET, "class_weight"), "vectors")
+    dealt = vectors.repartition(partitions, "encounter_id").sortWithinPartitions("encounter_id")
+    return shared.stages, dealt.select("features", MODEL_TARGET, "class_weight")
+
+
+def fit_candidates(train: DataFrame, names: Sequence[str] | None = None, partitions: int = TRAIN_PARTITIONS,
+                   **sizes: int) -> dict[str, PipelineModel]:
+    """Fit the preprocessing once and every wanted candidate on its output; each result is a complete pipeline."""
+    stages, vectors = training_vectors(train, partitions)
     # balanced weights add up to the number of rows
     candidates = candidate_models(float(train.count()), **sizes)
-    vectors = shared.transform(rows).select("features", MODEL_TARGET, "class_weight")
-    return {name: PipelineModel(stages=[*shared.stages, candidates[name].fit(vectors)])
-            for name in names or candidates}
+    return {name: PipelineModel(stages=[*stages, candidates[name].fit(vectors)]) for name in names or candidates}
 
 
 def score(model: PipelineModel, rows: DataFrame) -> DataFrame:
@@ -215,18 +227,35 @@ def compare(evaluations: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("is_best", F.col("model_name") == best).drop("_order")
 
 
-def train_and_store(train: DataFrame, test: DataFrame, folder: str, **sizes: int) -> tuple[str, DataFrame]:
-    """Fit all candidates, store the best one by ROC area below ``folder`` and write the evaluation report beside it.
+def _finished(spark: SparkSession, folder: str) -> DataFrame | None:
+    """A report that an earlier run wrote to its end, if there is one."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException:  # no such folder, or a write that did not end
+        return None
 
-    Held-out rows are scored once for each model. Returns the name of the best model and the report.
+
+def train_and_store(train: DataFrame, test: DataFrame, folder: str, partitions: int = TRAIN_PARTITIONS,
+                    **sizes: int) -> tuple[str, DataFrame]:
+    """Fit all candidates, store them below ``folder`` and write the evaluation report beside them.
+
+    Each candidate is a job of its own: its model, then its metrics on the held-out rows, which are scored once. A run
+    that is started again on the same folder goes on with the first candidate that has no metrics. Returns the name of
+    the best model by ROC area and the report.
     """
-    evaluations = {}
-    for name, model in fit_candidates(train, **sizes).items():
-        model.write().overwrite().save(f"{folder}/{name}")
-        scored = staged(score(model, test).withColumnRenamed(MODEL_TARGET, "y_true"), "held-out-scores")
-        evaluations[name] = evaluation(scored)
+    spark, evaluations, prepared = train.sparkSession, {}, None
+    candidates = candidate_models(float(train.count()), **sizes)
+    for name, candidate in candidates.items():
+        path = f"{folder}/metrics/{name}"
+        if _finished(spark, path) is None:
+            stages, vectors = prepared = prepared or training_vectors(train, partitions)
+            model = PipelineModel(stages=[*stages, candidate.fit(vectors)])
+            model.write().overwrite().save(f"{folder}/{name}")
+            scored = staged(score(model, test).withColumnRenamed(MODEL_TARGET, "y_true"), "held-out-scores")
+            evaluation(scored).write.mode("overwrite").parquet(path)
+        evaluations[name] = spark.read.parquet(path)
     compare(evaluations).write.mode("overwrite").parquet(f"{folder}/evaluation")
-    report = train.sparkSession.read.parquet(f"{folder}/evaluation")
+    report = spark.read.parquet(f"{folder}/evaluation")
     return report.filter("is_best").first()["model_name"], report  # one row
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from stayloom.operators import quality
 from stayloom.plans import clean, features
@@ -71,3 +72,16 @@ def test_feature_table(layers):
     joined = features.join_features(layers.curated(), table)
     beside = layers.encounters().select(*joined.columns)
     assert joined.exceptAll(beside).isEmpty() and joined.count() == beside.count()
+
+
+def test_sorted_by_key_is_a_total_order(spark, layers):
+    valid = layers.valid()
+    out = clean.sorted_by_key(clean.curated(valid), valid, 5).withColumn("part", F.spark_partition_id())
+    spans = out.groupBy("part").agg(F.min("encounter_id").alias("a"), F.max("encounter_id").alias("b"),
+                                    F.count("*").alias("n")).orderBy("part").collect()
+    assert len(spans) == 5 and all(x.b < y.a for x, y in zip(spans, spans[1:]))
+    assert max(s.n for s in spans) < 1.5 * min(s.n for s in spans)
+    assert sum(s.n for s in spans) == clean.curated(valid).count()
+    nothing = valid.limit(0)
+    assert clean.sorted_by_key(clean.curated(nothing), nothing, 5).count() == 0
+    assert clean.sorted_by_key(clean.curated(valid), valid, 1).rdd.getNumPartitions() == 1

@@ -77,6 +77,31 @@ def test_fit_score_and_requests(spark, layers):
     assert answer.predicted_risk_category in ("Low", "Medium", "High") and 0 <= answer.predicted_probability <= 1
 
 
+def test_training_goes_on_after_a_stop(spark, layers, tmp_path, monkeypatch):
+    train, test = layers.train_and_test()
+    fitted, candidates = [], ml.candidate_models
+
+    class Watched:
+        def __init__(self, name, model):
+            self.name, self.model = name, model
+
+        def fit(self, vectors):
+            fitted.append(self.name)
+            if self.name == "boosted_trees" and fitted.count("boosted_trees") == 1:
+                raise RuntimeError("stopped")
+            return self.model.fit(vectors)
+
+    monkeypatch.setattr(ml, "candidate_models", lambda *a, **k: {
+        n: Watched(n, m) for n, m in candidates(*a, **k).items()})
+    with pytest.raises(RuntimeError):
+        ml.train_and_store(train, test, str(tmp_path), forest_trees=3, boosting_rounds=2)
+    best, report = ml.train_and_store(train, test, str(tmp_path), forest_trees=3, boosting_rounds=2)
+    assert fitted == ["logistic_regression", "random_forest", "boosted_trees", "boosted_trees"]
+    assert {r.model_name for r in report.collect()} == {"logistic_regression", "random_forest", "boosted_trees"}
+    scored = ml.score(ml.load_model(str(tmp_path), best), test)
+    assert scored.count() == test.count()
+
+
 def test_ledger_state(spark):
     t = datetime.datetime(2024, 1, 1)
     runs = spark.createDataFrame([(1, "SUCCESS", t, t, 5), (2, "RUNNING", t, None, None)],
