@@ -646,6 +646,19 @@ SQL["chain_status"] = union(
         ("ingestion", "raw"), ("validation", "valid"), ("etl", "curated"), ("feature_engineering", "features"),
         ("data_warehouse", "fact_hospitalization"), ("data_marts", "mart_readmission")))
 
+SQL["chain_quality_runs"] = f"""
+SELECT 'diabetic_data.csv' AS raw_file_name, 'SUCCESS' AS status, total_rows, valid_rows, rejected_rows, total_violations,
+  duplicate_rows, valid_rate_percent, true AS finished FROM ({RUN_TOTALS})"""
+SQL["chain_rule_results"] = ("SELECT rule_name, column_name, count(*) AS violation_count, rejection_reason AS description "
+                             "FROM violations GROUP BY rule_name, column_name, rejection_reason")
+SQL["chain_etl_runs"] = """
+SELECT 'curated' AS target_table, 'SUCCESS' AS status, (SELECT count(*) FROM valid) AS input_rows, count(*) AS output_rows,
+  (SELECT count(*) FROM valid) - count(*) AS duplicates_removed, 50 AS source_columns, 53 AS output_columns,
+  count(*) AS stored_rows FROM curated"""
+SQL["chain_import_runs"] = ("SELECT 'diabetic_data.csv' AS source_file_name, 'SUCCESS' AS status, count(*) AS rows, "
+                            "'SUCCESS' AS run_status FROM raw")
+SQL["chain_readmission"] = "SELECT * FROM mart_readmission"
+
 
 def _complete(sql: str) -> str:
     """Put the layers in front; a statement with its own WITH keeps its parts after them."""

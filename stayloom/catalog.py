@@ -1044,4 +1044,40 @@ def quality_report(L):
 
 @query
 def chain_status(L):
-    return chain.status_from_layers(L)
+    """Steps of a whole run over the raw extract, as its manifest tells them."""
+    return chain.chain_status(L.spark, L.chain()).select("step", "status", "rows")
+
+
+@query
+def chain_quality_runs(L):
+    """The quality mart over the history the run has written."""
+    return marts.mart_quality(chain.quality_history(L.spark, L.chain())).select(
+        "raw_file_name", "status", "total_rows", "valid_rows", "rejected_rows", "total_violations", "duplicate_rows",
+        "valid_rate_percent", (F.col("finished_at") >= F.col("started_at")).alias("finished"))
+
+
+@query
+def chain_rule_results(L):
+    return marts.mart_quality_violations(chain.rule_history(L.spark, L.chain())).drop("quality_run_id")
+
+
+@query
+def chain_etl_runs(L):
+    runs = measures.newest(chain.etl_history(L.spark, L.chain()), limit=50, tie="id")
+    return runs.select("target_table", "status", "input_rows", "output_rows", "duplicates_removed", "source_columns",
+                       "output_columns", "stored_rows")
+
+
+@query
+def chain_import_runs(L):
+    """Imports of the run's folder, and whether the pipeline runs they belong to have ended well."""
+    imports, runs = chain.import_history(L.spark, L.chain()), chain.run_history(L.spark, L.chain())
+    return imports.join(runs.select(F.col("run_id").alias("id"), F.col("status").alias("run_status")), "id").select(
+        "source_file_name", "status", "rows", "run_status")
+
+
+@query
+def chain_readmission(L):
+    """A mart over the bucketed facts of the run's folder."""
+    star = chain.StoredStar(L.spark, L.chain(), L.reference())
+    return marts.mart_readmission(star)

@@ -22,7 +22,7 @@ from ..operators import quality
 from ..schema import HOSPITAL_RULES
 from ..session import shared_folder, tune
 from ..sources import inputs, reference_data
-from . import clean, features, ml, warehouse
+from . import chain, clean, features, ml, warehouse
 
 AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so that results can be compared
 
@@ -31,6 +31,7 @@ AS_OF = "2024-01-01 00:00:00"  # processing time of the stored layers, fixed so
 BUCKETS = 16
 
 _trained: dict[tuple[str, str, str], tuple[str, str]] = {}
+_chains: dict[tuple[str, str, str], str] = {}
 _stored: dict[tuple[str, str, str], Callable[[SparkSession], DataFrame]] = {}
 
 
@@ -129,6 +130,16 @@ class Layers:
         return self._layer("fact_medication_usage", lambda: warehouse.fact_medication_usage(
             self.curated()), bucket="encounter_key")
 
+    def chain(self) -> str:
+        """Folder of a whole run over the raw extract, with manifest and histories; run once per session and input."""
+        key = (*self._key, "chain")
+        if key not in _chains:
+            folder = f"{shared_folder(self.spark)}/chains/{uuid.uuid4().hex}"
+            chain.run_chain(self.spark, self.raw_lazy(), folder, self.reference(), content_hash=self._source,
+                            as_of=AS_OF, buckets=self.buckets)
+            _chains[key] = folder
+        return _chains[key]
+
     def model_split(self) -> DataFrame:
         """Model rows with their side of the split: every fit reads the table several times."""
         def build():

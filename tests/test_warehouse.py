@@ -1,4 +1,6 @@
-from stayloom.operators import quality
+import pytest
+
+from stayloom.operators import ledger, quality
 from stayloom.plans import chain, marts, measures, warehouse
 from stayloom.schema import MEDICATIONS
 from stayloom.sources import reference_data
@@ -85,3 +87,70 @@ def test_whole_chain(spark, raw, tmp_path):
         pass
     states = sorted(r.status for r in chain.run_history(spark, out).collect())
     assert states == ["FAILED", "SUCCESS"]
+
+
+class Killed(BaseException):
+    """What a driver that is killed looks like to the run: nothing catches it."""
+
+
+def test_a_killed_chain_resumes_at_the_first_unfinished_step(spark, raw, tmp_path, monkeypatch):
+    rows = raw(*({"encounter_id": str(i), "patient_nbr": str(i % 5 + 1)} for i in range(1, 21)),
+               {"age": "bad", "encounter_id": "99"})
+    reference, out = reference_data.code_dimensions(spark), str(tmp_path)
+
+    def killed(_):
+        raise Killed
+
+    with monkeypatch.context() as patch:
+        patch.setattr(chain.features, "features", killed)
+        with pytest.raises(Killed):
+            chain.run_chain(spark, rows, out, reference, buckets=2)
+    (first,) = chain.run_history(spark, out).collect()
+    assert first.status == "RUNNING"
+    assert [r.status for r in chain.chain_status(spark, out).orderBy("position").collect()] == ["SUCCESS"] * 3 + ["PENDING"] * 3
+    (before,) = chain.quality_history(spark, out).collect()
+
+    status = chain.run_chain(spark, rows, out, reference, buckets=2)
+    assert [status[s] for s in chain.STEPS] == ["REUSED"] * 3 + ["SUCCESS"] * 3
+    (run,) = chain.run_history(spark, out).collect()
+    assert (run.run_id, run.status) == (first.run_id, "SUCCESS")
+    assert chain.quality_history(spark, out).collect() == [before]  # told once
+    assert (before.total_rows, before.valid_rows, before.total_violations) == (21, 20, 1)
+    assert [(r.rule_name, r.violation_count) for r in chain.rule_history(spark, out).collect()] == [("invalid_category", 1)]
+    assert {r.rows for r in chain.chain_status(spark, out).collect()} == {20, 21}
+
+    star = chain.StoredStar(spark, out, reference)
+    joined = star.fact_hospitalization().join(star.fact_readmission(), "encounter_key")
+    with_broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", with_broadcast)
+    assert "Exchange" not in plan
+
+    # a run that fails is closed and stays; the step it stopped at is told
+    with pytest.raises(ValueError):
+        chain.run_chain(spark, rows.drop("age"), out, reference, buckets=2)
+    assert sorted(r.status for r in chain.run_history(spark, out).collect()) == ["FAILED", "SUCCESS"]
+    assert [r.status for r in chain.chain_status(spark, out).orderBy("position").collect()] == ["FAILED"] + ["PENDING"] * 5
+    assert {r.status for r in chain.import_history(spark, out).collect()} == {"FAILED", "SUCCESS"}
+
+
+def test_an_event_told_again_replaces_itself(spark, tmp_path):
+    store = ledger.EventStore(spark, str(tmp_path))
+    assert store.events("etl").isEmpty()
+    for n in (1, 2):
+        store.tell("etl", "12e4", "opened", "RUNNING", {"rows": n, "note": None})  # an id that looks like a number
+    store.tell("etl", "7", "opened", "RUNNING", {"rows": 5})
+    store.tell("etl", "7", "closed", "SUCCESS", spark.range(1).selectExpr("6 AS rows", "CAST(NULL AS STRING) AS note"))
+    got = store.runs("etl", {"rows": "bigint", "note": "string"}).collect()
+    assert {(r.run_id, r.status, r.rows, r.note) for r in got} == {("12e4", "RUNNING", 2, None), ("7", "SUCCESS", 6, None)}
+
+
+def test_a_fingerprint_of_rows_counts_copies_and_ignores_order(spark):
+    one = spark.createDataFrame([(1, "a"), (1, "a"), (2, None)], "id int, v string")
+    other = spark.createDataFrame([(2, None), (1, "a"), (1, "a")], "id int, v string").repartition(3)
+    assert chain.rows_fingerprint(one) == chain.rows_fingerprint(other)
+    assert chain.rows_fingerprint(one) != chain.rows_fingerprint(one.distinct())
+    assert chain.rows_fingerprint(one.limit(0)) != chain.rows_fingerprint(one)
