@@ -598,6 +598,11 @@ SQL["stored_layer_counts"] = "SELECT count(*) AS row_count, count(DISTINCT o_cus
 SQL["bound_parameters"] = ("SELECT o_custkey, count(*) AS orders FROM orders WHERE o_orderkey % 7 <> 3 "
                            "GROUP BY o_custkey")
 SQL["replaced_table"] = "SELECT * FROM supplier"
+SQL["versioned_table"] = "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 <> 0"
+SQL["written_file_hashes"] = """
+SELECT part, octet_length(encode(content)) AS length, sha256(content) AS sha256 FROM (
+  SELECT o_orderkey // 1000 AS part, string_agg(o_orderkey || '|' || o_custkey || chr(10), '' ORDER BY o_orderkey) AS content
+  FROM orders GROUP BY 1)"""
 SQL["refilled_table"] = "SELECT * FROM part"
 SQL["mart_views"] = ("SELECT gender, race, CAST(sum(total_encounters) AS BIGINT) AS encounters FROM mart_patients "
                      "GROUP BY gender, race")
@@ -619,16 +624,21 @@ WITH stays AS (
     CASE WHEN o.o_orderkey % 5 = 0 THEN NULL ELSE CAST(o.o_orderkey % 60 AS VARCHAR) END
       AS delai_depuis_derniere_hosp_jours
   FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
-  GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey)
+  GROUP BY o.o_orderkey, o.o_orderdate, o.o_custkey),
+first_entry AS (SELECT arg_min(date_entree, stay_id) FILTER (date_entree <> '') AS text FROM stays),
+dated AS (SELECT stays.* REPLACE (CASE
+    WHEN regexp_full_match(text, '\\d{4}-\\d{2}-\\d{2}') THEN try_strptime(date_entree, '%Y-%m-%d')
+    WHEN regexp_full_match(text, '\\d{4}-\\d{2}-\\d{2} \\d{2}:\\d{2}:\\d{2}') THEN try_strptime(date_entree, '%Y-%m-%d %H:%M:%S')
+    ELSE TRY_CAST(date_entree AS TIMESTAMP) END AS date_entree) FROM stays, first_entry)
 SELECT * FROM (
-  SELECT stay_id, CAST(CAST(TRY_CAST(date_entree AS TIMESTAMP) AS DATE) AS VARCHAR) AS date_entree, date_sortie,
+  SELECT stay_id, CAST(CAST(date_entree AS DATE) AS VARCHAR) AS date_entree, date_sortie,
     TRY_CAST(age AS DOUBLE) AS age,
     CASE lower(trim(diabete, ' ' || chr(9) || chr(10))) WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS diabete,
     CASE upper(trim(sexe)) WHEN 'H' THEN 1 WHEN 'F' THEN 0 END AS sexe,
     CASE trim(rehospitalise_30j, chr(9)) WHEN 'oui' THEN 1 WHEN 'non' THEN 0 END AS rehospitalise_30j,
     coalesce(TRY_CAST(delai_depuis_derniere_hosp_jours AS DOUBLE), 999.0) AS delai_depuis_derniere_hosp_jours,
-    CAST(CAST(date_sortie AS DATE) - CAST(TRY_CAST(date_entree AS TIMESTAMP) AS DATE) AS DOUBLE) AS duree_sejour
-  FROM stays)
+    CAST(CAST(date_sortie AS DATE) - CAST(date_entree AS DATE) AS DOUBLE) AS duree_sejour
+  FROM dated)
 WHERE age IS NOT NULL AND date_entree IS NOT NULL AND date_sortie IS NOT NULL AND rehospitalise_30j IS NOT NULL"""
 SQL["quality_report"] = f"""
 SELECT CAST(to_json({{

@@ -1010,6 +1010,34 @@ def refilled_table(L):
     return L.spark.table(name)
 
 
+@query
+def versioned_table(L):
+    """A table replaced by a frame that reads it, beside replacements that fail and leave it as it is."""
+    name, path = f"stayloom_versioned_{uuid.uuid4().hex}", _place(L, "versioned")
+    orders = L.input("orders").select("o_orderkey", "o_custkey")
+    files.replace_table(orders, name, path)
+    files.replace_table(L.spark.table(name).filter("o_orderkey % 3 <> 0"), name, path)
+    for refused in (orders.limit(0), orders.select("o_orderkey", F.assert_true(F.lit(False)).cast("int").alias("o_custkey"))):
+        try:
+            files.replace_table(refused, name, path)
+        except Exception:  # what is shown here: the old rows stay
+            continue
+        raise AssertionError("the replacement must fail")
+    return L.spark.table(name)
+
+
+@query
+def written_file_hashes(L):
+    """Orders written as one text file per thousand keys, then the size and SHA-256 of every file."""
+    path = _place(L, "order-files")
+    lines = L.input("orders").select((F.col("o_orderkey") / 1000).cast("bigint").alias("part"), "o_orderkey", F.concat_ws(
+        "|", "o_orderkey", "o_custkey").alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "o_orderkey").select("value", "part").write.partitionBy(
+        "part").text(path)
+    return files.file_hashes(L.spark, path, "part-*").select(
+        F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint").alias("part"), "length", "sha256")
+
+
 @query
 def mart_views(L):
     """A mart through its registered view."""
@@ -1030,7 +1058,7 @@ def numbered_rows(L):
 @query
 def legacy_clean(L):
     stays = inputs.legacy_stays(L.input("orders"), L.input("lineitem"))
-    return legacy.legacy_clean(stays).withColumns({c: F.col(c).cast("string") for c in legacy.DATES})
+    return legacy.legacy_clean(stays, "stay_id").withColumns({c: F.col(c).cast("string") for c in legacy.DATES})
 
 
 @query

@@ -17,10 +17,15 @@ NUMBERS = ("age", "duree_sejour", "creatinine_mg_l", "uree_g_l", "potassium_mmol
            "score_risque_clinique", "delai_rehospitalisation_jours")
 FILLS = {"duree_hospitalisation_precedente_moy": 0.0, "delai_depuis_derniere_hosp_jours": 999.0,
          "delai_rehospitalisation_jours": 0.0}
+#: Formats the first date of a column may elect, tried in this order: 1/2/1999 is the second of January, 25/2/1999 can
+#: only begin with the day.
 DATE_FORMATS = (
-    "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm",
-    "yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy/MM/dd", "yyyy/MM/dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "yyyyMMdd",
+    "yyyy-M-d", "yyyy-M-d H:m:s", "yyyy-M-d H:m", "yyyy-M-d'T'H:m:s", "yyyy-M-d'T'H:m", "yyyy-M-d H:m:s.SSSSSS",
+    "yyyy-M-d'T'H:m:s.SSSSSS", "yyyy/M/d", "yyyy/M/d H:m:s", "M/d/yyyy", "M/d/yyyy H:m:s", "d/M/yyyy", "d/M/yyyy H:m:s",
+    "yyyyMMdd",
 )
+#: Texts that stand for no date at all; they elect nothing.
+NO_DATE = ("", "nan", "NaN", "NAN", "nat", "NaT", "NAT")
 NUMBER_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 NEEDED = ("age", "date_entree", "date_sortie", "rehospitalise_30j")
 
@@ -29,10 +34,38 @@ def lower_names(df: DataFrame) -> DataFrame:
     return df.toDF(*(c.strip().lower() for c in df.columns))
 
 
-def lenient_date(c: str) -> Column:
-    """Day of a date in any of DATE_FORMATS, with or without a time; anything else is unknown."""
-    text = strip(c)
-    return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in DATE_FORMATS)).cast("date")
+def _in_format(text: Column, number: int) -> Column:
+    return F.try_to_timestamp(text, F.lit(DATE_FORMATS[number]))
+
+
+def elected_formats(df: DataFrame, columns, row_order: Column) -> dict[str, Column]:
+    """For each column, the number in DATE_FORMATS of the format of its first date in row order, from one scalar subquery.
+
+    -1 where that first text has none of the formats. One pass over the date columns, with partial aggregates.
+    """
+    named = df.select(row_order.alias("_row"), *columns)
+    firsts = named.agg(*(F.min(F.when(
+        F.col(c).isNotNull() & ~F.col(c).isin(*NO_DATE), F.struct("_row", F.col(c).alias("text")))).alias(c)
+        for c in columns))
+
+    def number(text: Column) -> Column:
+        return F.coalesce(*(F.when(_in_format(text, i).isNotNull(), i) for i in range(len(DATE_FORMATS))), F.lit(-1))
+
+    numbers = firsts.select(F.struct(*(number(F.col(f"{c}.text")).alias(c) for c in columns)).alias("n")).scalar()
+    return {c: numbers.getField(c) for c in columns}
+
+
+def lenient_date(c: str, elected: Column | None = None) -> Column:
+    """Day of a date in the elected format; any other text is unknown. Without an elected format every text is read by
+    the first of DATE_FORMATS it has. Only the branch of the elected format is evaluated."""
+    text = F.col(c)
+    each = F.coalesce(*(_in_format(text, i) for i in range(len(DATE_FORMATS))))
+    if elected is None:
+        return each.cast("date")
+    read = F.when(elected == -1, each)
+    for i in range(len(DATE_FORMATS)):
+        read = read.when(elected == i, _in_format(text, i))
+    return read.cast("date")
 
 
 def lenient_number(c: str) -> Column:
@@ -51,10 +84,16 @@ def sex_code(c: str) -> Column:
     return F.when(text == "H", 1).when(text == "F", 0)
 
 
-def legacy_clean(df: DataFrame) -> DataFrame:
-    """The whole chain. Columns the extract does not have are left alone, fills included."""
+def legacy_clean(df: DataFrame, row_order: str | None = None) -> DataFrame:
+    """The whole chain. Columns the extract does not have are left alone, fills included.
+
+    The first date of a column, by ``row_order``, decides the format of the column; dates in any other are unknown.
+    Without a column to order by, rows count in the order they are read, which is that of the file.
+    """
     df = lower_names(df)
-    df = df.withColumns({c: lenient_date(c) for c in DATES})
+    order = F.col(row_order) if row_order else F.monotonically_increasing_id()
+    elected = elected_formats(df, DATES, order)
+    df = df.withColumns({c: lenient_date(c, elected[c]) for c in DATES})
     if "duree_sejour" not in df.columns:
         df = df.withColumn("duree_sejour", F.datediff("date_sortie", "date_entree"))
     changed = {c: yes_no(c) for c in YES_NO if c in df.columns}

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
-
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+import json
+import re
+import uuid
+from collections.abc import Iterable, Iterator, Mapping
+
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import null_if_token
+from ..functions.text import ident, literal, null_if_token
 from ..plans.warehouse import absent_only
 from ..schema import SOURCE_FILE_NAME
-from ..session import staged
 
 # --- readers -----------------------------------------------------------------------------------------------------
 
@@ -24,10 +28,38 @@ def read_csv_text(spark: SparkSession, path: str, columns: Iterable[str] | None
     return reader.csv(path)
 
 
-def read_csv_inferred(spark: SparkSession, path: str, sampling_ratio: float = 1.0) -> DataFrame:
-    """Delimited file with inferred types; a sample keeps the extra pass short on large files."""
-    return spark.read.option("header", True).option("inferSchema", True).option(
-        "samplingRatio", sampling_ratio).csv(path)
+_WHOLE, _NUMBER = r"^[+-]?[0-9]+\z", r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
+#: Types a column of text is tried for, narrowest first, and the form their texts have in a file.
+INFERRED_TYPES = {
+    "int": _WHOLE, "bigint": _WHOLE, "double": _NUMBER, "timestamp": r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([ T][0-9:.]+)?\z",
+    "boolean": r"^(?i:true|false)\z"}
+INFERENCE_ROWS = 10_000
+
+
+def inferred_types(df: DataFrame) -> dict[str, str]:
+    """Narrowest type that every non-NULL value of a text column has; ``string`` where none fits or no value is known."""
+    if not df.columns:
+        return {}
+    fits = [(c, t) for c in df.columns for t in INFERRED_TYPES]
+    row = df.agg(*(F.count(F.col(ident(c))).alias(f"known{i}") for i, c in enumerate(df.columns)),
+                 *(F.count(F.when(F.col(ident(c)).rlike(INFERRED_TYPES[t]), F.col(ident(c)).try_cast(t))).alias(f"fit{i}")
+                   for i, (c, t) in enumerate(fits))).first()
+    fitting = {pair: row[f"fit{i}"] for i, pair in enumerate(fits)}
+    return {c: next((t for t in INFERRED_TYPES if row[f"known{i}"] and fitting[c, t] == row[f"known{i}"]), "string")
+            for i, c in enumerate(df.columns)}
+
+
+def read_csv_inferred(spark: SparkSession, path: str, head: int = INFERENCE_ROWS) -> DataFrame:
+    """Delimited file with types inferred from its first ``head`` rows, then read once with those types.
+
+    The head is the only part that reaches the driver. A later value that is not of the inferred type is an error when
+    the rows are read, not a NULL. Of several files, the head comes from the one Spark reads first (the largest).
+    """
+    text = read_csv_text(spark, path)
+    first = spark.createDataFrame(text.take(head), text.schema)
+    types = inferred_types(first)
+    declared = ", ".join(f"{ident(c)} {t}" for c, t in types.items())
+    return spark.read.option("header", True).option("escape", '"').option("mode", "FAILFAST").schema(declared).csv(path)
 
 
 def read_csv_null_tokens(spark: SparkSession, path: str, tokens: Iterable[str],
@@ -68,26 +100,70 @@ def write_layer(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     df.write.mode(mode).option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
-def replace_table(df: DataFrame, table: str, **options: str) -> int:
+def _write_version(df: DataFrame, folder: str, **options: str) -> tuple[str, int]:
+    """Write a new version of a table below its folder and reconcile it: the rows that passed into the write against
+    those the files hold. Returns its path and its rows."""
+    path, passed = f"{folder}/v-{uuid.uuid4().hex}", Observation()
+    df.observe(passed, F.count(F.lit(1)).alias("rows")).write.options(**{"compression": "zstd", **options}).parquet(path)
+    written, stored = passed.get["rows"], df.sparkSession.read.schema(df.schema).parquet(path).count()
+    if stored != written:
+        raise ValueError(f"{path}: {written} rows written, {stored} stored")
+    return path, stored
+
+
+def _versions_folder(spark: SparkSession, table: str, path: str | None) -> str:
+    return path or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table}_versions"
+
+
+def _publish(spark: SparkSession, table: str, schema: T.StructType, version: str) -> None:
+    """Let the table point at a version. For an unchanged schema that is one change in the catalog; the version before
+    stays on disk for readers that have begun, its place noted in the table."""
+    def define(columns: T.StructType, path: str) -> None:
+        named = ", ".join(f"{ident(f.name)} {f.dataType.simpleString()}" for f in columns)
+        spark.sql(f"CREATE TABLE {table} ({named}) USING parquet LOCATION {literal(path)}")
+
+    if not spark.catalog.tableExists(table):
+        define(schema, version)
+        return
+    old = spark.table(table).schema
+    told = json.loads(spark.sql(f"DESCRIBE TABLE EXTENDED {table} AS JSON").first()[0])
+    if [(f.name, f.dataType) for f in old] == [(f.name, f.dataType) for f in schema]:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {literal(version)}")
+    else:  # another schema needs another definition; only the catalog entry goes, and it comes back if this fails
+        if told["type"] != "EXTERNAL":
+            raise ValueError(f"{table} is a managed table of another schema: dropping it would delete its rows")
+        spark.sql(f"DROP TABLE {table}")
+        try:
+            define(schema, version)
+        except Exception:
+            define(old, told["location"])
+            raise
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('stayloom.previous' = {literal(told['location'])})")
+    spark.catalog.refreshTable(table)
+
+
+def replace_table(df: DataFrame, table: str, path: str | None = None, **options: str) -> int:
     """Replace a table and reconcile: an empty frame or a differing stored count is an error.
 
-    The rows are staged and counted first, so an empty frame leaves the old table as it is, and the input is not
-    computed a second time.
+    The rows become a new version below ``path`` (default: beside the warehouse's tables), written and counted before
+    the table is pointed at it. A write or a count that fails leaves the old table readable as it was. The frame is
+    computed and written once, and it may read the very table it replaces.
     """
-    ready = staged(df, "replacement")
-    written = ready.count()
-    if written == 0:
+    version, stored = _write_version(df, _versions_folder(df.sparkSession, table, path), **options)
+    if stored == 0:
         raise ValueError(f"nothing to store in {table}")
-    ready.write.mode("overwrite").options(**options).saveAsTable(table)
-    stored = df.sparkSession.table(table).count()
-    if stored != written:
-        raise ValueError(f"{table}: {written} rows written, {stored} stored")
+    _publish(df.sparkSession, table, df.schema, version)
     return stored
 
 
-def truncate_insert(df: DataFrame, table: str) -> None:
-    """Empty an existing table and fill it; the columns are matched by position, as the table declares them."""
-    df.select(*df.sparkSession.table(table).columns).write.insertInto(table, overwrite=True)
+def truncate_insert(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Empty an existing table and fill it, as one change: the rows become a new version. Columns are matched by name,
+    in the order and the types the table declares. No rows leave an empty table."""
+    spark = df.sparkSession
+    schema = spark.table(table).schema
+    rows = df.select(*(F.col(ident(f.name)).cast(f.dataType).alias(f.name) for f in schema))
+    version, _ = _write_version(rows, _versions_folder(spark, table, path))
+    _publish(spark, table, schema, version)
 
 
 def insert_absent(df: DataFrame, table: str, key: str) -> None:
@@ -153,11 +229,41 @@ def newest_file(spark: SparkSession, folder: str, glob: str, explicit: str | Non
     return row["p"]
 
 
+CHUNK_BYTES = 1 << 20
+
+
+def _hash_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
+
+    stores = {}
+    for batch in batches:
+        digests = []
+        for path in batch["path"]:
+            # Spark gives paths as they are, not escaped as in a URI: only the store is opened by URI
+            root, place = re.match(r"((?:[^/]+://[^/]*)?)/*(.*)", path, re.DOTALL).groups()
+            if root not in stores:
+                stores[root] = fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", f"{root or 'file://'}/"))
+            store, base = stores[root]
+            digest = hashlib.sha256()
+            with store.open_input_stream(f"{base.rstrip('/')}/{place}", compression=None) as stream:
+                while chunk := stream.read(CHUNK_BYTES):
+                    digest.update(chunk)
+            digests.append(digest.hexdigest())
+        yield batch.assign(sha256=digests)
+
+
 def file_hashes(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """SHA-256 of every file. A hash is sequential by nature, so a file is one record, many files run in parallel."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", glob).option(
-        "recursiveFileLookup", "true").load(path).select(
-        "path", "length", F.sha2("content", 256).alias("sha256"))
+    """SHA-256 of every file, whatever its size: a task streams its files in pieces of ``CHUNK_BYTES``.
+
+    A hash is sequential by nature, so a file is read by one task; many files run in parallel, dealt by path. Only paths
+    and sizes pass between Spark and Python. Empty files are not listed by Spark and have no row. Files are opened by URI with pyarrow, which knows local files, HDFS and the
+    usual object stores.
+    """
+    # Spark lists local files as file:/x, without the empty authority
+    listed = list_files(spark, path, glob).select(
+        F.regexp_replace("path", "^file:/(?!/)", "file:///").alias("path"), "length")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return listed.repartition(parts, "path").mapInPandas(_hash_files, "path string, length bigint, sha256 string")
 
 
 def admission(files: DataFrame, expected_name: str = SOURCE_FILE_NAME, name="path", size="length") -> DataFrame:

@@ -1,6 +1,8 @@
 import datetime
 import hashlib
+import warnings
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,6 +170,65 @@ def test_tables(spark, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_failing_replacement_leaves_the_old_table(spark, tmp_path):
+    name, path = f"stayloom_versions_{tmp_path.name.replace('-', '_')}", str(tmp_path / "t")
+    files.replace_table(spark.range(5), name, path)
+    broken = spark.range(3).select(F.assert_true(F.col("id") < 2).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="USER_RAISED_EXCEPTION"):
+        files.replace_table(broken, name, path)
+    assert spark.table(name).count() == 5
+    files.replace_table(spark.table(name).filter("id > 1"), name, path)  # reads what it replaces
+    assert {r.id for r in spark.table(name).collect()} == {2, 3, 4}
+    files.replace_table(spark.range(2).selectExpr("id", "'x' AS v"), name, path)  # another schema
+    assert [tuple(r) for r in spark.table(name).orderBy("id").collect()] == [(0, "x"), (1, "x")]
+    files.truncate_insert(spark.table(name).limit(0), name, path)
+    assert spark.table(name).isEmpty() and spark.table(name).columns == ["id", "v"]
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_types_come_from_the_head_and_later_misfits_are_errors(spark, tmp_path):
+    rows = [f"{i},{i}.5,{i + 2**40},2020-01-02,true,a{i}, {i},1d,NaN," for i in range(20)]
+    (tmp_path / "t.csv").write_text("\n".join(["a,b,c,d,e,f,g,h,i,j", *rows]) + "\n")
+    got = files.read_csv_inferred(spark, str(tmp_path / "t.csv"), head=10)
+    assert [t for _, t in got.dtypes] == ["int", "double", "bigint", "timestamp", "boolean", *["string"] * 5]
+    assert got.agg(F.sum("a")).first()[0] == 190
+    (tmp_path / "m.csv").write_text("\n".join(["a", *map(str, range(10_000)), "late"]) + "\n")
+    late = files.read_csv_inferred(spark, str(tmp_path / "m.csv"))
+    assert late.dtypes == [("a", "int")]
+    with pytest.raises(Exception, match="MALFORMED"):
+        late.collect()
+    (tmp_path / "e.csv").write_text("a,b\n")
+    assert files.read_csv_inferred(spark, str(tmp_path / "e.csv")).dtypes == [("a", "string"), ("b", "string")]
+
+
+def test_files_are_hashed_in_pieces(spark, tmp_path):
+    whole = bytes(range(256)) * (3 * files.CHUNK_BYTES // 256) + b"end"
+    (tmp_path / "large one.bin").write_bytes(whole)
+    (tmp_path / "none.bin").write_bytes(b"")
+    got = {r.length: r.sha256 for r in files.file_hashes(spark, str(tmp_path)).collect()}
+    assert got == {len(whole): hashlib.sha256(whole).hexdigest()}  # Spark does not list empty files
+    batch = next(files._hash_files(iter([pd.DataFrame({"path": [str(tmp_path / "none.bin")], "length": [0]})])))
+    assert batch.sha256[0] == hashlib.sha256(b"").hexdigest()
+
+
+@pytest.mark.parametrize("texts", [
+    ["1996-01-02", "1996-01-03 08:30:00", "01/02/1996", "1996-1-4", " 1996-01-05"],
+    [None, "", "1996-01-02 08:30:00", "1996-01-03", "1996-01-04 09:00:00"],
+    ["01/02/1996", "1996-01-02", "13/02/1996", "1/3/1996"],
+    ["25/02/1996", "01/02/1996", "02/25/1996"],
+    ["19960102", "1996-01-02", "19960103"],
+    ["n/a", "1996-01-02", "1996-01-03 08:30:00", "01/02/1996"],  # elects nothing: each for itself
+    ["", None], ["NaT", "1996/01/02", "1996-01-02"],
+])
+def test_the_first_date_elects_the_format(spark, texts):
+    with warnings.catch_warnings():
+        warnings.simplefilter("ignore")
+        want = [None if pd.isna(x) else x.date() for x in pd.to_datetime(pd.Series(texts, dtype=object), errors="coerce")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, d string").repartition(3)
+    elected = legacy.elected_formats(df, ["d"], F.col("n"))
+    assert [r.d for r in df.select("n", legacy.lenient_date("d", elected["d"]).alias("d")).orderBy("n").collect()] == want
+
+
 def test_legacy(spark):
     df = spark.createDataFrame([
         ("2020-01-01", "2020-01-04", "40", " OUI ", "h", "oui", None),
