@@ -20,6 +20,7 @@ from ..operators.order import quantiles, running_total
 from ..schema import (EXCLUDED_DISCHARGES, HIGH_RISK_QUANTILE, MEDIUM_RISK_QUANTILE, MODEL_CATEGORICAL, MODEL_NUMERIC,
                       MODEL_TARGET)
 from ..session import staged
+from . import trees
 
 SEED, TEST_SHARE = 42, 0.2
 
@@ -104,6 +105,7 @@ def standardise(rows: DataFrame, columns: Sequence[str] = MODEL_NUMERIC) -> Data
 #: fitted model must not depend on files or cores. A round of boosting is a handful of jobs of that many tasks, so a
 #: deployment sets it by the size of its training rows (some 100 MB of vectors a partition).
 TRAIN_PARTITIONS = 4
+TREE_DEPTHS = {"random_forest": 12, "boosted_trees": 6}
 #: Memory for the histograms of the nodes that one job grows; more of it means fewer jobs for a tree.
 NODE_MEMORY_MB = 1024
 
@@ -131,8 +133,8 @@ def candidate_models(weight_sum: float, forest_trees: int = 300, boosting_rounds
     return {
         "logistic_regression": LogisticRegression(
             maxIter=1000, regParam=1.0 / weight_sum, elasticNetParam=0.0, standardization=False, **shared),
-        "random_forest": RandomForestClassifier(numTrees=forest_trees, maxDepth=12, **grown),
-        "boosted_trees": GBTClassifier(maxIter=boosting_rounds, maxDepth=6, stepSize=0.05, **grown),
+        "random_forest": RandomForestClassifier(numTrees=forest_trees, maxDepth=TREE_DEPTHS["random_forest"], **grown),
+        "boosted_trees": GBTClassifier(maxIter=boosting_rounds, maxDepth=TREE_DEPTHS["boosted_trees"], stepSize=0.05, **grown),
     }
 
 
@@ -251,6 +253,8 @@ def train_and_store(train: DataFrame, test: DataFrame, folder: str, partitions:
             stages, vectors = prepared = prepared or training_vectors(train, partitions)
             model = PipelineModel(stages=[*stages, candidate.fit(vectors)])
             model.write().overwrite().save(f"{folder}/{name}")
+            if name in TREE_DEPTHS:
+                _store_trees(spark, folder, name, len(model.stages) - 1)
             scored = staged(score(model, test).withColumnRenamed(MODEL_TARGET, "y_true"), "held-out-scores")
             evaluation(scored).write.mode("overwrite").parquet(path)
         evaluations[name] = spark.read.parquet(path)
@@ -259,6 +263,26 @@ def train_and_store(train: DataFrame, test: DataFrame, folder: str, partitions:
     return report.filter("is_best").first()["model_name"], report  # one row
 
 
+def _store_trees(spark: SparkSession, folder: str, name: str, stage: int) -> None:
+    """The trees of a stored candidate as tables: ``trees/<name>/nodes`` and ``trees/<name>/leaves``."""
+    # a stored pipeline numbers the folders of its stages, with as many digits as the number of stages has
+    (place,) = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(
+        f"{folder}/{name}/stages").select(F.regexp_extract("path", f"^(.*/stages/0*{stage}_[^/]+)/", 1).alias("path"))
+        .filter("path <> ''").distinct().collect()]  # one folder
+    out = f"{folder}/trees/{name}"
+    trees.node_table(spark, place, name == "boosted_trees").write.mode("overwrite").parquet(f"{out}/nodes")
+    nodes = spark.read.parquet(f"{out}/nodes")
+    trees.leaf_table(nodes, TREE_DEPTHS[name]).write.mode("overwrite").parquet(f"{out}/leaves")
+
+
+def rescore(folder: str, name: str, rows: DataFrame) -> DataFrame:
+    """Scores of a stored ensemble from its node table, by SQL expressions: ``encounter_id, score``."""
+    vectors = PipelineModel(stages=load_model(folder, name).stages[:-1]).transform(rows)
+    nodes = rows.sparkSession.read.parquet(f"{folder}/trees/{name}/nodes")
+    return trees.rescored(vectors.select("encounter_id", "features"), nodes, TREE_DEPTHS[name],
+                          name == "boosted_trees").select("encounter_id", "score")
+
+
 def load_model(folder: str, name: str) -> PipelineModel:
     return PipelineModel.load(f"{folder}/{name}")
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stayloom.operators import ledger
-from stayloom.plans import legacy, ml
+from stayloom.plans import legacy, ml, trees
 from stayloom.sources import files
 
 
@@ -240,3 +240,32 @@ def test_legacy(spark):
     assert len(rows) == 1
     row = rows[0]
     assert (row.duree_sejour, row.age, row.diabete, row.sexe, row.delai_depuis_derniere_hosp_jours) == (3, 40, 1, 1, 999)
+
+
+def test_stored_trees_give_the_scores_and_the_gradient_is_zero(spark, layers, tmp_path):
+    train, test = layers.train_and_test()
+    folder = str(tmp_path)
+    ml.train_and_store(train, test, folder, forest_trees=3, boosting_rounds=3)
+    for name in ("random_forest", "boosted_trees"):
+        own = ml.score(ml.load_model(folder, name), test).select("encounter_id", F.col("score").alias("own"))
+        both = ml.rescore(folder, name, test).join(own, "encounter_id")
+        row = both.agg(F.count("*").alias("n"), F.max(F.abs(F.col("score") - F.col("own"))).alias("d")).first()
+        assert row.n == test.count() and row.d < 1e-12
+        leaves, nodes = (spark.read.parquet(f"{folder}/trees/{name}/{t}") for t in ("leaves", "nodes"))
+        assert leaves.count() == nodes.filter("feature < 0").count()
+        # every row lies in exactly one leaf of a tree, and it is the leaf with the value that was scored
+        vectors = ml.PipelineModel(stages=ml.load_model(folder, name).stages[:-1]).transform(test).select(
+            "encounter_id", trees.vector_to_array("features").alias("x")).limit(40)
+        inside = F.forall("path", lambda p: F.coalesce(F.get("x", p["feature"]) > p["above"], F.lit(True)) & F.coalesce(
+            F.get("x", p["feature"]) <= p["upto"], F.lit(True)))
+        met = vectors.join(F.broadcast(leaves), inside).groupBy("encounter_id").agg(
+            F.count("*").alias("n"), F.countDistinct("tree").alias("t"),
+            F.sum(F.col("weight") * F.col("value")).alias("total"), F.sum("weight").alias("weight"))
+        chance = F.col("total") / F.col("weight") if name == "random_forest" else 1 / (1 + F.exp(-2 * F.col("total")))
+        checked = met.join(own, "encounter_id").select("n", "t", F.abs(chance - F.col("own")).alias("d")).collect()
+        assert len(checked) == 40 and all((r.n, r.t) == (3, 3) and r.d < 1e-12 for r in checked)
+    model = ml.load_model(folder, "logistic_regression")
+    vectors = ml.PipelineModel(stages=model.stages[:-1]).transform(ml.weighted(train))
+    slopes = trees.logistic_gradient(vectors, model.stages[-1], ml.MODEL_TARGET, "class_weight")
+    row = slopes.agg(F.count("*").alias("n"), F.max(F.abs("gradient")).alias("g")).first()
+    assert row.n == model.stages[-1].numFeatures + 1 and row.g < 1e-4
