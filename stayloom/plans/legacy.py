@@ -27,6 +27,7 @@ DATE_FORMATS = (
 #: Texts that stand for no date at all; they elect nothing.
 NO_DATE = ("", "nan", "NaN", "NAN", "nat", "NaT", "NAT")
 NUMBER_TEXT = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+_ELECTED = "_elected_formats"
 NEEDED = ("age", "date_entree", "date_sortie", "rehospitalise_30j")
 
 
@@ -38,8 +39,9 @@ def _in_format(text: Column, number: int) -> Column:
     return F.try_to_timestamp(text, F.lit(DATE_FORMATS[number]))
 
 
-def elected_formats(df: DataFrame, columns, row_order: Column) -> dict[str, Column]:
-    """For each column, the number in DATE_FORMATS of the format of its first date in row order, from one scalar subquery.
+def elected_formats(df: DataFrame, columns, row_order: Column) -> Column:
+    """A struct with, for each column, the number in DATE_FORMATS of the format of its first date in row order: a scalar
+    subquery. Keep it as a column of the table before its fields are used, so that it is planned once.
 
     -1 where that first text has none of the formats. One pass over the date columns, with partial aggregates.
     """
@@ -51,8 +53,7 @@ def elected_formats(df: DataFrame, columns, row_order: Column) -> dict[str, Colu
     def number(text: Column) -> Column:
         return F.coalesce(*(F.when(_in_format(text, i).isNotNull(), i) for i in range(len(DATE_FORMATS))), F.lit(-1))
 
-    numbers = firsts.select(F.struct(*(number(F.col(f"{c}.text")).alias(c) for c in columns)).alias("n")).scalar()
-    return {c: numbers.getField(c) for c in columns}
+    return firsts.select(F.struct(*(number(F.col(f"{c}.text")).alias(c) for c in columns)).alias("n")).scalar()
 
 
 def lenient_date(c: str, elected: Column | None = None) -> Column:
@@ -62,10 +63,10 @@ def lenient_date(c: str, elected: Column | None = None) -> Column:
     each = F.coalesce(*(_in_format(text, i) for i in range(len(DATE_FORMATS))))
     if elected is None:
         return each.cast("date")
-    read = F.when(elected == -1, each)
+    readers = F.when(elected == -1, each)
     for i in range(len(DATE_FORMATS)):
-        read = read.when(elected == i, _in_format(text, i))
-    return read.cast("date")
+        readers = readers.when(elected == i, _in_format(text, i))
+    return readers.cast("date")
 
 
 def lenient_number(c: str) -> Column:
@@ -92,8 +93,8 @@ def legacy_clean(df: DataFrame, row_order: str | None = None) -> DataFrame:
     """
     df = lower_names(df)
     order = F.col(row_order) if row_order else F.monotonically_increasing_id()
-    elected = elected_formats(df, DATES, order)
-    df = df.withColumns({c: lenient_date(c, elected[c]) for c in DATES})
+    df = df.withColumn(_ELECTED, elected_formats(df, DATES, order))
+    df = df.withColumns({c: lenient_date(c, F.col(_ELECTED)[c]) for c in DATES}).drop(_ELECTED)
     if "duree_sejour" not in df.columns:
         df = df.withColumn("duree_sejour", F.datediff("date_sortie", "date_entree"))
     changed = {c: yes_no(c) for c in YES_NO if c in df.columns}

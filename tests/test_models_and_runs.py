@@ -225,8 +225,9 @@ def test_the_first_date_elects_the_format(spark, texts):
         warnings.simplefilter("ignore")
         want = [None if pd.isna(x) else x.date() for x in pd.to_datetime(pd.Series(texts, dtype=object), errors="coerce")]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, d string").repartition(3)
-    elected = legacy.elected_formats(df, ["d"], F.col("n"))
-    assert [r.d for r in df.select("n", legacy.lenient_date("d", elected["d"]).alias("d")).orderBy("n").collect()] == want
+    rows = df.withColumn("elected", legacy.elected_formats(df, ["d"], F.col("n")))
+    got = rows.select("n", legacy.lenient_date("d", F.col("elected")["d"]).alias("d")).orderBy("n").collect()
+    assert [r.d for r in got] == want
 
 
 def test_legacy(spark):
