@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 from ..functions.numbers import half_up, percent, ratio
 from ..functions.text import ident, literal
 from ..schema import SEVERITY_BANDS
-from .order import quantiles
+from .order import repeated_keys
 from .quality import column_types, long_counts
 from .reshape import melt
+from .selection import select_quantiles
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -108,8 +109,14 @@ def category_summaries(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
-    """Rows after the first copy of each distinct row."""
-    return df.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(
+    """Rows after the first copy of each distinct row.
+
+    A hash of the row goes first: only rows whose hash is repeated are compared in full, and only they are shuffled.
+    """
+    probe = df.withColumn("_probe", F.xxhash64(*df.columns))
+    again = repeated_keys(probe, "_probe").select(F.col("_probe").alias("_again"))
+    candidates = probe.join(again, F.col("_probe") == F.col("_again"), "left_semi")
+    return candidates.groupBy(*df.columns).agg(F.count("*").alias("n")).agg(
         F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_row_count"))
 
 
@@ -162,21 +169,31 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, kind: str = "d
     """Count, NULLs, mean, sample standard deviation, minimum, quartiles (nearest rank), maximum per column.
 
     With a decimal ``kind`` the sums are exact, so the result does not depend on how the rows are split over tasks;
-    choose one that holds every digit of the columns.
+    choose one that holds every digit of the columns in at most 18 digits. One scan sums all columns; the quartiles come
+    from radix selection, whose scans run here. A table without rows has no description.
     """
     columns = list(columns or numeric_columns(df))
-    long = melt(df, [], columns, "column_name", "value", kind)
-    v = F.col("value")
-    square = v * v if kind == "double" else (v * v).cast("decimal(38,8)")
-    sums = long.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.count_if(v.isNull()).alias("null_count"),
-        F.sum(v).cast("double").alias("s"), F.sum(square).cast("double").alias("ss"),
-        F.min(v).cast("double").alias("min"), F.max(v).cast("double").alias("max"))
+    names = [f"v{i}" for i in range(len(columns))]
+    values = df.select(*(F.col(ident(c)).cast(kind).alias(v) for c, v in zip(columns, names)))
+    quartiles = select_quantiles(values, names, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, "nearest")
+
+    def sums(name: str) -> Column:
+        v = F.col(name)
+        square = v * v if kind == "double" else (v * v).cast("decimal(38,8)")
+        return F.struct(
+            F.count(v).alias("count"), F.count_if(v.isNull()).alias("null_count"), F.sum(v).cast("double").alias("s"),
+            F.sum(square).cast("double").alias("ss"), F.min(v).cast("double").alias("min"),
+            F.max(v).cast("double").alias("max")).alias(name)
+
+    one_row = values.agg(*map(sums, names))
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(v).alias("a"), *(
+        F.lit(x).cast("double").alias(q) for q, x in quartiles[v].items())) for c, v in zip(columns, names)))
+    rows = one_row.select(F.inline(cells)).select("column_name", "a.*", "q25", "q50", "q75").filter(
+        F.col("count") + F.col("null_count") > 0)
     n = F.col("count").cast("double")
-    quartiles = quantiles(long, "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ["column_name"], "nearest")
     spread = F.when(F.col("count") > 1, F.sqrt(
         F.greatest(F.lit(0.0), F.col("ss") - F.col("s") * F.col("s") / n) / (n - 1)))
-    return sums.join(quartiles, "column_name", "left").select(
+    return rows.select(
         "column_name", "count", "null_count", ratio(F.col("s"), n).alias("mean"), spread.alias("std"), "min",
         "q25", "q50", "q75", "max")
 

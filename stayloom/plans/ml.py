@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions.clinical import risk_band
 from ..functions.numbers import ratio, ratio_or_zero
 from ..functions.text import as_category, inside_sql, strict_integer
-from ..operators.order import quantiles, running_total
+from ..operators.order import running_total
+from ..operators.selection import select_quantiles
 from ..schema import (EXCLUDED_DISCHARGES, HIGH_RISK_QUANTILE, MEDIUM_RISK_QUANTILE, MODEL_CATEGORICAL, MODEL_NUMERIC,
                       MODEL_TARGET)
 from ..session import staged
@@ -301,9 +302,10 @@ def category_slots(train: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def risk_thresholds(scored: DataFrame, score_column: str = "score") -> DataFrame:
-    """Exact 80 % and 95 % quantiles of the scores, linearly interpolated: one row."""
-    return quantiles(scored, score_column, {
-        "medium_threshold": MEDIUM_RISK_QUANTILE, "high_threshold": HIGH_RISK_QUANTILE})
+    """Exact 80 % and 95 % quantiles of the scores, linearly interpolated: one row. Scans run here: pass stored scores."""
+    found = select_quantiles(scored.select(F.col(score_column).alias("score")), ["score"], {
+        "medium_threshold": MEDIUM_RISK_QUANTILE, "high_threshold": HIGH_RISK_QUANTILE})["score"]
+    return scored.sparkSession.range(1).select(*(F.lit(x).cast("double").alias(name) for name, x in found.items()))
 
 
 def with_risk_band(scored: DataFrame, thresholds: DataFrame, score_column: str = "score") -> DataFrame:

@@ -1,9 +1,11 @@
+import math
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from stayloom.operators import order, profile
+from stayloom.operators import order, profile, selection
 from stayloom.operators import trend as trend_module
 
 
@@ -53,6 +55,57 @@ def test_quantiles(numbers):
     assert near == values[int((len(values) - 1) * 0.25 + 0.5)]
 
 
+AWKWARD = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, -1.7976931348623157e308, 1.0,
+           1.0000000000000002, 0.9999999999999999, -1.0, 8.0, 7.999999999999999, 0.1, 1e300, float("inf"), -float("inf")]
+
+
+def test_codes_keep_order_and_value(spark):
+    df = spark.createDataFrame([(x,) for x in AWKWARD] + [(None,), (float("nan"),)], "x double")
+    rows = df.select("x", selection.ordered_code(F.col("x"), df.schema["x"].dataType).alias("c")).collect()
+    assert all(r.c is None if r.x is None else selection.value_of(r.c, df.schema["x"].dataType) == r.x or r.x != r.x
+               for r in rows)
+    known = [r for r in rows if r.x is not None and r.x == r.x]
+    assert all((a.x < b.x) == (a.c < b.c) for a in known for b in known)
+    assert next(r.c for r in rows if r.x != r.x and r.x is not None) > max(r.c for r in known)
+
+
+@pytest.mark.parametrize("digit", [2, 12])
+def test_selected_quantiles(spark, monkeypatch, digit):
+    monkeypatch.setattr(selection, "DIGIT", digit)
+    monkeypatch.setattr(selection, "WIDTH", 1 << digit)
+    rng = random.Random(4)
+    rows = [(rng.gauss(0, 1e9), rng.choice([-2**63, 2**63 - 1, 0, 7, 7, 7]), Decimal(rng.randrange(-9999, 9999)) / 100,
+             1.5, None) for _ in range(500)] + [(None, None, None, 1.5, None)] * 20
+    df = spark.createDataFrame(rows, "a double, b long, `c d` decimal(10,2), same double, none int")
+    wanted = {"q0": 0.0, "q25": 0.25, "q80": 0.8, "q1": 1.0}
+    got = selection.select_quantiles(df, df.columns, wanted)
+    for k, c in enumerate(df.columns):
+        values = sorted(float(r[k]) for r in rows if r[k] is not None)
+        for name, q in wanted.items():
+            if not values:
+                assert got[c][name] is None
+                continue
+            at = (len(values) - 1) * q
+            low, high = values[math.floor(at)], values[math.ceil(at)]
+            assert got[c][name] == pytest.approx(low + (high - low) * (at - math.floor(at)), rel=1e-12), (c, name)
+    assert selection.select_quantiles(df.limit(0), ["a"], wanted)["a"] == dict.fromkeys(wanted)
+
+
+def test_selection_neither_sorts_values_nor_writes(spark):
+    df = spark.range(100000).selectExpr("id * 7919 % 100003 AS x")
+    assert selection.select_quantiles(df, ["x"], {"m": 0.5}, "nearest")["x"]["m"] == sorted(
+        k * 7919 % 100003 for k in range(100000))[50000]
+    plan = profile.describe(df)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Window" not in plan
+
+
+def test_duplicate_rows_by_digest(spark):
+    df = spark.createDataFrame([(1, None), (1, None), (1, "a"), (1, "a"), (1, "a"), (2, "a")], "x int, y string")
+    out = profile.duplicate_row_count(df)
+    assert out.first()[0] == 3 and profile.duplicate_row_count(df.limit(0)).first()[0] == 0
+    assert profile.duplicate_row_count(df.filter("x = 2")).first()[0] == 0
+
+
 def test_keep_first(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, None), (5, None), (4, "b")], "row_id int, k string")
     assert {r.row_id for r in order.keep_first(df, "k").collect()} == {1, 2, 4}
