@@ -7,8 +7,11 @@ document, different values have different ones, and the pseudonym is valid again
 
 * card: all digits but the last are permuted, the last makes the Luhn sum right;
 * IBAN: the digits of the account part are permuted, country and letters stay, the check digits are made anew;
-* phone: the last ten digits are permuted, so the national and the international notation of a number share their
-  pseudonym; a country code before them stays. Of fewer digits, and of ten with a country code, all but the first;
+* phone: the national number is permuted among those of its length; a country code (found by the lengths that the
+  numbering plan gives them) and zeros before the national number stay. So the national and the international notation
+  of a number share their pseudonym in every country, and its first digit does not become a zero. National notations
+  that are found: ten digits as 3-3-4, a zero and an area code before the number, five pairs, nine digits as 2-3-4.
+  Digits without separators are no candidates, and other trunk prefixes than zero are not split off;
 * social security number: the nine digits are permuted and permuted again until no block is forbidden;
 * IPv4: the 32 bits are permuted;
 * date (1900-01-01 to 2099-12-31): the day number is permuted within the two centuries.
@@ -59,14 +62,19 @@ PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "iban": r"(?<![A-Za-z0-9])(?:" + _SIZED_IBAN + "|" + _GENERIC_IBAN + r")(?![A-Za-z0-9])",
     "ipv4": r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])",
-    "date": (r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
+    "date": (r"(?<![0-9./-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|(?:19|20)[0-9]{2}/[0-9]{2}/[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2}"
              r"|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2})(?![0-9]|[./-][0-9])"),
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
     "card": "",
-    "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}"
-              r"(?:(?:[ .-](?!" + _FOUR_FOURS + r"))?[0-9]{2,4}){1,4}"
+    "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}"
+              r"(?:(?:[ .-](?!" + _FOUR_FOURS + r"))?[0-9]{2,4}){1,5}"
               r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}(?!-[0-9]))(?![0-9])"),
+    "national": (r"(?<![0-9A-Za-z+(])(?<![0-9][ ./-])(?:0[1-9](?:[ .-][0-9]{2}){4}"
+                 r"|(?:\(0[1-9][0-9]{0,3}\) ?|0[1-9][0-9]{0,3}[ /-])[0-9]{3,4}(?:[ -]?[0-9]{2,4}){1,2}"
+                 r"|[2-9][0-9][ -][0-9]{3}[ -][0-9]{4})(?![0-9]|[./-][0-9])"),
 }
+#: Country codes of one and two digits in the international numbering plan; all others have three. Fixed values.
+_COUNTRY_CODE = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 # A chain of digit groups ends before a group that begins something else. Possessive: no stack for long chains.
 _ELSE = "|".join(PATTERNS[k] for k in ("email", "ipv4", "date", "ssn", "phone"))
 PATTERNS["card"] = r"(?<![0-9])(?!%s)[0-9](?:(?:[ -](?!%s))?[0-9]){12,}+" % (PATTERNS["phone"], _ELSE)
@@ -167,8 +175,9 @@ def _octets(value: Column) -> Column:
 
 
 def _day(value: Column) -> Column:
-    """A date in one of the three notations, or null."""
-    return F.coalesce(F.try_to_date(value, "yyyy-MM-dd"), F.try_to_date(value, "dd/MM/yyyy"),
+    """A date in one of the notations, or null."""
+    return F.coalesce(F.try_to_date(value, "yyyy-MM-dd"), F.try_to_date(value, "yyyy/MM/dd"),
+                      F.try_to_date(value, "dd/MM/yyyy"),
                       F.try_to_date(value, "MM/dd/yyyy"), F.try_to_date(value, "dd.MM.yyyy"))
 
 
@@ -185,7 +194,8 @@ def kind_of(value: Column) -> Column:
         .when(whole["date"], F.when(_day(value).isNotNull(), "date"))
         .when(whole["ssn"], F.when(_allowed_ssn(digits), "ssn"))
         .when(whole["card"] & n.between(13, 19) & (_luhn(digits) % 10 == 0), "card")
-        .when(whole["phone"] & n.between(8, 15), "phone"))
+        .when(whole["phone"] & n.between(8, 15), "phone")
+        .when(whole["national"] & n.between(9, 12), "phone"))
 
 
 def _valid_iban(value: Column) -> Column:
@@ -276,11 +286,16 @@ def _card(value: Column, key: str) -> Column:
 
 def _phone(value: Column, key: str) -> Column:
     digits = _digits(value)
-    national = (F.length(digits) == 10) & ~value.startswith("+")
-    moved = F.when(national, 10).otherwise(F.least(F.length(digits) - 1, F.lit(10)))
-    kept = F.substring(digits, F.lit(1), F.length(digits) - moved)
-    return _refill(value, F.concat(kept, permuted_digits(
-        F.substring(digits, F.length(digits) - moved + 1, moved), key, "phone")))
+    before = F.when(value.startswith("+"), F.regexp_extract(digits, f"^{_COUNTRY_CODE}0*", 0)).otherwise(
+        F.regexp_extract(digits, "^0*", 0))
+    number = F.substring(digits, F.length(before) + 1, F.length(digits))
+
+    def step(x):
+        return permuted_digits(x, key, "phone")
+    # walk the cycle past numbers that begin with a zero
+    walked = F.aggregate(F.sequence(F.lit(1), F.lit(40)), step(number),
+                         lambda x, _: F.when(~x.startswith("0"), x).otherwise(step(x)))
+    return F.when(F.length(number) < 2, value).otherwise(_refill(value, F.concat(before, walked)))
 
 
 def _ssn(value: Column, key: str) -> Column:
@@ -306,7 +321,7 @@ def _date(value: Column, key: str) -> Column:
     month_first = F.try_to_date(value, "dd/MM/yyyy").isNull()
     return (F.when(value.contains("-"), F.date_format(new, "yyyy-MM-dd"))
             .when(value.contains("."), F.date_format(new, "dd.MM.yyyy"))
-            .when(month_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy")))
+            .when(value.rlike("^[0-9]{4}/"), F.date_format(new, "yyyy/MM/dd")).when(month_first, F.date_format(new, "MM/dd/yyyy")).otherwise(F.date_format(new, "dd/MM/yyyy")))
 
 
 def _iban(value: Column, key: str) -> Column:

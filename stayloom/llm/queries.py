@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import staged
 from . import (chat, decontaminate, exact, golay, language, near, packing, pii, secrets, toxicity, trie, warc,
                whitening)
 from .common import crc32_of_id, table
@@ -27,7 +28,7 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    found = secrets.candidates(documents)
+    found = staged(secrets.candidates(documents), "candidates")
     return secrets.secrets(found, secrets.fit(documents, secrets.weak_labels(found)))
 
 

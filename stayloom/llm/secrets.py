@@ -80,7 +80,10 @@ def _codes(value: Column) -> Column:
 
 def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
                path_column: str = "source") -> DataFrame:
-    """``doc_id, path, start, value, before, after``: candidates with their place (in code points) and context."""
+    """``doc_id, path, start, value, before, after``: candidates with their place (in code points) and context.
+
+    Finding them is what costs: write the result once where it is used for labels, training and scoring.
+    """
     text = F.col(text_column)
     cut = docs.select(F.col(id_column).cast("long").alias("doc_id"),
                       F.coalesce(F.col(path_column).cast("string"), F.lit("")).alias("path"), text.alias("text")).filter(
@@ -131,7 +134,7 @@ def corpus_triples(docs: DataFrame, text_column: str = "text", min_count: int =
     return known
 
 
-def _described(found: DataFrame, pair_odds: list[float], triples: list[bool]) -> DataFrame:
+def _described(found: DataFrame, pair_odds: list[float], triples: list[bool], carry: tuple[str, ...] = ()) -> DataFrame:
     odds = F.array(*(F.lit(float(x)) for x in pair_odds))
     # one literal string of 0 and 1 is cheaper to plan than an array of 17,576 literals
     known = F.lit("".join("1" if t else "0" for t in triples))
@@ -205,9 +208,7 @@ def fit(docs: DataFrame, labelled: DataFrame, text_column: str = "text", sample:
     # both labels weigh the same: a secret may be one finding in hundreds
     weight = F.when(F.col("label") == 1, sum(sizes.values()) / (2 * sizes[1.0])).otherwise(
         sum(sizes.values()) / (2 * sizes[0.0]))
-    described = staged(_described(drawn, odds, triples).join(
-        drawn.select("doc_id", "start", "value", "label", weight.alias("weight")).distinct(),
-        ["doc_id", "start", "value"]), "described")
+    described = staged(_described(drawn.withColumn("weight", weight), odds, triples, ("label", "weight")), "described")
     forest = Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
         RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)]).fit(described)
