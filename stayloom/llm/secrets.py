@@ -172,7 +172,7 @@ def _described(found: DataFrame, pair_odds: list[float], triples: list[bool], ca
         (covered / F.greatest(n - 2, F.lit(1))).alias("coverage"),
         F.regexp_count("path", F.lit("/")).cast("double").alias("depth"), has("path", EXAMPLES).alias("example_path"),
         has("before", SECRET_NAMES).alias("secret_name"), has("before", OTHER_NAMES).alias("other_name"),
-        has("before", r"[=:]\s*[\"'`]?$").alias("assigned"), has("after", r"^[\"'`]").alias("quoted"))
+        has("before", r"[=:]\s*[\"'`]?$").alias("assigned"), has("after", r"^[\"'`]").alias("quoted"), *carry)
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
@@ -186,8 +186,9 @@ def weak_labels(found: DataFrame) -> DataFrame:
         plain | digest, 0.0)).filter("label is not null")
 
 
-def fit(docs: DataFrame, labelled: DataFrame, text_column: str = "text", sample: int = SAMPLE_LABELLED) -> Scanner:
-    """Train on labelled findings: the columns of :func:`candidates` and ``label``."""
+def fit(docs: DataFrame, labelled: DataFrame, text_column: str = "text", sample: int = SAMPLE_LABELLED,
+        withheld: tuple[str, ...] = ()) -> Scanner:
+    """Train on labelled findings: the columns of :func:`candidates` and ``label``; ``withheld`` features are not used."""
     triples = corpus_triples(docs, text_column)
     order = F.xxhash64(F.col("doc_id").cast("string"), "start")
     drawn = staged(labelled.filter("label = 1").orderBy(order, "value").limit(sample).unionByName(
@@ -210,22 +211,41 @@ def fit(docs: DataFrame, labelled: DataFrame, text_column: str = "text", sample:
         sum(sizes.values()) / (2 * sizes[0.0]))
     described = staged(_described(drawn.withColumn("weight", weight), odds, triples, ("label", "weight")), "described")
     forest = Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
+        VectorAssembler(inputCols=[f for f in FEATURES if f not in withheld], outputCol="features"),
         RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=SEED)]).fit(described)
     return Scanner(odds, triples, forest)
 
 
+def scored(found: DataFrame, scanner: Scanner, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Candidates with their features and ``score``."""
+    described = _described(found, scanner.pair_odds, scanner.triples, carry)
+    if scanner.forest is None:
+        return described.withColumn("score", F.lit(0.5))
+    return scanner.forest.transform(described).withColumn("score", vector_to_array("probability")[1])
+
+
+def held_out_quality(docs: DataFrame, labelled: DataFrame, text_column: str = "text", withheld: tuple[str, ...] = (),
+                     least: float = 0.5, folds: int = 5) -> DataFrame:
+    """One row ``n, secrets, found, right``: labelled findings of held-out documents, those labelled 1, those that the
+    forest retains, and those retained and labelled 1.
+
+    A document is held out as a whole: one fold of crc32 over its id as text. Withhold the features that decide the
+    labels to see what the others find by themselves.
+    """
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False))
+    scanner = fit(docs, labelled.filter(~held), text_column, withheld=withheld)
+    judged = scored(labelled.filter(held), scanner, ("label",))
+    retained, secret = F.col("score") >= least, F.col("label") == 1
+    return judged.agg(F.count("*").alias("n"), F.count_if(secret).alias("secrets"), F.count_if(retained).alias("found"),
+                      F.count_if(retained & secret).alias("right"))
+
+
 def secrets(found: DataFrame, scanner: Scanner, least: float = 0.5) -> DataFrame:
     """Candidates that the forest retains: ``doc_id, path, start, length, value_sha256, kind, score``.
 
     The secret itself is not repeated in the output; its place and digest are.
     """
-    described = _described(found, scanner.pair_odds, scanner.triples)
-    if scanner.forest is None:
-        scored = described.withColumn("score", F.lit(0.5))
-    else:
-        scored = scanner.forest.transform(described).withColumn("score", vector_to_array("probability")[1])
-    return scored.filter(F.col("score") >= least).select(
+    return scored(found, scanner).filter(F.col("score") >= least).select(
         "doc_id", "path", "start", F.length("value").cast("long").alias("length"),
         F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
         F.when(F.col("value").rlike(FORMATS), "known format").otherwise("value").alias("kind"), "score")

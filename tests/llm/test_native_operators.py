@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -319,6 +320,19 @@ def test_secrets(spark):
         (r.doc_id, r.value_sha256) for r in secrets.secrets(found, nameless).collect()}
 
 
+def test_secrets_on_held_out_documents(spark):
+    rows, _, _ = secret_rows()
+    d = spark.createDataFrame([(i, t, "src/main.py") for i, t in rows], "doc_id long, text string, source string")
+    labelled = staged(secrets.weak_labels(secrets.candidates(d)))
+    held = {i for i, _ in rows if i is not None and zlib.crc32(str(i).encode()) % 5 == 0}
+    row = secrets.held_out_quality(d, labelled).first()
+    assert row.n == labelled.filter(F.col("doc_id").isin(held)).count() and row.secrets > 10
+    assert row.right >= 0.95 * row.secrets and row.right >= 0.95 * row.found
+    # without the names, digests cannot be told from tokens; known formats still can
+    blind = secrets.held_out_quality(d, labelled, withheld=("secret_name", "other_name", "assigned", "quoted")).first()
+    assert blind.n == row.n and 0.3 * row.secrets <= blind.right and blind.found > blind.right
+
+
 def test_secrets_without_labels(spark):
     d = spark.createDataFrame([(1, "internationalisation of it", None)], "doc_id long, text string, source string")
     found = secrets.candidates(d)
