@@ -60,22 +60,6 @@ ADMISSION_SOURCES = (
 )
 
 
-def mapping_lines() -> list[tuple[int, str]]:
-    """The published code file, line by line: ``(line_no, line)``."""
-    lines: list[str] = []
-    for section, codes in zip(REFERENCE_SECTIONS, (ADMISSION_TYPES, DISCHARGE_DISPOSITIONS, ADMISSION_SOURCES)):
-        if lines:
-            lines.append(",")
-        lines.append(f"{section},description")
-        lines.extend(f"{number},{text}" for number, text in codes)
-    return list(enumerate(lines, start=1))
-
-
-def mapping_frame(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        [("mapping", n, line) for n, line in mapping_lines()], "file string, line_no int, line string")
-
-
 def read_stacked(spark: SparkSession, path: str) -> DataFrame:
     """Lines of stacked files with their number in the file. A whole file is one record: these files are small
     code lists, and ``wholetext`` keeps their line order."""

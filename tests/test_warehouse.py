@@ -7,13 +7,17 @@ from stayloom.sources import reference_data
 
 
 def test_reference_sections(spark):
-    parsed = reference_data.parse_stacked(reference_data.mapping_frame(spark))
+    first, second, third = reference_data.REFERENCE_SECTIONS
+    lines = [f"{first},description", "1,By appointment", "2,", ",", f"{second},description", '4,"Left, against advice"', ",",
+             f"{third},description", "9, By letter"]
+    parsed = reference_data.parse_stacked(spark.createDataFrame(
+        [("codes", n, line) for n, line in enumerate(lines, start=1)], "file string, line_no int, line string"))
     dims = reference_data.reference_dimensions(parsed)
-    assert {k: v.count() for k, v in dims.items()} == {
-        "dim_admission_type": 8, "dim_discharge_disposition": 30, "dim_admission_source": 25}
-    text = {r[0]: r[1] for r in dims["dim_discharge_disposition"].collect()}
-    assert text[11] == "Expired" and text[19] == "Expired at home. Medicaid only, hospice."
-    assert {r[0]: r[1] for r in dims["dim_admission_source"].collect()}[7] == "Emergency Room"
+    got = {k: {r[0]: r[1] for r in v.collect()} for k, v in dims.items()}
+    assert {k: sorted(v) for k, v in got.items()} == {
+        "dim_admission_type": [1, 2], "dim_discharge_disposition": [4], "dim_admission_source": [9]}
+    assert got["dim_discharge_disposition"][4] == "Left, against advice"
+    assert got["dim_admission_source"][9].strip() == "By letter" and got["dim_admission_type"][1] == "By appointment"
 
 
 def test_stacked_file_rules(spark, tmp_path):
@@ -74,7 +78,7 @@ def test_row_security(spark):
 
 def test_whole_chain(spark, raw, tmp_path):
     rows = raw(*({"encounter_id": str(i), "patient_nbr": str(i % 5 + 1)} for i in range(1, 21)), {"age": "bad", "encounter_id": "99"})
-    reference = reference_data.reference_dimensions(reference_data.parse_stacked(reference_data.mapping_frame(spark)))
+    reference = reference_data.code_dimensions(spark)
     out = str(tmp_path)
     assert set(chain.run_chain(spark, rows, out, reference, content_hash="h").values()) == {"SUCCESS"}
     assert spark.read.parquet(f"{out}/clean").count() == 20 and spark.read.parquet(f"{out}/quarantine").count() == 1
