@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import percent, ratio
+from ..operators.joins import merged
 from ..operators.reshape import melt
 from ..schema import DIAGNOSES
 from .marts import (by_diagnosis_role, encounter_outcomes, mart_hospitalizations, mart_patients, mart_readmission,
@@ -65,7 +66,7 @@ def _rates_of_sums(sums: DataFrame, factors: Sequence[str], name: str) -> DataFr
 def patient_factor_rates(star, factors: Sequence[str], name: str = "readmitted_30_days_rate") -> DataFrame:
     """One measure by each of several attributes of the patient."""
     patients = star.dim_patient().select("patient_key", *factors)
-    return _rates_of_sums(_patient_sums(star).join(patients, "patient_key"), factors, name)
+    return _rates_of_sums(_patient_sums(star).join(merged(patients), "patient_key"), factors, name)
 
 
 def stay_factor_rates(star, name: str = "readmitted_30_days_rate") -> DataFrame:
@@ -91,7 +92,7 @@ def switched_measure(star, names: Sequence[str], dimension: str = "first_age_bra
 def patients_by_group(star, dimensions: Sequence[str]) -> DataFrame:
     """Patients with an encounter per group of attributes: keys are reduced before they meet the dimension."""
     seen = star.fact_hospitalization().select("patient_key").distinct()
-    return star.dim_patient().select("patient_key", *dimensions).join(seen, "patient_key").groupBy(*dimensions).agg(
+    return star.dim_patient().select("patient_key", *dimensions).join(merged(seen), "patient_key").groupBy(*dimensions).agg(
         F.count("*").alias("patients"))
 
 
@@ -219,7 +220,8 @@ def patients_page(star, limit: int = 50, offset: int = 0, **wanted) -> DataFrame
 
 
 def patient_detail(star, patient_nbr) -> DataFrame:
-    return mart_patients(star, star.dim_patient().filter(F.col("patient_nbr") == patient_nbr))
+    one = star.dim_patient().filter(F.col("patient_nbr") == patient_nbr)
+    return mart_patients(star, F.broadcast(one))  # the dimension has a row per patient
 
 
 def hospitalizations_page(star, limit: int = 50, offset: int = 0) -> DataFrame:
