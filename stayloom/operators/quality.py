@@ -15,10 +15,13 @@ from ..functions.numbers import percent
 from ..functions.text import (ident, inside_sql, integer_sql, is_missing, listed, literal, missing_sql, not_allowed_sql,
                               out_of_bounds_sql, strip_sql)
 from ..schema import MISSING_TOKENS, RuleSet
+from ..session import staged
 from .joins import merged
 from .order import repeated_keys
 from .reshape import melt
 
+#: Repeated keys up to which they are broadcast, so that the rows they are looked up in are not shuffled.
+BROADCAST_KEYS = 200_000
 VIOLATION_COLUMNS = ("row_id", "rule_name", "column_name", "invalid_value", "rejection_reason")
 
 
@@ -124,14 +127,16 @@ def row_duplicates(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ())
     """Every copy of a row that is repeated in all declared columns (NULLs equal).
 
     Equal rows have equal keys, so only rows under a repeated key are compared in full; without a key, a hash of
-    the row narrows them down. The full comparison is a count per distinct row, never a group in one task.
+    the row narrows them down. The full comparison is a count per distinct row, never a group in one task. The repeated
+    ones are written and counted first: rows are shuffled only where these are too many to broadcast.
     """
     columns = list(rules.columns)
     if rules.key:
         probe = rows.withColumn("_probe", F.col(rules.key))
     else:
         probe = rows.withColumn("_probe", F.xxhash64(*columns))
-    repeated = repeated_keys(probe, "_probe").select(F.col("_probe").alias("_again"))
+    repeated = staged(repeated_keys(probe, "_probe").select(F.col("_probe").alias("_again")), "repeated")
+    repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_KEYS else merged(repeated)
     candidates = probe.join(repeated, F.col("_probe").eqNullSafe(F.col("_again")), "left_semi")
     copies = (
         candidates.groupBy(*columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")

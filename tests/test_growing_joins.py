@@ -6,6 +6,7 @@ import pytest
 
 from stayloom.operators import quality
 from stayloom.plans import marts, measures, warehouse
+from stayloom.schema import RuleSet
 
 
 @pytest.fixture(scope="module")
@@ -61,3 +62,25 @@ def test_foreign_keys_and_absent_keys_merge(star):
     new = star.dim_patient()
     absent = warehouse.absent_only(new, star.dim_patient().filter("patient_key > 1"), "patient_nbr")
     assert "Broadcast" not in plan(absent) and [r["patient_key"] for r in absent.collect()] == [1]
+
+
+def test_rows_are_not_shuffled_to_find_repeated_ones(spark):
+    rules = RuleSet(columns=("a", "b"), bounds={}, allowed={})
+    rows = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, "y", "z"), (4, "y", "w"), (5, None, None), (6, None, None),
+                                  (7, None, "v")], "row_id long, a string, b string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are large by their files
+    try:
+        found = quality.row_duplicates(rows, rules)
+        assert "BroadcastHashJoin [coalesce(_probe" in plan(found)
+        assert sorted(r["row_id"] for r in found.collect()) == [1, 2, 5, 6]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_many_repeated_keys_are_merged(spark, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+    rules = RuleSet(columns=("a", "b"), bounds={}, allowed={})
+    rows = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, "y", "z")], "row_id long, a string, b string")
+    found = quality.row_duplicates(rows, rules)
+    assert "SortMergeJoin" in plan(found) and sorted(r["row_id"] for r in found.collect()) == [1, 2]
