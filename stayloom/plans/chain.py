@@ -129,8 +129,9 @@ def run_chain(spark: SparkSession, source: DataFrame, out: str, reference: dict[
     Returns the status of each step: SUCCESS, REUSED for a step whose stored output stands for the same input, or
     SKIPPED throughout for content (``content_hash``) that a successful run has imported before. Without a hash the
     source is identified by its rows, which costs one scan; a repeated run then reuses what is stored. ``as_of`` fixes
-    the processing time of the rows, ``buckets`` is the number of buckets of every fact. One run at a time may write to
-    a folder.
+    the processing time of the rows, ``buckets`` is the number of buckets of every fact. The raw layer is written in the
+    partitions of the source, so a source in few large files is dealt by the caller. One run at a time may write to a
+    folder.
     """
     tune(spark)
     store = ledger.EventStore(spark, f"{out}/history")
@@ -156,7 +157,7 @@ def run_chain(spark: SparkSession, source: DataFrame, out: str, reference: dict[
     def ingest():
         named = clean.normalize_names(source)
         quality.require_columns(named, ("row_id", *ENCOUNTER_COLUMNS))
-        stored = write(named.repartition(buckets, "row_id"), "raw")
+        stored = write(named, "raw")
         quality.raise_on_failure(quality.not_empty(stored))
         return stored.agg(F.count("*").alias("rows"))
 

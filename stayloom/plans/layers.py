@@ -83,9 +83,14 @@ class Layers:
     def raw_lazy(self) -> DataFrame:
         return inputs.raw_encounters(self.input("orders").select("o_orderkey", "o_custkey"))
 
+    def raw_dealt(self) -> DataFrame:
+        """Dealt by key over a declared number of parts, so that scans of it do not depend on the files it came in. The
+        two columns it is made of are shuffled, not the fifty it has."""
+        orders = self.input("orders").select("o_orderkey", "o_custkey")
+        return inputs.raw_encounters(orders.repartition(self.buckets, "o_orderkey"))
+
     def raw(self) -> DataFrame:
-        """Dealt by key over a declared number of parts, so that scans of it do not depend on the files it came in."""
-        return self._layer("raw", lambda: self.raw_lazy().repartition(self.buckets, "row_id"))
+        return self._layer("raw", self.raw_dealt)
 
     def violations(self) -> DataFrame:
         return self._layer("violations", lambda: quality.violations(self.raw(), self.rules, as_of=AS_OF))
@@ -136,7 +141,7 @@ class Layers:
         key = (*self._key, "chain")
         if key not in _chains:
             folder = f"{shared_folder(self.spark)}/chains/{uuid.uuid4().hex}"
-            chain.run_chain(self.spark, self.raw_lazy(), folder, self.reference(), content_hash=self._source,
+            chain.run_chain(self.spark, self.raw_dealt(), folder, self.reference(), content_hash=self._source,
                             as_of=AS_OF, buckets=self.buckets)
             _chains[key] = folder
         return _chains[key]

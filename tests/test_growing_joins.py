@@ -6,6 +6,7 @@ import pytest
 
 from stayloom.operators import quality
 from stayloom.plans import marts, measures, warehouse
+from stayloom.plans.layers import Layers
 from stayloom.schema import RuleSet
 
 
@@ -84,3 +85,13 @@ def test_many_repeated_keys_are_merged(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "x", None), (2, "x", None), (3, "y", "z")], "row_id long, a string, b string")
     found = quality.row_duplicates(rows, rules)
     assert "SortMergeJoin" in plan(found) and sorted(r["row_id"] for r in found.collect()) == [1, 2]
+
+
+def test_raw_rows_are_dealt_before_they_are_wide(spark, tmp_path, monkeypatch):
+    orders = spark.createDataFrame([(k, k % 7) for k in range(1000)] + [(1, 1), (None, 3)], "o_orderkey long, o_custkey long")
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    star = Layers(spark, str(tmp_path), buckets=3)
+    assert star.raw().exceptAll(star.raw_lazy()).count() == 0 and star.raw().count() == star.raw_lazy().count()
+    monkeypatch.setattr(star, "_layer", lambda name, build, bucket=None: build())
+    assert "Exchange hashpartitioning(o_orderkey" in plan(star.raw()) and "hashpartitioning(row_id" not in plan(star.raw())
+    assert star.raw().rdd.getNumPartitions() == 3
