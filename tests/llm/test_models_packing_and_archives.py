@@ -38,6 +38,19 @@ def test_word_cache_equals_the_tokenizer(spark):
         assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == direct(texts)
 
 
+def test_a_full_word_cache_forgets_rare_words_only(monkeypatch):
+    monkeypatch.setattr(packing, "_CACHED_WORDS", 8)
+    cache, learned = packing.WordCache(VOCABULARY, 1), []
+    learn = cache._learn
+    monkeypatch.setattr(cache, "_learn", lambda words: (learned.extend(words), learn(words)))
+    for k in range(20):
+        texts = ["the cat's Zürich", None, f"the word{k} x{k}y"]
+        ids, offsets = cache.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == direct(texts)
+        assert len(cache.number) <= 8 and len(cache.older[0]) <= 8
+    assert learned.count("the") == 1 and learned.count("word3") == 1
+
+
 def cased_vocabulary(folder):
     """Words of a list, told apart by case, cut at white space."""
     from tokenizers import models, pre_tokenizers
