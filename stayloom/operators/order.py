@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import staged
+from .joins import BROADCAST_KEYS, looked_up
 
 _PART, _ROW = "_range_part", "_range_row"
 
@@ -142,14 +143,14 @@ def keep_first(rows: DataFrame, key: str, order: str = "row_id") -> DataFrame:
     """Keep the first row of every key (NULL is a key too), in input order.
 
     Only the narrow ``(key, order)`` pairs are shuffled; keys that occur once never leave their scan unless the
-    table of repeated keys is too large to broadcast, which Spark decides on its real size.
+    table of repeated keys, which is found here, is too large to broadcast.
     """
     repeated = (
         rows.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"), F.min(order).alias("_keep"))
         .filter("_n > 1").select("_key", "_keep", F.lit(True).alias("_repeated"))
     )
     return (
-        rows.join(repeated, rows[key].eqNullSafe(repeated["_key"]), "left")
+        rows.join(looked_up(repeated, BROADCAST_KEYS), F.col(key).eqNullSafe(F.col("_key")), "left")
         .filter(F.col("_repeated").isNull() | (F.col(order) == F.col("_keep")))
         .select(*rows.columns)
     )

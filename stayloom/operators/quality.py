@@ -15,13 +15,10 @@ from ..functions.numbers import percent
 from ..functions.text import (ident, inside_sql, integer_sql, is_missing, listed, literal, missing_sql, not_allowed_sql,
                               out_of_bounds_sql, strip_sql)
 from ..schema import MISSING_TOKENS, RuleSet
-from ..session import staged
-from .joins import merged
+from .joins import BROADCAST_KEYS, looked_up, merged
 from .order import repeated_keys
 from .reshape import melt
 
-#: Repeated keys up to which they are broadcast, so that the rows they are looked up in are not shuffled.
-BROADCAST_KEYS = 200_000
 VIOLATION_COLUMNS = ("row_id", "rule_name", "column_name", "invalid_value", "rejection_reason")
 
 
@@ -116,7 +113,7 @@ def _violation(rule: str, column: str, value: Column, reason: str) -> Column:
 
 def key_duplicates(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every copy of a repeated, non-missing key (compared as raw text) is a violation."""
-    repeated = repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key)
+    repeated = looked_up(repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key), BROADCAST_KEYS)
     return rows.join(repeated, rules.key, "left_semi").select(
         "row_id",
         _violation(f"duplicate_{rules.key}", rules.key, F.col(rules.key), rules.key_reason).alias("v"), *carry,
@@ -135,8 +132,7 @@ def row_duplicates(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = ())
         probe = rows.withColumn("_probe", F.col(rules.key))
     else:
         probe = rows.withColumn("_probe", F.xxhash64(*columns))
-    repeated = staged(repeated_keys(probe, "_probe").select(F.col("_probe").alias("_again")), "repeated")
-    repeated = F.broadcast(repeated) if repeated.count() <= BROADCAST_KEYS else merged(repeated)
+    repeated = looked_up(repeated_keys(probe, "_probe").select(F.col("_probe").alias("_again")), BROADCAST_KEYS)
     candidates = probe.join(repeated, F.col("_probe").eqNullSafe(F.col("_again")), "left_semi")
     copies = (
         candidates.groupBy(*columns).agg(F.count("*").alias("_copies")).filter("_copies > 1")
@@ -162,15 +158,15 @@ def violations(rows: DataFrame, rules: RuleSet, carry: tuple[str, ...] = (), as_
 # --- split -------------------------------------------------------------------------------------------------------
 
 def valid_rows(rows: DataFrame, rules: RuleSet) -> DataFrame:
-    """Rows that break nothing: one filter over the scan plus an anti join with the repeated keys.
+    """Rows that break nothing: one filter over the scan plus an anti join with the repeated keys, which are found here.
 
     A repeated row shares its key with its copies, and a missing key already breaks the required rule, so with a
     required key the full-row comparison cannot reject anything more and is left out.
     """
     kept = rows.filter(~breaks_row_rule(rules))
     if rules.key:
-        kept = kept.join(repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key),
-                         rules.key, "left_anti").select(*rows.columns)
+        repeated = repeated_keys(rows, rules.key, is_missing(ident(rules.key))).select(rules.key)
+        kept = kept.join(looked_up(repeated, BROADCAST_KEYS), rules.key, "left_anti").select(*rows.columns)
     if rules.key is None or rules.key not in rules.required:
         kept = kept.join(row_duplicates(rows, rules).select("row_id"), "row_id", "left_anti").select(*rows.columns)
     return kept

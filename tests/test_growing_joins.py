@@ -4,10 +4,10 @@ from types import SimpleNamespace
 
 import pytest
 
-from stayloom.operators import quality
+from stayloom.operators import order, quality
 from stayloom.plans import marts, measures, warehouse
 from stayloom.plans.layers import Layers
-from stayloom.schema import RuleSet
+from stayloom.schema import HOSPITAL_RULES, RuleSet
 
 
 @pytest.fixture(scope="module")
@@ -95,3 +95,25 @@ def test_raw_rows_are_dealt_before_they_are_wide(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(star, "_layer", lambda name, build, bucket=None: build())
     assert "Exchange hashpartitioning(o_orderkey" in plan(star.raw()) and "hashpartitioning(row_id" not in plan(star.raw())
     assert star.raw().rdd.getNumPartitions() == 3
+
+
+def test_rows_stay_where_they_are_beside_few_repeated_keys(spark, raw):
+    rows = raw({"encounter_id": "1"}, {"encounter_id": "2"}, {"encounter_id": "2"}, {"encounter_id": None}, {"encounter_id": None})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables that are large by their files
+    try:
+        for found, ids in ((quality.valid_rows(rows, HOSPITAL_RULES), [0]), (order.keep_first(rows, "encounter_id"), [0, 1, 3]),
+                           (quality.key_duplicates(rows, HOSPITAL_RULES, ("race",)), [1, 2])):
+            assert "Exchange hashpartitioning" not in plan(found) and "SortMergeJoin" not in plan(found)
+            assert sorted(r["row_id"] for r in found.collect()) == ids
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_rows_are_merged_with_many_repeated_keys(raw, monkeypatch):
+    monkeypatch.setattr(quality, "BROADCAST_KEYS", 0)
+    monkeypatch.setattr(order, "BROADCAST_KEYS", 0)
+    rows = raw({"encounter_id": "1"}, {"encounter_id": "2"}, {"encounter_id": "2"}, {"encounter_id": None}, {"encounter_id": None})
+    for found, ids in ((quality.valid_rows(rows, HOSPITAL_RULES), [0]), (order.keep_first(rows, "encounter_id"), [0, 1, 3]),
+                       (quality.key_duplicates(rows, HOSPITAL_RULES, ("race",)), [1, 2])):
+        assert "SortMergeJoin" in plan(found) and sorted(r["row_id"] for r in found.collect()) == ids
