@@ -79,6 +79,24 @@ def test_fit_score_and_requests(spark, layers):
     assert answer.predicted_risk_category in ("Low", "Medium", "High") and 0 <= answer.predicted_probability <= 1
 
 
+def test_partitions_of_a_fit_follow_from_its_rows(layers, monkeypatch):
+    train, _ = layers.train_and_test()
+    rows = train.count()
+    assert ml.training_vectors(train)[1].rdd.getNumPartitions() == ml.TRAIN_PARTITIONS
+    monkeypatch.setattr(ml, "TRAIN_ROWS", 100)
+    _, vectors = ml.training_vectors(train)
+    assert vectors.rdd.getNumPartitions() == -(-rows // 100) > ml.TRAIN_PARTITIONS and vectors.count() == rows
+
+
+def test_boosting_without_stored_node_ids_gives_the_same_trees(layers):
+    _, vectors = ml.training_vectors(layers.train_and_test()[0])
+    boosting = ml.candidate_models(float(vectors.count()), boosting_rounds=3)["boosted_trees"]
+    assert not boosting.getCacheNodeIds()
+    with_ids = boosting.copy({boosting.cacheNodeIds: True})
+    one, other = (m.fit(vectors).toDebugString.split("\n", 1)[1] for m in (boosting, with_ids))
+    assert one == other and "If (feature" in one
+
+
 def test_training_goes_on_after_a_stop(spark, layers, tmp_path, monkeypatch):
     train, test = layers.train_and_test()
     fitted, candidates = [], ml.candidate_models
