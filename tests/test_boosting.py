@@ -1,9 +1,10 @@
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stayloom.plans import boosting, ml
@@ -85,3 +86,13 @@ def test_a_forest_stored_in_parts_is_the_forest(spark, tmp_path, monkeypatch):
     assert (read.getNumTrees, read.treeWeights, read.uid) == (7, forest.treeWeights, forest.uid)
     assert (read.getMaxDepth(), read.getLabelCol(), read.numClasses) == (5, "y", 2)
     assert (chances(read, df) == chances(forest, df)).all()
+
+
+@pytest.mark.parametrize("kind", [LogisticRegression, RandomForestClassifier])
+def test_models_can_be_used_after_an_observation(spark, kind):
+    """A training summary holds the session, which cannot be sent to tasks once it has observed something."""
+    df, seen = vectors(spark, 100), Observation()
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    model = ml.fitted(kind(featuresCol="features", labelCol="y"), df)
+    assert not model.hasSummary and len(chances(model, df)) == 100
